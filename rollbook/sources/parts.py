@@ -1,0 +1,87 @@
+"""Tables kept as numbered parts in a shared folder.
+
+A job that may be repeated (a streaming batch after a restart, a retried run)
+writes the part of its own number again and changes nothing else, so every write
+is idempotent and costs no more than the batch. A ``base`` part replaces all parts
+up to its number.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+
+from rollbook.session import fresh_dir
+
+
+def _committed(spark: SparkSession, root: str, prefix: str, low: float, high: float) -> list[int]:
+    """Numbers in ``low..high`` (both excluded) of the parts that were written to the end."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    path = hadoop.Path(root)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    names = [entry.getPath().getName() for entry in fs.listStatus(path)]
+    numbers = [int(name[len(prefix):]) for name in names if name.startswith(prefix)]
+    return sorted(
+        n for n in numbers
+        if low < n < high and fs.exists(hadoop.Path(f"{root}/{prefix}{n}/_SUCCESS"))
+    )
+
+
+def write_part(df: DataFrame, root: str, number: int) -> None:
+    part = df.withColumn("part", F.lit(number).cast("bigint"))
+    part.write.mode("overwrite").parquet(f"{root}/v={number}")
+
+
+def seed(df: DataFrame, root: str) -> None:
+    """What the table held before its first part."""
+    start = df.withColumn("part", F.lit(-1).cast("bigint"))
+    start.write.mode("overwrite").parquet(f"{root}/base=-1")
+
+
+def read_part(spark: SparkSession, root: str, schema: T.StructType, number: int) -> DataFrame:
+    return spark.read.schema(schema).parquet(f"{root}/v={number}")
+
+
+def read_parts(
+    spark: SparkSession, root: str, schema: T.StructType, before: float = float("inf")
+) -> DataFrame:
+    """All committed rows of parts numbered below ``before``, plus their ``part`` number."""
+    bases = _committed(spark, root, "base=", -2, before)[-1:]
+    start = bases[0] if bases else -1
+    paths = [f"{root}/base={n}" for n in bases]
+    paths += [f"{root}/v={n}" for n in _committed(spark, root, "v=", start, before)]
+    full = T.StructType([*schema.fields, T.StructField("part", T.LongType())])
+    if not paths:
+        return spark.createDataFrame([], full)
+    return spark.read.schema(full).parquet(*paths)
+
+
+def compact(
+    spark: SparkSession,
+    root: str,
+    schema: T.StructType,
+    fold: Callable[[DataFrame], DataFrame],
+    upto: int,
+) -> None:
+    """Fold all parts up to ``upto`` into one base part; ``fold`` keeps ``part``.
+
+    The folded parts stay on disk for readers that already chose them.
+    """
+    if _committed(spark, root, "base=", upto - 1, upto + 1):
+        return
+    folded = fold(read_parts(spark, root, schema, before=upto + 1))
+    folded.write.mode("overwrite").parquet(f"{root}/base={upto}")
+
+
+def settle(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back.
+
+    For a costly result with several uses: it is computed once, and a lost executor
+    costs no recomputation.
+    """
+    path = fresh_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,0 +1,94 @@
+"""The ledger's tables between streaming batches.
+
+Every batch only appends: admitted rows, deaths by key, the last outcome of each
+URL, dead records. What a table holds now is a keyed reduction over its parts, so
+no batch rewrites a table. Each stream compacts the tables it alone writes.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+
+from rollbook.functions.scalars import keyed_join
+from rollbook.operators.ingest import KEYS
+from rollbook.operators.outcomes import alive, latest
+from rollbook.schemas import CRAWDETAIL, CRAWLOG, HISTORY, NOW, POOL
+from rollbook.sources import parts
+
+DEATHS = T.StructType([
+    T.StructField("ip", T.StringType()),
+    T.StructField("port", T.StringType()),
+    T.StructField("died", T.TimestampType()),
+])
+NOW_LOG = T.StructType([*NOW.fields, T.StructField("result", T.IntegerType())])
+
+# Keys that may be broadcast: some hundred bytes each, so well below 100 MB.
+MAX_BROADCAST_KEYS = 200_000
+
+
+def narrow(table: DataFrame, wanted: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The rows of ``table`` with a wanted key.
+
+    A batch names few keys of a large table: once counted, few keys are broadcast so
+    that the table is filtered where it is read; many keys are joined by shuffle.
+    """
+    keys = wanted.select(*names).distinct()
+    if keys.count() <= MAX_BROADCAST_KEYS:
+        keys = F.broadcast(keys)
+    return keyed_join(table, keys, names, "left_semi")
+
+
+class Book:
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark = spark
+        self.root = root
+
+    def path(self, name: str) -> str:
+        return f"{self.root}/{name}"
+
+    def _read(self, name: str, schema: T.StructType, before: float = float("inf")) -> DataFrame:
+        return parts.read_parts(self.spark, self.path(name), schema, before)
+
+    def pool(self, before: float = float("inf"), only: DataFrame | None = None) -> DataFrame:
+        """Admitted rows whose key has not died since; optionally those of some keys only."""
+        return self._living(self._read("pool", POOL, before), only).drop("part")
+
+    def _living(self, rows: DataFrame, only: DataFrame | None = None) -> DataFrame:
+        deaths = self._read("deaths", DEATHS)
+        if only is not None:
+            rows, deaths = narrow(rows, only, KEYS), narrow(deaths, only, KEYS)
+        died = deaths.groupBy(*KEYS).agg(F.max("died").alias("died"))
+        joined = keyed_join(rows, died, KEYS, "left")
+        return joined.where(F.col("died").isNull() | (F.col("died") < F.col("timestamp"))).drop("died")
+
+    def now(self) -> DataFrame:
+        last = latest(self._read("now", NOW_LOG), "url", "part")
+        return alive(last).select("url", "tm", "anonymous")
+
+    def history(self) -> DataFrame:
+        return latest(self._read("history", HISTORY), "_id", "part").drop("part")
+
+    def crawdetail(self) -> DataFrame:
+        return self._read("crawdetail", CRAWDETAIL).drop("part")
+
+    def crawlog(self) -> DataFrame:
+        return self._read("crawlog", CRAWLOG).drop("part")
+
+    def compact_pool(self, upto: int) -> None:
+        parts.compact(self.spark, self.path("pool"), POOL, self._living, upto)
+
+    def compact_outcomes(self, upto: int) -> None:
+        def last_death(rows):
+            return rows.groupBy(*KEYS).agg(F.max("died").alias("died"), F.max("part").alias("part"))
+
+        def last_url(rows):
+            return latest(rows, "url", "part")
+
+        def last_record(rows):
+            return latest(rows, "_id", "part")
+
+        parts.compact(self.spark, self.path("deaths"), DEATHS, last_death, upto)
+        parts.compact(self.spark, self.path("now"), NOW_LOG, last_url, upto)
+        parts.compact(self.spark, self.path("history"), HISTORY, last_record, upto)
