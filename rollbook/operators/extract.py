@@ -5,12 +5,17 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 
+import rollbook
 from rollbook.functions.scalars import classify, classify_foreign, strip_ws, ts14
 from rollbook.operators.markup import PageError, read_listing
 from rollbook.sources.sites import SITES, Layout, Site
 
+# The parse travels inside the UDF, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(rollbook)
+
 # Fixed value: what an error record's text starts with.
 ERROR_PREFIX = "response解析异常, "
 

@@ -5,10 +5,17 @@ nearest open element of its name and everything opened since, an end tag without
 an open element is ignored, nothing is closed by a start tag, and void elements
 hold nothing. Rows, cells and children are kept as ranges over document order, so
 a page costs time linear in its length however deeply its cells are nested.
+
+Pages are cut into tokens by one regular expression as long as their markup is
+clean; the first token that is not clean sends the page through ``html.parser``
+from its start, which is some ten times slower.
 """
 
 from __future__ import annotations
 
+import re
+from collections import defaultdict
+from html import unescape
 from html.parser import HTMLParser
 
 from rollbook.sources.sites import Cell, Layout
@@ -22,6 +29,23 @@ VOID = frozenset(
 # Elements whose text is not part of a cell's text.
 SILENT = frozenset(("script", "style", "template"))
 
+_ATTRIBUTES = r"""((?:\s++[^\s/=>"'<]++(?:=(?:"[^"]*+"|'[^']*+'|[^\s"'=<>`]++))?+)*+)\s*+"""
+
+# Text, then one tag, comment, doctype or whole raw element, or a ``<`` that is none of these.
+_TOKEN = re.compile(
+    rf"""([^<]*+)(?:
+      </([a-zA-Z][a-zA-Z0-9:-]*+)\s*+>
+    | <([sS][cC][rR][iI][pP][tT]|[sS][tT][yY][lL][eE])(?=[\s>]){_ATTRIBUTES}>
+      (?:[^<]++|<(?!/(?i:script|style)))*+</(?i:\3)\s*+>
+    | <(?!(?i:script|style)[\s/>])([a-zA-Z][a-zA-Z0-9:-]*+){_ATTRIBUTES}(/?)>
+    | <!--(?:[^-]|-(?!-))*+-->
+    | <![dD][oO][cC][tT][yY][pP][eE]\s[^>\[]*+>
+    | (<)
+    | \Z)""",
+    re.VERBOSE,
+)
+_ATTRIBUTE = re.compile(r"""\s+([^\s=]+)(?:=(?:"([^"]*)"|'([^']*)'|(\S+)))?""")
+
 
 class PageError(ValueError):
     """Why a page is discarded as a whole."""
@@ -31,36 +55,52 @@ class _Closed(Exception):
     """The container has ended; the rest of the page cannot matter."""
 
 
+class _Unclean(Exception):
+    """A token the fast pass does not know."""
+
+
+def _attributes(raw: str | list) -> dict[str, str]:
+    """Attributes from a tag's text or from ``html.parser`` pairs; the last of a name wins."""
+    if isinstance(raw, list):
+        return {name: value or "" for name, value in raw}
+    return {
+        name.lower(): unescape(double or single or bare)
+        for name, double, single, bare in _ATTRIBUTE.findall(raw)
+    }
+
+
 class _Span:
     """An element seen as ranges over the texts, cells and children in it."""
 
     __slots__ = ("texts", "cells", "kids", "end")
 
-    def __init__(self, mark):
-        self.texts, self.cells, self.kids = mark
+    def __init__(self, tree: _Tree):
+        self.texts, self.cells, self.kids = len(tree.texts), len(tree.cells), len(tree.kids)
         self.end = None
 
 
-class _Reader(HTMLParser):
+class _Tree:
+    """Keeps what the layout asks for while tags and texts pass in document order."""
+
     def __init__(self, layout: Layout):
-        super().__init__(convert_charrefs=True)
         self.layout = layout
         self.child_tags = {cell.child for _, cell in layout.fields if cell.child}
+        self.kept = {layout.row, layout.cell, *self.child_tags}
         self.open: list[tuple[str, _Span | None]] = []
-        self.counts: dict[str, int] = {}
+        self.counts: defaultdict[str, int] = defaultdict(int)
         self.base: int | None = None
         self.silent = 0
         self.texts: list[str] = []
-        self.cells: list[tuple[_Span, dict[str, str]]] = []
-        self.kids: list[tuple[str, dict[str, str]]] = []
+        self.cells: list[tuple[_Span, str | list]] = []
+        self.kids: list[tuple[str, str | list]] = []
         self.rows: list[_Span] = []
 
     def _mark(self):
         return len(self.texts), len(self.cells), len(self.kids)
 
-    def _is_container(self, tag, attrs):
+    def _is_container(self, tag, raw):
         if self.layout.container_id:
-            return dict(attrs).get("id") == self.layout.container_id
+            return bool(raw) and _attributes(raw).get("id") == self.layout.container_id
         return tag == self.layout.container_tag
 
     def _is_row(self, tag):
@@ -70,56 +110,57 @@ class _Reader(HTMLParser):
             return True
         return len(self.open) == self.base + 2 and self.open[-1][0] == "tbody"
 
-    def handle_starttag(self, tag, attrs):
+    def _keep(self, tag, raw):
+        span = None
+        # A child belongs to the cells that are already open.
+        if tag in self.child_tags:
+            self.kids.append((tag, raw))
+        if self._is_row(tag):
+            span = _Span(self)
+            self.rows.append(span)
+        if tag == self.layout.cell:
+            span = span or _Span(self)
+            self.cells.append((span, raw))
+        if span and tag in VOID:
+            span.end = self._mark()
+        return span
+
+    def start(self, tag, raw):
         span = None
         if self.base is None:
-            if self._is_container(tag, attrs):
+            if self._is_container(tag, raw):
                 self.base = len(self.open)
                 if tag in VOID:
                     raise _Closed
-        else:
-            # A child belongs to the cells that are already open.
-            if tag in self.child_tags:
-                self.kids.append((tag, {k: v or "" for k, v in attrs}))
-            if self._is_row(tag):
-                span = _Span(self._mark())
-                self.rows.append(span)
-            if tag == self.layout.cell:
-                span = span or _Span(self._mark())
-                self.cells.append((span, {k: v or "" for k, v in attrs}))
+        elif tag in self.kept:
+            span = self._keep(tag, raw)
         if tag in VOID:
-            if span:
-                span.end = self._mark()
             return
         self.open.append((tag, span))
-        self.counts[tag] = self.counts.get(tag, 0) + 1
-        self.silent += tag in SILENT
+        self.counts[tag] += 1
+        if tag in SILENT:
+            self.silent += 1
 
-    def handle_endtag(self, tag):
-        if not self.counts.get(tag):
+    def end(self, tag):
+        counts, opened = self.counts, self.open
+        if not counts[tag]:
             return
         name = None
         while name != tag:
-            name, span = self.open.pop()
-            self.counts[name] -= 1
-            self.silent -= name in SILENT
+            name, span = opened.pop()
+            counts[name] -= 1
             if span:
                 span.end = self._mark()
-            if len(self.open) == self.base:
+            if name in SILENT:
+                self.silent -= 1
+            if len(opened) == self.base:
                 raise _Closed
 
-    def handle_data(self, data):
+    def text(self, data):
         if self.base is not None and not self.silent:
             self.texts.append(data)
 
-    def read(self, html: str) -> None:
-        try:
-            self.feed(html)
-            self.close()
-        except _Closed:
-            pass
-        except AssertionError as problem:
-            raise PageError(f"markup rejected: {problem}") from problem
+    def finish(self):
         last = self._mark()
         for span in [*self.rows, *(span for span, _ in self.cells)]:
             span.end = span.end or last
@@ -128,17 +169,70 @@ class _Reader(HTMLParser):
         at, stop = row.cells + field.at, row.end[1]
         if at >= stop:
             raise PageError(f"row {row_no}: {stop - row.cells} cells, cell {field.at} wanted")
-        span, attrs = self.cells[at]
+        span, raw = self.cells[at]
         if field.child:
             inside = self.kids[span.kids:span.end[2]]
-            attrs = next((found for tag, found in inside if tag == field.child), None)
-            if attrs is None:
+            raw = next((found for tag, found in inside if tag == field.child), None)
+            if raw is None:
                 raise PageError(f"row {row_no}: no {field.child} in cell {field.at}")
         if not field.attr:
             return "".join(self.texts[span.texts:span.end[0]])
-        if field.attr not in attrs:
+        attributes = _attributes(raw)
+        if field.attr not in attributes:
             raise PageError(f"row {row_no}: no {field.attr} in cell {field.at}")
-        return attrs[field.attr]
+        return attributes[field.attr]
+
+
+class _Lenient(HTMLParser):
+    """Any markup, by the standard library's rules."""
+
+    def __init__(self, tree: _Tree):
+        super().__init__(convert_charrefs=True)
+        self.handle_starttag = tree.start
+        self.handle_endtag = tree.end
+        self.handle_data = tree.text
+
+
+def _read_lenient(html: str, tree: _Tree) -> None:
+    reader = _Lenient(tree)
+    try:
+        reader.feed(html)
+        reader.close()
+    except AssertionError as problem:
+        raise PageError(f"markup rejected: {problem}") from problem
+
+
+def _read_clean(html: str, tree: _Tree) -> None:
+    start, end = tree.start, tree.end
+    for found in _TOKEN.finditer(html):
+        data, closed, raw_tag, raw_attributes, tag, attributes, slash, unclean = found.groups()
+        if data and tree.base is not None:
+            tree.text(unescape(data) if "&" in data else data)
+        if tag:
+            tag = tag.lower()
+            start(tag, attributes)
+            if slash:
+                end(tag)
+        elif closed:
+            end(closed.lower())
+        elif raw_tag:
+            start(raw_tag.lower(), raw_attributes)
+            end(raw_tag.lower())
+        elif unclean:
+            raise _Unclean
+
+
+def _read(html: str, layout: Layout) -> _Tree:
+    for reader in (_read_clean, _read_lenient):
+        tree = _Tree(layout)
+        try:
+            reader(html, tree)
+        except _Unclean:
+            continue
+        except _Closed:
+            pass
+        tree.finish()
+        return tree
 
 
 def read_listing(html: str | None, layout: Layout | None) -> list[list[str]]:
@@ -147,11 +241,10 @@ def read_listing(html: str | None, layout: Layout | None) -> list[list[str]]:
         raise PageError("no response text")
     if layout is None:
         raise PageError("no layout for this site")
-    reader = _Reader(layout)
-    reader.read(html)
-    if reader.base is None and not layout.direct:
+    tree = _read(html, layout)
+    if tree.base is None and not layout.direct:
         raise PageError("no container")
     return [
-        [reader.value(no, row, cell) for _, cell in layout.fields]
-        for no, row in enumerate(reader.rows[layout.skip:], start=1)
+        [tree.value(no, row, cell) for _, cell in layout.fields]
+        for no, row in enumerate(tree.rows[layout.skip:], start=1)
     ]

@@ -14,7 +14,7 @@ from rollbook.plans import standins as given
 from rollbook.plans import tables
 from rollbook.schemas import OUTCOME, PAGES
 from rollbook.session import fresh_dir
-from rollbook.sources.parts import seed
+from rollbook.sources.parts import seed, settle
 from rollbook.streaming.book import Book
 from rollbook.streaming.fold import fold_stream
 from rollbook.streaming.harvest import harvest_stream
@@ -25,15 +25,11 @@ SLICES = 3
 
 def _land_and_run(df: DataFrame, order: str, start: Callable, root: str) -> None:
     """Cut ``df`` into slices of its arrival order, land each and run the stream."""
-    spark = df.sparkSession
-    last = df.agg(F.max(order)).first()[0]
-    slices = f"{root}/slices"
+    table = settle(df, "arrivals")
+    last = table.agg(F.max(order)).first()[0]
     number = F.expr(f"{order} * {SLICES} div {last + 1}")
-    df.withColumn("slice", number).write.partitionBy("slice").parquet(slices)
-    cut = spark.read.parquet(slices)
     for i in range(SLICES):
-        part = cut.where(F.col("slice") == i).select(*df.columns)
-        part.write.mode("append").parquet(f"{root}/landed")
+        table.where(number == i).write.mode("append").parquet(f"{root}/landed")
         start(f"{root}/landed").awaitTermination()
 
 

@@ -55,7 +55,9 @@ def read_parts(
     paths += [f"{root}/v={n}" for n in _committed(spark, root, "v=", start, before)]
     full = T.StructType([*schema.fields, T.StructField("part", T.LongType())])
     if not paths:
-        return spark.createDataFrame([], full)
+        # A filter that is false at planning time lets the optimizer drop joins with it.
+        nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in full.fields]
+        return spark.range(1).where(F.lit(False)).select(*nulls)
     return spark.read.schema(full).parquet(*paths)
 
 

@@ -28,16 +28,19 @@ NOW_LOG = T.StructType([*NOW.fields, T.StructField("result", T.IntegerType())])
 MAX_BROADCAST_KEYS = 200_000
 
 
+def wanted_keys(batch: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The keys of a batch, marked for broadcast only if its row count bounds their size."""
+    keys = batch.select(*names).distinct()
+    return F.broadcast(keys) if batch.count() <= MAX_BROADCAST_KEYS else keys
+
+
 def narrow(table: DataFrame, wanted: DataFrame, names: Sequence[str]) -> DataFrame:
     """The rows of ``table`` with a wanted key.
 
-    A batch names few keys of a large table: once counted, few keys are broadcast so
-    that the table is filtered where it is read; many keys are joined by shuffle.
+    A batch names few keys of a large table: broadcast, they filter it where it is
+    read, so that only these rows are shuffled afterwards.
     """
-    keys = wanted.select(*names).distinct()
-    if keys.count() <= MAX_BROADCAST_KEYS:
-        keys = F.broadcast(keys)
-    return keyed_join(table, keys, names, "left_semi")
+    return keyed_join(table, wanted, names, "left_semi")
 
 
 class Book:

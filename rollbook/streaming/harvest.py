@@ -7,13 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from rollbook.functions.scalars import ts14
 from rollbook.operators.extract import error_log, extract, split, unnest
 from rollbook.operators.ingest import KEYS, accounting, admit, pool_rows
-from rollbook.functions.scalars import ts14
 from rollbook.schemas import ITEM, PAGES
 from rollbook.sources.parts import read_part, write_part
 from rollbook.sources.sites import SITES, Site
-from rollbook.streaming.book import Book
+from rollbook.streaming.book import Book, wanted_keys
 
 # Fixed value: pause between two harvest rounds.
 HARVEST_PAUSE = "10 minutes"
@@ -32,7 +32,7 @@ def harvest_batch(
     items = read_part(spark, book.path("items"), ITEM, number)
     whole, _ = split(items)
     rows = unnest(items)
-    known = book.pool(before=number, only=rows).select(*KEYS)
+    known = book.pool(before=number, only=wanted_keys(rows, KEYS)).select(*KEYS)
     counted = accounting(rows, known, whole.select("url", "kinddesc", "page_seq"))
     detail = counted.drop("page_seq").withColumn("timestamp", ts14(as_of))
     write_part(detail, book.path("crawdetail"), number)

@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from rollbook.operators.replay import SLICE_WIDTH, admissions, last_events
 from rollbook.sources import parts
-from rollbook.streaming.book import narrow
+from rollbook.streaming.book import narrow, wanted_keys
 
 COMPACT_EVERY = 50
 
@@ -38,7 +38,7 @@ def ledger_batch(
     if number and number % COMPACT_EVERY == 0:
         parts.compact(spark, f"{root}/state", schema, lambda s: _last_known(s, keys), number - 1)
     stored = parts.read_parts(spark, f"{root}/state", schema, before=number)
-    known = _last_known(narrow(stored, events, keys), keys)
+    known = _last_known(narrow(stored, wanted_keys(events, keys), keys), keys)
     admitted = admissions(events, keys, state=known, width=width)
     parts.write_part(admitted.drop("dead"), f"{root}/admissions", number)
     parts.write_part(last_events(events, keys), f"{root}/state", number)
