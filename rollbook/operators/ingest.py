@@ -2,6 +2,7 @@
 
 A key is admitted by the first page that shows it, unless the pool holds it
 already; all sightings of the key on that one page enter, duplicates included.
+Sightings are read more than once: settle them first if they are costly to make.
 """
 
 from __future__ import annotations

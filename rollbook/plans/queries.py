@@ -127,7 +127,7 @@ def _as_harvested(pool: DataFrame) -> DataFrame:
 
 @query
 def harvest_pool(spark, sf_dir):
-    rows = extract.unnest(_items(spark, sf_dir))
+    rows = extract.unnest(settle(_items(spark, sf_dir), "items"))
     admitted = ingest.admit(rows, listing_pool(spark, sf_dir))
     row_id = F.concat_ws("-", "page_seq", "row_no")
     return _as_harvested(

@@ -1,0 +1,63 @@
+from pyspark.sql import functions as F, types as T
+
+from rollbook.session import fresh_dir
+from rollbook.sources import parts
+
+SCHEMA = T.StructType([T.StructField("k", T.StringType()), T.StructField("n", T.LongType())])
+
+
+def frame(spark, *rows):
+    return spark.createDataFrame(list(rows), SCHEMA)
+
+
+def last(df):
+    latest = df.groupBy("k").agg(F.max(F.struct("part", "n")).alias("x"))
+    return latest.select("k", "x.n", "x.part")
+
+
+def rows(df):
+    return sorted((r.k, r.n, r.part) for r in df.collect())
+
+
+def test_a_repeated_part_replaces_itself(spark):
+    root = fresh_dir(spark, "t")
+    parts.write_part(frame(spark, ("a", 1)), root, 0)
+    parts.write_part(frame(spark, ("a", 2)), root, 1)
+    parts.write_part(frame(spark, ("a", 3)), root, 1)
+    assert rows(parts.read_parts(spark, root, SCHEMA)) == [("a", 1, 0), ("a", 3, 1)]
+    assert rows(parts.read_parts(spark, root, SCHEMA, before=1)) == [("a", 1, 0)]
+
+
+def test_no_parts_is_an_empty_table_the_optimizer_can_drop(spark):
+    none = parts.read_parts(spark, fresh_dir(spark, "t"), SCHEMA)
+    assert none.schema.names == ["k", "n", "part"] and none.count() == 0
+    joined = frame(spark, ("a", 1)).join(none.select("k", "part"), "k", "left")
+    assert "Join" not in joined._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_unfinished_parts_are_not_read(spark):
+    root = fresh_dir(spark, "t")
+    parts.write_part(frame(spark, ("a", 1)), root, 0)
+    parts.write_part(frame(spark, ("a", 2)), root, 1)
+    fs = spark._jvm.org.apache.hadoop.fs
+    done = fs.Path(f"{root}/v=1/_SUCCESS")
+    done.getFileSystem(spark._jsc.hadoopConfiguration()).delete(done, False)
+    assert rows(parts.read_parts(spark, root, SCHEMA)) == [("a", 1, 0)]
+
+
+def test_seed_then_parts_then_base(spark):
+    root = fresh_dir(spark, "t")
+    parts.seed(frame(spark, ("a", 0), ("b", 0)), root)
+    for n in range(4):
+        parts.write_part(frame(spark, ("a", n)), root, n)
+    before = rows(last(parts.read_parts(spark, root, SCHEMA)))
+    parts.compact(spark, root, SCHEMA, last, upto=2)
+    parts.compact(spark, root, SCHEMA, last, upto=2)
+    assert rows(parts.read_parts(spark, root, SCHEMA)) == [("a", 2, 2), ("a", 3, 3), ("b", 0, -1)]
+    assert rows(last(parts.read_parts(spark, root, SCHEMA))) == before
+    assert rows(parts.read_parts(spark, root, SCHEMA, before=1)) == [("a", 0, -1), ("a", 0, 0), ("b", 0, -1)]
+
+
+def test_settle_reads_back_the_same_rows(spark):
+    df = frame(spark, ("a", 1), ("b", 2))
+    assert sorted(parts.settle(df, "t").collect()) == sorted(df.collect())
