@@ -86,7 +86,10 @@ def accounting(
     rows only, so it equals ``addcount``. No sighting is joined: rows are counted
     per key and page, then per key, then per page.
     """
-    counted = sightings.groupBy(*keys, page).agg(F.count(F.lit(1)).alias("n"))
+    # The filter the last join implies, stated here so that both uses of the counts
+    # are the same plan and share one shuffle.
+    paged = sightings.where(F.col(page).isNotNull())
+    counted = paged.groupBy(*keys, page).agg(F.count(F.lit(1)).alias("n"))
     zero = F.lit(0).cast("bigint")
     seen = counted.select(page, F.col("n").alias("seen"), zero.alias("added"))
     added = _winners(counted, pool, keys, page).select(page, zero.alias("seen"), F.col("n").alias("added"))

@@ -101,7 +101,10 @@ def history_after(history: DataFrame, outcomes: DataFrame) -> DataFrame:
 def fold(
     pool: DataFrame, now: DataFrame, history: DataFrame, outcomes: DataFrame
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The three tables after a batch of outcomes in any number."""
+    """The three tables after a batch of outcomes in any number.
+
+    The outcomes are read three times: settle them first if they come from a join.
+    """
     return (
         pool_without(pool, dead_keys(outcomes)),
         now_after(now, outcomes),

@@ -304,7 +304,10 @@ def outcome_split(spark, sf_dir):
 
 @query
 def outcome_join(spark, sf_dir):
-    return given.outcomes(spark, sf_dir).select("seq", "result", "purl", "record.*")
+    """Answers that name their record meet the dispatched rows."""
+    answered = outcomes.classify_probes(given.probes(spark, sf_dir))
+    joined = outcomes.attach_records(answered, given.pool(spark, sf_dir))
+    return joined.select("seq", "result", "purl", "record.*")
 
 
 @query

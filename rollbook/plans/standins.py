@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rollbook.functions.scalars import classify, endpoint_url
-from rollbook.operators.outcomes import attach_records, classify_probes
+from rollbook.operators.outcomes import classify_probes
+from rollbook.operators.sweep import DISPATCHED
 from rollbook.sources.sites import SITES, Cell, Layout
 
 # Event types in the role of class labels and of schemes.
@@ -86,36 +87,52 @@ def big_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def pool(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as pool rows: key (user, port from props), counter 0..4."""
+def _pool_columns() -> dict[str, Column]:
+    """An event as a pool row: key (user, port from props), counter 0..4."""
     kind = F.col("event_type")
-    return events(spark, sf_dir).select(
-        F.col("event_id").cast("string").alias("_id"),
-        F.col("user_id").cast("string").alias("ip"),
-        (prop(F.col("props")) + 8000).cast("string").alias("port"),
-        F.concat(
+    return {
+        "_id": F.col("event_id").cast("string"),
+        "ip": F.col("user_id").cast("string"),
+        "port": (prop(F.col("props")) + 8000).cast("string"),
+        "anonymous": F.concat(
             F.when(F.col("user_id") % 2 == 1, "W").otherwise(""), classify(label_of(kind))
-        ).alias("anonymous"),
-        (F.col("event_id") % 5).cast("int").alias("status"),
-        F.when(kind == "click", "HTTP").otherwise("HTTPS").alias("http"),
-        F.concat(F.lit("kind "), kind).alias("kinddesc"),
-    )
+        ),
+        "status": (F.col("event_id") % 5).cast("int"),
+        "http": F.when(kind == "click", "HTTP").otherwise("HTTPS"),
+        "kinddesc": F.concat(F.lit("kind "), kind),
+    }
 
 
-def probes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as probe answers of the pool row with their id."""
+def pool(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return events(spark, sf_dir).select(*[c.alias(n) for n, c in _pool_columns().items()])
+
+
+def _probe_columns() -> dict[str, Column]:
+    """An event as the answer to the probe of its pool row."""
     kind = F.col("event_type")
-    return events(spark, sf_dir).select(
-        F.col("event_id").cast("string").alias("record_id"),
-        F.when(kind == "error", "http_error").when(kind == "signup", "other").alias("err_kind"),
-        F.col("ts").cast("timestamp").alias("order_ts"),
-        F.col("event_id").alias("seq"),
-    )
+    return {
+        "err_kind": F.when(kind == "error", "http_error").when(kind == "signup", "other"),
+        "order_ts": F.col("ts").cast("timestamp"),
+        "seq": F.col("event_id"),
+    }
+
+
+def probes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Answers that name their pool row by id."""
+    answers = {"record_id": F.col("event_id").cast("string"), **_probe_columns()}
+    return events(spark, sf_dir).select(*[c.alias(n) for n, c in answers.items()])
 
 
 def outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    answered = classify_probes(probes(spark, sf_dir)).drop("err_kind")
-    return attach_records(answered, pool(spark, sf_dir))
+    """Answers that carry their pool row, as the probe returns them."""
+    row = _pool_columns()
+    answers = {
+        "record": F.struct(*[row[n].alias(n) for n in DISPATCHED]),
+        "purl": endpoint_url(row["http"], row["ip"], row["port"]),
+        **_probe_columns(),
+    }
+    found = events(spark, sf_dir).select(*[c.alias(n) for n, c in answers.items()])
+    return classify_probes(found).drop("err_kind")
 
 
 def now(spark: SparkSession, sf_dir: str) -> DataFrame:
