@@ -98,9 +98,20 @@ def accounting(
         .groupBy(page)
         .agg(F.sum("seen").alias("seen"), F.sum("added").alias("added"))
     )
+    return _counts(pages.join(sums, page, "left"), pages.columns)
+
+
+def accounting_after(pages: DataFrame, admitted: DataFrame, page: str = PAGE) -> DataFrame:
+    """A1 once the admitted rows are stored: ``pages`` also has its row count ``seen``."""
+    added = admitted.groupBy(page).agg(F.count(F.lit(1)).alias("added"))
+    return _counts(pages.join(added, page, "left"), [c for c in pages.columns if c != "seen"])
+
+
+def _counts(pages: DataFrame, kept: Sequence[str]) -> DataFrame:
+    zero = F.lit(0).cast("bigint")
     new = F.coalesce("added", zero)
-    return pages.join(sums, page, "left").select(
-        *pages.columns,
+    return pages.select(
+        *kept,
         new.alias("total"),
         new.alias("addcount"),
         (F.coalesce("seen", zero) - new).alias("existcount"),

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from rollbook.functions.scalars import ts14
 from rollbook.operators.extract import error_log, extract, split, unnest
-from rollbook.operators.ingest import KEYS, accounting, admit, pool_rows
+from rollbook.operators.ingest import KEYS, PAGE, accounting_after, admit, pool_rows
 from rollbook.schemas import ITEM, PAGES
 from rollbook.sources.parts import read_part, write_part
 from rollbook.sources.sites import SITES, Site
@@ -23,7 +23,11 @@ COMPACT_EVERY = 50
 def harvest_batch(
     pages: DataFrame, number: int, root: str, sites: Sequence[Site], as_of: Column
 ) -> None:
-    """One batch of pages. The parsed pages are written once and feed all three tables."""
+    """One batch of pages.
+
+    The parsed pages are written once and feed all three tables; the page counts come
+    from the stored rows, so admission is computed once.
+    """
     spark = pages.sparkSession
     book = Book(spark, root)
     if number and number % COMPACT_EVERY == 0:
@@ -33,12 +37,13 @@ def harvest_batch(
     whole, _ = split(items)
     rows = unnest(items)
     known = book.pool(before=number, only=wanted_keys(rows, KEYS)).select(*KEYS)
-    counted = accounting(rows, known, whole.select("url", "kinddesc", "page_seq"))
-    detail = counted.drop("page_seq").withColumn("timestamp", ts14(as_of))
-    write_part(detail, book.path("crawdetail"), number)
-    row_id = F.concat_ws("-", "page_seq", "row_no")
-    admitted = pool_rows(admit(rows, known), row_id, as_of).drop("url", "page_seq", "row_no")
+    row_id = F.concat_ws("-", PAGE, "row_no")
+    admitted = pool_rows(admit(rows, known), row_id, as_of).drop("url", "row_no")
     write_part(admitted, book.path("pool"), number)
+    seen = whole.select("url", "kinddesc", PAGE, F.size("reslist").cast("bigint").alias("seen"))
+    stored = read_part(spark, book.path("pool"), T.StructType([ITEM[PAGE]]), number)
+    detail = accounting_after(seen, stored).drop(PAGE).withColumn("timestamp", ts14(as_of))
+    write_part(detail, book.path("crawdetail"), number)
     write_part(error_log(items, as_of), book.path("crawlog"), number)
 
 

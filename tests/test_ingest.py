@@ -35,6 +35,9 @@ def test_equals_row_by_row_ingest(spark, seed):
     assert ingest.existing(found, pooled).count() == found.count() - len(admitted)
     account = ingest.accounting(found, pooled, listed).collect()
     assert {r.page_seq: (r.total, r.addcount, r.existcount) for r in account} == counts
+    seen = spark.createDataFrame([(p, len(k)) for p, k in pages], "page_seq long, seen long")
+    after = ingest.accounting_after(seen, ingest.admit(found, pooled)).collect()
+    assert {r.page_seq: (r.total, r.addcount, r.existcount) for r in after} == counts
 
 
 def test_same_page_duplicates_stay_and_later_pages_add_nothing(spark):
