@@ -286,5 +286,9 @@ ORACLE: dict[str, str] = {
     "stream_harvest_pool": HARVEST_POOL,
     "stream_fold": FOLD,
     "stream_now": f"WITH {LIVE} SELECT url, {TS.format('tm')} AS tm, anonymous FROM live",
+    "stream_sweep": f"""
+      WITH {POOL}
+      SELECT _id, ip, port, anonymous, CAST(status + 1 + sweep AS INTEGER) AS status, http, kinddesc, sweep
+      FROM pool, (VALUES (CAST(0 AS BIGINT)), (CAST(1 AS BIGINT))) AS s(sweep) WHERE {ELIGIBLE}""",
     "stream_ledger": ADMISSIONS,
 }

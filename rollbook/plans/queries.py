@@ -417,6 +417,11 @@ def stream_now(spark, sf_dir):
     return stream_runs.live_now(spark, sf_dir).withColumn("tm", text_ts(F.col("tm")))
 
 
+@query
+def stream_sweep(spark, sf_dir):
+    return stream_runs.swept_twice(spark, sf_dir)
+
+
 @query
 def stream_ledger(spark, sf_dir):
     return stream_runs.ledger_admissions(spark, sf_dir)

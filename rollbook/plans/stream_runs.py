@@ -19,6 +19,7 @@ from rollbook.streaming.book import Book
 from rollbook.streaming.fold import fold_stream
 from rollbook.streaming.harvest import harvest_stream
 from rollbook.streaming.membership import ledger_stream, read_admissions
+from rollbook.streaming.sweep import sweep_cycle
 
 SLICES = 3
 
@@ -78,6 +79,16 @@ def live_now(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _folded(spark, sf_dir).now()
 
 
+def swept_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What two sweeps dispatch, the second one run again after it has finished."""
+    root = fresh_dir(spark, "sweep")
+    book = Book(spark, root)
+    seed(tables.widened(given.pool(spark, sf_dir)), book.path("pool"))
+    for number in (0, 1, 1):
+        sweep_cycle(spark, root, number)
+    return book.dispatched()
+
+
 def ledger_admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = fresh_dir(spark, "ledger")
     events = given.log(spark, sf_dir)

@@ -12,8 +12,6 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    # A record is a whole HTML page, so Arrow batches are counted in few records.
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
     # Columns are built without recording the Python line of each, which costs more
     # than planning the query.
     "spark.sql.dataFrameQueryContext.enabled": "false",

@@ -1,44 +1,65 @@
 """Tables kept as numbered parts in a shared folder.
 
-A job that may be repeated (a streaming batch after a restart, a retried run)
-writes the part of its own number again and changes nothing else, so every write
-is idempotent and costs no more than the batch. A ``base`` part replaces all parts
-up to its number.
+A part is written once: a job that is repeated (a streaming batch after a restart, a
+retried run) finds its finished parts and leaves them, so every write is idempotent,
+costs no more than the batch, and takes no file away from a reader. A base part
+replaces all parts up to its number; of several, the youngest generation counts.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from rollbook.session import fresh_dir
 
+_PART = re.compile(r"v=(\d+)")
+_BASE = re.compile(r"base=(-?\d+)_g(\d+)")
 
-def _committed(spark: SparkSession, root: str, prefix: str, low: float, high: float) -> list[int]:
-    """Numbers in ``low..high`` (both excluded) of the parts that were written to the end."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    path = hadoop.Path(root)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return []
-    names = [entry.getPath().getName() for entry in fs.listStatus(path)]
-    numbers = [int(name[len(prefix):]) for name in names if name.startswith(prefix)]
-    return sorted(
-        n for n in numbers
-        if low < n < high and fs.exists(hadoop.Path(f"{root}/{prefix}{n}/_SUCCESS"))
-    )
+
+def _file_system(spark: SparkSession, root: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _finished(spark: SparkSession, folder: str) -> bool:
+    path, fs = _file_system(spark, f"{folder}/_SUCCESS")
+    return fs.exists(path)
+
+
+def _names(spark: SparkSession, root: str) -> list[str]:
+    path, fs = _file_system(spark, root)
+    return [e.getPath().getName() for e in fs.listStatus(path)] if fs.exists(path) else []
+
+
+def _bases(spark: SparkSession, root: str, names: list[str], before: float) -> list[tuple[int, int]]:
+    """(number, generation) of finished bases, youngest first."""
+    found = (_BASE.fullmatch(name) for name in names)
+    pairs = sorted(((int(m[1]), int(m[2])) for m in found if m), reverse=True)
+    return [p for p in pairs if p[0] < before and _finished(spark, f"{root}/base={p[0]}_g{p[1]}")]
+
+
+def _parts(spark: SparkSession, root: str, names: list[str], low: int, high: float) -> list[int]:
+    """Numbers of finished parts above ``low`` and below ``high``."""
+    found = (_PART.fullmatch(name) for name in names)
+    numbers = sorted(int(m[1]) for m in found if m)
+    return [n for n in numbers if low < n < high and _finished(spark, f"{root}/v={n}")]
+
+
+def _write(df: DataFrame, folder: str) -> None:
+    if not _finished(df.sparkSession, folder):
+        df.write.mode("overwrite").parquet(folder)
 
 
 def write_part(df: DataFrame, root: str, number: int) -> None:
-    part = df.withColumn("part", F.lit(number).cast("bigint"))
-    part.write.mode("overwrite").parquet(f"{root}/v={number}")
+    _write(df.withColumn("part", F.lit(number).cast("bigint")), f"{root}/v={number}")
 
 
 def seed(df: DataFrame, root: str) -> None:
     """What the table held before its first part."""
-    start = df.withColumn("part", F.lit(-1).cast("bigint"))
-    start.write.mode("overwrite").parquet(f"{root}/base=-1")
+    _write(df.withColumn("part", F.lit(-1).cast("bigint")), f"{root}/base=-1_g0")
 
 
 def read_part(spark: SparkSession, root: str, schema: T.StructType, number: int) -> DataFrame:
@@ -48,11 +69,12 @@ def read_part(spark: SparkSession, root: str, schema: T.StructType, number: int)
 def read_parts(
     spark: SparkSession, root: str, schema: T.StructType, before: float = float("inf")
 ) -> DataFrame:
-    """All committed rows of parts numbered below ``before``, plus their ``part`` number."""
-    bases = _committed(spark, root, "base=", -2, before)[-1:]
-    start = bases[0] if bases else -1
-    paths = [f"{root}/base={n}" for n in bases]
-    paths += [f"{root}/v={n}" for n in _committed(spark, root, "v=", start, before)]
+    """All rows of finished parts numbered below ``before``, plus their ``part`` number."""
+    names = _names(spark, root)
+    base = _bases(spark, root, names, before)[:1]
+    start = base[0][0] if base else -1
+    paths = [f"{root}/base={n}_g{g}" for n, g in base]
+    paths += [f"{root}/v={n}" for n in _parts(spark, root, names, start, before)]
     full = T.StructType([*schema.fields, T.StructField("part", T.LongType())])
     if not paths:
         # A filter that is false at planning time lets the optimizer drop joins with it.
@@ -66,16 +88,24 @@ def compact(
     root: str,
     schema: T.StructType,
     fold: Callable[[DataFrame], DataFrame],
-    upto: int,
-) -> None:
-    """Fold all parts up to ``upto`` into one base part; ``fold`` keeps ``part``.
+    upto: int | None = None,
+    generation: int = 0,
+) -> DataFrame:
+    """Fold all parts up to ``upto`` into a base part and read it; ``fold`` keeps ``part``.
 
-    The folded parts stay on disk for readers that already chose them.
+    Without ``upto`` the last finished part is meant. The folded parts stay for readers
+    that already chose them.
     """
-    if _committed(spark, root, "base=", upto - 1, upto + 1):
-        return
-    folded = fold(read_parts(spark, root, schema, before=upto + 1))
-    folded.write.mode("overwrite").parquet(f"{root}/base={upto}")
+    names = _names(spark, root)
+    if upto is None:
+        done = [n for n, g in _bases(spark, root, names, float("inf")) if g == generation]
+        known = [n for n, _ in _bases(spark, root, names, float("inf"))]
+        upto = done[0] if done else max([-1, *known, *_parts(spark, root, names, -1, float("inf"))])
+    folder = f"{root}/base={upto}_g{generation}"
+    if not _finished(spark, folder):
+        _write(fold(read_parts(spark, root, schema, before=upto + 1)), folder)
+    full = T.StructType([*schema.fields, T.StructField("part", T.LongType())])
+    return spark.read.schema(full).parquet(folder)
 
 
 def settle(df: DataFrame, label: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 Every batch only appends: admitted rows, deaths by key, the last outcome of each
 URL, dead records. What a table holds now is a keyed reduction over its parts, so
-no batch rewrites a table. Each stream compacts the tables it alone writes.
+no batch rewrites a table. The sweep compacts the pool, the fold its own tables.
 """
 
 from __future__ import annotations
@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from rollbook.functions.scalars import keyed_join
 from rollbook.operators.ingest import KEYS
 from rollbook.operators.outcomes import alive, latest
-from rollbook.schemas import CRAWDETAIL, CRAWLOG, HISTORY, NOW, POOL
+from rollbook.operators.sweep import sweep
+from rollbook.schemas import CRAWDETAIL, CRAWLOG, HISTORY, NOW, POOL, RECORD
 from rollbook.sources import parts
 
 DEATHS = T.StructType([
@@ -79,8 +80,22 @@ class Book:
     def crawlog(self) -> DataFrame:
         return self._read("crawlog", CRAWLOG).drop("part")
 
-    def compact_pool(self, upto: int) -> None:
-        parts.compact(self.spark, self.path("pool"), POOL, self._living, upto)
+    def sweep(self, number: int) -> DataFrame:
+        """K4: raise the counters of the rows alive now, as the pool's new base.
+
+        A sweep touches every eligible row, so it is also the moment to compact. The
+        base is of generation ``number + 1``: repeating a sweep raises nothing twice.
+        """
+        def raised(rows):
+            return sweep(self._living(rows))
+
+        swept = parts.compact(
+            self.spark, self.path("pool"), POOL, raised, generation=number + 1
+        )
+        return swept.drop("part")
+
+    def dispatched(self) -> DataFrame:
+        return self._read("dispatch", RECORD).withColumnRenamed("part", "sweep")
 
     def compact_outcomes(self, upto: int) -> None:
         def last_death(rows):

@@ -17,7 +17,6 @@ from rollbook.streaming.book import Book, wanted_keys
 
 # Fixed value: pause between two harvest rounds.
 HARVEST_PAUSE = "10 minutes"
-COMPACT_EVERY = 50
 
 
 def harvest_batch(
@@ -30,8 +29,6 @@ def harvest_batch(
     """
     spark = pages.sparkSession
     book = Book(spark, root)
-    if number and number % COMPACT_EVERY == 0:
-        book.compact_pool(number - 1)
     write_part(extract(pages, sites), book.path("items"), number)
     items = read_part(spark, book.path("items"), ITEM, number)
     whole, _ = split(items)

@@ -19,12 +19,12 @@ def rows(df):
     return sorted((r.k, r.n, r.part) for r in df.collect())
 
 
-def test_a_repeated_part_replaces_itself(spark):
+def test_a_finished_part_is_final(spark):
     root = fresh_dir(spark, "t")
     parts.write_part(frame(spark, ("a", 1)), root, 0)
     parts.write_part(frame(spark, ("a", 2)), root, 1)
     parts.write_part(frame(spark, ("a", 3)), root, 1)
-    assert rows(parts.read_parts(spark, root, SCHEMA)) == [("a", 1, 0), ("a", 3, 1)]
+    assert rows(parts.read_parts(spark, root, SCHEMA)) == [("a", 1, 0), ("a", 2, 1)]
     assert rows(parts.read_parts(spark, root, SCHEMA, before=1)) == [("a", 1, 0)]
 
 
@@ -58,6 +58,32 @@ def test_seed_then_parts_then_base(spark):
     assert rows(parts.read_parts(spark, root, SCHEMA, before=1)) == [("a", 0, -1), ("a", 0, 0), ("b", 0, -1)]
 
 
+def test_generations(spark):
+    root = fresh_dir(spark, "t")
+
+    def more(df):
+        return df.withColumn("n", F.col("n") + 10)
+
+    parts.write_part(frame(spark, ("a", 1)), root, 0)
+    for generation in (1, 2, 2):
+        parts.compact(spark, root, SCHEMA, more, generation=generation)
+    assert rows(parts.read_parts(spark, root, SCHEMA)) == [("a", 21, 0)]
+    parts.write_part(frame(spark, ("b", 5)), root, 1)
+    parts.compact(spark, root, SCHEMA, more, generation=2)
+    assert rows(parts.read_parts(spark, root, SCHEMA)) == [("a", 21, 0), ("b", 5, 1)]
+    parts.compact(spark, root, SCHEMA, more, generation=3)
+    assert rows(parts.read_parts(spark, root, SCHEMA)) == [("a", 31, 0), ("b", 15, 1)]
+
+
+def test_an_unfinished_part_is_written_anew(spark):
+    root = fresh_dir(spark, "t")
+    frame(spark, ("a", 1)).write.option(
+        "mapreduce.fileoutputcommitter.marksuccessfuljobs", "false"
+    ).parquet(f"{root}/v=0")
+    parts.write_part(frame(spark, ("a", 2)), root, 0)
+    assert rows(parts.read_parts(spark, root, SCHEMA)) == [("a", 2, 0)]
+
+
 def test_settle_reads_back_the_same_rows(spark):
     df = frame(spark, ("a", 1), ("b", 2))
     assert sorted(parts.settle(df, "t").collect()) == sorted(df.collect())

@@ -10,6 +10,7 @@ from rollbook.session import fresh_dir
 from rollbook.sources import parts
 from rollbook.streaming import fold, harvest, membership
 from rollbook.streaming.book import Book
+from rollbook.streaming.sweep import sweep_cycle
 from test_outcomes import frames, random_case
 from test_replay import EVENT, frame, random_log
 
@@ -65,9 +66,10 @@ def test_harvest_across_batches_and_readmission(spark, root):
 
     harvested(spark, root, 3, page("xici", 6, wide_page(wide_row(*a), wide_row(*b))))
     assert keys(book.pool()) == [a, b, c]
-    book.compact_pool(2)
+    sweep_cycle(spark, root, 0)
     book.compact_outcomes(0)
     assert keys(book.pool()) == [a, b, c]
+    assert {r.status for r in book.pool().collect()} == {1}
     ids = [r._id for r in book.pool().collect()]
     assert len(set(ids)) == len(ids)
 
@@ -133,3 +135,27 @@ def test_a_repeated_ledger_batch_changes_nothing(spark, root):
         membership.ledger_batch(batches[number], number, root, ["ip", "port"], 1 << 20)
     got = membership.read_admissions(spark, root, df.schema)
     assert sorted(r.seq for r in got.collect()) == admitted
+
+
+def test_sweeps_between_harvests_and_deaths(spark, root):
+    a, b, c = ("192.0.2.1", "80"), ("192.0.2.2", "80"), ("192.0.2.3", "80")
+    book = Book(spark, root)
+
+    def sent(number):
+        rows = book.dispatched().where(F.col("sweep") == number).collect()
+        return sorted((r.ip, r.status) for r in rows)
+
+    harvested(
+        spark, root, 0,
+        page("xici", 1, wide_page(wide_row(*a), wide_row(*b), wide_row("192.0.2.9", "80", label="透明"))),
+    )
+    for number in (0, 1, 1):
+        sweep_cycle(spark, root, number)
+    assert (sent(0), sent(1)) == ([(a[0], 1), (b[0], 1)], [(a[0], 2), (b[0], 2)])
+    harvested(spark, root, 1, page("xici", 2, wide_page(wide_row(*b), wide_row(*c))))
+    land(spark.createDataFrame([dead_outcome(*a, 2, 1)], OUTCOME), f"{root}/outcomes")
+    fold.fold_stream(spark, f"{root}/outcomes", root, pause=None).awaitTermination()
+    sweep_cycle(spark, root, 2)
+    assert sent(2) == [(b[0], 3), (c[0], 1)]
+    status = {r.ip: r.status for r in book.pool().collect()}
+    assert status == {b[0]: 3, c[0]: 1, "192.0.2.9": 0}
