@@ -2,8 +2,8 @@
 
 The tree rules are those of a lenient tag-soup reader: an end tag closes the
 nearest open element of its name and everything opened since, an end tag without
-an open element is ignored, nothing is closed by a start tag, and void elements
-hold nothing. Rows, cells and children are kept as ranges over document order, so
+an open element is ignored, nothing is closed by a start tag, void elements hold
+nothing, and a text of nothing but spaces shrinks to one line break or space. Rows, cells and children are kept as ranges over document order, so
 a page costs time linear in its length however deeply its cells are nested.
 
 Pages are cut into tokens by one regular expression as long as their markup is
@@ -26,8 +26,8 @@ VOID = frozenset(
     "keygen link menuitem meta nextid param source spacer track wbr".split()
 )
 
-# Elements whose text is not part of a cell's text.
-SILENT = frozenset(("script", "style", "template"))
+# Fixed value: the characters that count as spaces.
+SPACES = " \n\t\f\r"
 
 _ATTRIBUTES = r"""((?:\s++[^\s/=>"'<]++(?:=(?:"[^"]*+"|'[^']*+'|[^\s"'=<>`]++))?+)*+)\s*+"""
 
@@ -89,7 +89,6 @@ class _Tree:
         self.open: list[tuple[str, _Span | None]] = []
         self.counts: defaultdict[str, int] = defaultdict(int)
         self.base: int | None = None
-        self.silent = 0
         self.texts: list[str] = []
         self.cells: list[tuple[_Span, str | list]] = []
         self.kids: list[tuple[str, str | list]] = []
@@ -138,8 +137,6 @@ class _Tree:
             return
         self.open.append((tag, span))
         self.counts[tag] += 1
-        if tag in SILENT:
-            self.silent += 1
 
     def end(self, tag):
         counts, opened = self.counts, self.open
@@ -151,14 +148,17 @@ class _Tree:
             counts[name] -= 1
             if span:
                 span.end = self._mark()
-            if name in SILENT:
-                self.silent -= 1
             if len(opened) == self.base:
                 raise _Closed
 
     def text(self, data):
-        if self.base is not None and not self.silent:
-            self.texts.append(data)
+        """One whole text: what stands between two pieces of markup."""
+        counts = self.counts
+        if self.base is None or counts["script"] or counts["style"] or counts["template"]:
+            return
+        if data.isspace() and not data.strip(SPACES) and not (counts["pre"] or counts["textarea"]):
+            data = "\n" if "\n" in data else " "
+        self.texts.append(data)
 
     def finish(self):
         last = self._mark()
@@ -188,9 +188,26 @@ class _Lenient(HTMLParser):
 
     def __init__(self, tree: _Tree):
         super().__init__(convert_charrefs=True)
-        self.handle_starttag = tree.start
-        self.handle_endtag = tree.end
-        self.handle_data = tree.text
+        self.tree = tree
+        self.pieces: list[str] = []
+
+    def handle_data(self, data):
+        self.pieces.append(data)
+
+    def flush(self, *_):
+        if self.pieces:
+            self.tree.text("".join(self.pieces))
+            self.pieces.clear()
+
+    handle_comment = handle_decl = handle_pi = unknown_decl = flush
+
+    def handle_starttag(self, tag, attrs):
+        self.flush()
+        self.tree.start(tag, attrs)
+
+    def handle_endtag(self, tag):
+        self.flush()
+        self.tree.end(tag)
 
 
 def _read_lenient(html: str, tree: _Tree) -> None:
@@ -198,6 +215,7 @@ def _read_lenient(html: str, tree: _Tree) -> None:
     try:
         reader.feed(html)
         reader.close()
+        reader.flush()
     except AssertionError as problem:
         raise PageError(f"markup rejected: {problem}") from problem
 

@@ -25,6 +25,11 @@ def freshest(now: DataFrame, n: int, where: Mapping[str, Any] = DEFAULT_WHERE) -
     return find(now, where).orderBy(F.desc("tm"), "url").limit(n)
 
 
+def random_draw(seed: int | None = None) -> Column:
+    """A draw in 0..100 for each request."""
+    return F.floor(F.rand(seed) * (MAX_DRAW + 1))
+
+
 def assign(
     requests: DataFrame,
     now: DataFrame,

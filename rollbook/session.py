@@ -34,7 +34,7 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local master may fall back to a folder of its own; on a cluster a
     machine-local path would be lost or invisible to the other executors.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):

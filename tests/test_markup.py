@@ -31,7 +31,7 @@ def lenient(html, layout):
 def test_wide_page():
     rows = read_listing(wide_page(wide_row("192.0.2.1", "80"), wide_row("192.0.2.2", "81")), WIDE_TABLE)
     assert rows[1] == [
-        "192.0.2.2", "81", "\n 某地\n ", "高匿", "HTTPS", "0.3秒", "0.3秒", "82天", "18-09-12 13:55"
+        "192.0.2.2", "81", "\n某地\n", "高匿", "HTTPS", "0.3秒", "0.3秒", "82天", "18-09-12 13:55"
     ]
     assert len(rows) == 2
 
@@ -89,6 +89,25 @@ def test_text_is_decoded_and_not_trimmed():
     assert read_listing(html, ONE) == [[" <a>b中\xa0\n"]]
 
 
+@pytest.mark.parametrize(
+    "inner, text",
+    [
+        ("   ", " "),
+        ("&#32;&#32;", " "),
+        (" \t\r\n ", "\n"),
+        ("&nbsp;&nbsp;", "\xa0\xa0"),
+        ("  x  ", "  x  "),
+        ("  <b>x</b>\n\n", " x\n"),
+        ("  <!-- c -->  ", "  "),
+        ("<pre>   </pre>", "   "),
+        ("a <  <b></b>", "a <  "),
+        ("", ""),
+    ],
+)
+def test_texts_of_spaces_shrink(inner, text):
+    assert read_listing(f"<p id=list><tr><td>{inner}</td></tr>", ONE) == [[text]]
+
+
 def test_unclosed_cells_nest():
     two = replace(ONE, fields=(("a", Cell(0)), ("b", Cell(1))))
     assert read_listing("<p id=list><tr><td>1<td>2</tr>", two) == [["12", "2"]]
@@ -130,7 +149,7 @@ PIECES = [
     "<td>", "</td>", "<tr>", "</tr>", "<table id=list>", "</table>", "<div title='a'>", "</div>", "<br>",
     "<br/>", "x", "&amp;", "&lt", "<b", "<", "</", "<!-- c -->", "<!-- -- -->", "<script>a<b</script>",
     "<p/>", "<td/>", "<DIV TITLE=\"q&amp;r\" id='z'>", "<a href=/x/>", "<td title>", " = ", "<a b = 'c'>",
-    "</tbody >", "<tbody>", "<style>", "</style>", "&nbsp;", "<?x?>", "<template>", "</template>",
+    "  ", "\n ", "<pre>", "</pre>", "</tbody >", "<tbody>", "<style>", "</style>", "&nbsp;", "<?x?>", "<template>", "</template>",
 ]
 LAYOUTS = [
     ONE,

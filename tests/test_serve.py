@@ -55,7 +55,9 @@ def test_empty_list_assigns_none(spark):
 
 
 def test_random_draws_are_drawn_once_per_request(spark):
-    got = serve.assign(spark.range(2000), live(spark, 30), F.floor(F.rand(7) * 101))
+    got = serve.assign(spark.range(2000), live(spark, 30), serve.random_draw(7)).cache()
+    draws_seen = {r.draw for r in got.select("draw").collect()}
+    assert draws_seen == set(range(101))
     assert got.where(F.col("url").isNull()).count() == 0
     assert got.count() == 2000
 
