@@ -42,22 +42,23 @@ def _parser(layouts: Mapping[str, Layout]):
     return udf.asNondeterministic()
 
 
-# Below this many bytes per core a scan may have fewer splits than there are cores.
-_SPLIT_BYTES = 64 << 20
+# A table of fewer bytes on disk may lie in fewer splits than there are cores.
+_SMALL_BYTES = 512 << 20
 
 
 def spread(pages: DataFrame) -> DataFrame:
     """Give every core work when the input is small.
 
     The parse is the one step bound by CPU, and a small table may lie in a single
-    split. Large input has splits enough and is never shuffled. The size is the
+    split. Anything larger has splits enough and is never shuffled. The size is the
     optimizer's estimate and decides about parallelism only.
     """
     if pages.isStreaming:
         return pages
-    cores = pages.sparkSession.sparkContext.defaultParallelism
     size = int(pages._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return pages.repartition(cores) if size < cores * _SPLIT_BYTES else pages
+    if size >= _SMALL_BYTES:
+        return pages
+    return pages.repartition(pages.sparkSession.sparkContext.defaultParallelism)
 
 
 def parse_cells(pages: DataFrame, layouts: Mapping[str, Layout], site: Column) -> DataFrame:

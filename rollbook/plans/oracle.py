@@ -178,8 +178,11 @@ ORACLE: dict[str, str] = {
     "page_envelope": f"WITH {LISTING} SELECT * EXCLUDE (page) FROM sightings",
     "page_error_log": f"""
       WITH {LISTING}
-      SELECT DISTINCT url, 'error' AS status, kinddesc, 'true' AS records, '20240201030405' AS timestamp
-      FROM parsed WHERE failed""",
+      SELECT 'http://' || domain || '/' || kind || '/' || page AS url, 'error' AS status, kinddesc,
+        'response解析异常, row ' || (min(row_no) + 1) || CASE site WHEN 0 THEN ': no div in cell 6'
+          ELSE ': 6 cells, cell 6 wanted' END AS records,
+        '20240201030405' AS timestamp
+      FROM kinded WHERE broken GROUP BY page, domain, kind, kinddesc, site""",
     "listing_profile": f"""
       WITH {LISTING}
       SELECT url, CAST(CASE WHEN bool_or(failed) THEN NULL ELSE count(*) END AS INTEGER) AS n_rows

@@ -25,14 +25,18 @@ DEATHS = T.StructType([
 ])
 NOW_LOG = T.StructType([*NOW.fields, T.StructField("result", T.IntegerType())])
 
-# Keys that may be broadcast: some hundred bytes each, so well below 100 MB.
-MAX_BROADCAST_KEYS = 200_000
+# What a batch's keys may take up, counted before they are made distinct.
+MAX_BROADCAST_BYTES = 64 << 20
+_ROW_BYTES = 64
 
 
 def wanted_keys(batch: DataFrame, names: Sequence[str]) -> DataFrame:
-    """The keys of a batch, marked for broadcast only if its row count bounds their size."""
+    """The keys of a batch, marked for broadcast only once their size is known to be small."""
+    widths = [F.coalesce(F.octet_length(F.col(n).cast("string")), F.lit(0)) for n in names]
+    width = sum(widths, F.lit(_ROW_BYTES))
+    total = batch.agg(F.sum(width.cast("bigint"))).first()[0] or 0
     keys = batch.select(*names).distinct()
-    return F.broadcast(keys) if batch.count() <= MAX_BROADCAST_KEYS else keys
+    return F.broadcast(keys) if total <= MAX_BROADCAST_BYTES else keys
 
 
 def narrow(table: DataFrame, wanted: DataFrame, names: Sequence[str]) -> DataFrame:

@@ -9,6 +9,7 @@ from rollbook.operators.outcomes import dead_keys, dead_records, last_by_url
 from rollbook.schemas import OUTCOME
 from rollbook.sources.parts import write_part
 from rollbook.streaming.book import Book
+from rollbook.streaming.follow import follow
 
 # Fixed value: pause between two rounds of outcomes.
 FOLD_PAUSE = "30 seconds"
@@ -26,18 +27,15 @@ def fold_batch(outcomes: DataFrame, number: int, root: str) -> None:
 
 
 def fold_stream(
-    spark: SparkSession, landed: str, root: str, pause: str | None = FOLD_PAUSE
+    spark: SparkSession,
+    landed: str,
+    root: str,
+    pause: str | None = FOLD_PAUSE,
+    files_per_batch: int | None = None,
 ) -> StreamingQuery:
-    """Follow the folder ``landed``; without ``pause``, take what is there and stop."""
+    """Follow the folder ``landed``; the checkpoint lies with the tables under ``root``."""
 
     def each(batch: DataFrame, number: int) -> None:
         fold_batch(batch, number, root)
 
-    trigger = {"processingTime": pause} if pause else {"availableNow": True}
-    return (
-        spark.readStream.schema(OUTCOME).parquet(landed)
-        .writeStream.foreachBatch(each)
-        .option("checkpointLocation", f"{root}/_fold")
-        .trigger(**trigger)
-        .start()
-    )
+    return follow(spark, landed, OUTCOME, each, f"{root}/_fold", pause, files_per_batch)

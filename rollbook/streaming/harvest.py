@@ -14,6 +14,7 @@ from rollbook.schemas import ITEM, PAGES
 from rollbook.sources.parts import read_part, write_part
 from rollbook.sources.sites import SITES, Site
 from rollbook.streaming.book import Book, wanted_keys
+from rollbook.streaming.follow import follow
 
 # Fixed value: pause between two harvest rounds.
 HARVEST_PAUSE = "10 minutes"
@@ -51,18 +52,12 @@ def harvest_stream(
     sites: Sequence[Site] = SITES,
     as_of: Column | None = None,
     pause: str | None = HARVEST_PAUSE,
+    files_per_batch: int | None = None,
 ) -> StreamingQuery:
-    """Follow the folder ``landed``; without ``pause``, take what is there and stop."""
+    """Follow the folder ``landed``; the checkpoint lies with the tables under ``root``."""
     stamp = F.current_timestamp() if as_of is None else as_of
 
     def each(batch: DataFrame, number: int) -> None:
         harvest_batch(batch, number, root, sites, stamp)
 
-    trigger = {"processingTime": pause} if pause else {"availableNow": True}
-    return (
-        spark.readStream.schema(PAGES).parquet(landed)
-        .writeStream.foreachBatch(each)
-        .option("checkpointLocation", f"{root}/_harvest")
-        .trigger(**trigger)
-        .start()
-    )
+    return follow(spark, landed, PAGES, each, f"{root}/_harvest", pause, files_per_batch)

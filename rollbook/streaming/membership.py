@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from rollbook.operators.replay import SLICE_WIDTH, admissions, last_events
 from rollbook.sources import parts
 from rollbook.streaming.book import narrow, wanted_keys
+from rollbook.streaming.follow import follow
 
 COMPACT_EVERY = 50
 
@@ -52,20 +53,14 @@ def ledger_stream(
     keys: Sequence[str],
     width: int = SLICE_WIDTH,
     pause: str | None = None,
+    files_per_batch: int | None = None,
 ) -> StreamingQuery:
     """Events need ``keys``, ``seq`` (arrival number) and ``dead``."""
 
     def each(batch: DataFrame, number: int) -> None:
         ledger_batch(batch, number, root, keys, width)
 
-    trigger = {"processingTime": pause} if pause else {"availableNow": True}
-    return (
-        spark.readStream.schema(schema).parquet(landed)
-        .writeStream.foreachBatch(each)
-        .option("checkpointLocation", f"{root}/_ledger")
-        .trigger(**trigger)
-        .start()
-    )
+    return follow(spark, landed, schema, each, f"{root}/_ledger", pause, files_per_batch)
 
 
 def read_admissions(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:

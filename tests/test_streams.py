@@ -1,4 +1,5 @@
 import datetime as dt
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -86,7 +87,7 @@ def test_a_repeated_harvest_batch_changes_nothing(spark, root):
 def test_many_keys_are_joined_by_shuffle_with_the_same_result(spark, root, monkeypatch):
     from rollbook.streaming import book as books
 
-    monkeypatch.setattr(books, "MAX_BROADCAST_KEYS", 0)
+    monkeypatch.setattr(books, "MAX_BROADCAST_BYTES", 0)
     for number in range(2):
         pages = spark.createDataFrame([page("xici", number, wide_page(wide_row("192.0.2.1", "80")))], PAGES)
         harvest.harvest_batch(pages, number, root, harvest.SITES, stamp(number))
@@ -126,6 +127,20 @@ def test_ledger_stream_equals_one_by_one(spark, root, width, monkeypatch):
     assert {(r.ip, r.port) for r in membership.read_members(spark, root, df.schema, names).collect()} == members
 
 
+def test_a_bounded_backlog_gives_the_same_tables(spark, root):
+    log = random_log(6, 60)
+    df = frame(spark, log)
+    admitted, _ = models.replay(log)
+    for low in (0, 20, 40):
+        land(df.where(F.col("seq").between(low, low + 19)).coalesce(1), f"{root}/landed")
+    membership.ledger_stream(
+        spark, f"{root}/landed", root, df.schema, ["ip", "port"], files_per_batch=1
+    ).awaitTermination()
+    got = membership.read_admissions(spark, root, df.schema)
+    assert sorted(r.seq for r in got.collect()) == admitted
+    assert len(list(Path(root, "state").glob("v=*"))) == 3
+
+
 def test_a_repeated_ledger_batch_changes_nothing(spark, root):
     log = random_log(4, 40)
     df = frame(spark, log)
