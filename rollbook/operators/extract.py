@@ -125,7 +125,8 @@ def unnest(items: DataFrame) -> DataFrame:
 
 def profile(items: DataFrame) -> DataFrame:
     """Text length and parsed rows of every page (null rows: page failed)."""
-    return items.select("url", "n_chars", F.size("reslist").alias("n_rows"))
+    n_rows = F.when(F.col("reslist").isNotNull(), F.size("reslist"))
+    return items.select("url", "n_chars", n_rows.alias("n_rows"))
 
 
 def error_log(items: DataFrame, as_of: Column) -> DataFrame:

@@ -3,12 +3,13 @@
 The tree rules are those of a lenient tag-soup reader: an end tag closes the
 nearest open element of its name and everything opened since, an end tag without
 an open element is ignored, nothing is closed by a start tag, void elements hold
-nothing, and a text of nothing but spaces shrinks to one line break or space. Rows, cells and children are kept as ranges over document order, so
-a page costs time linear in its length however deeply its cells are nested.
+nothing, and a text of nothing but spaces shrinks to one line break or space.
+Rows, cells and children are kept as ranges over document order, so a page costs
+time linear in its length however deeply its cells are nested.
 
 Pages are cut into tokens by one regular expression as long as their markup is
 clean; the first token that is not clean sends the page through ``html.parser``
-from its start, which is some ten times slower.
+from its start, which is several times slower.
 """
 
 from __future__ import annotations

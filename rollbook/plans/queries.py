@@ -114,9 +114,7 @@ def page_error_log(spark, sf_dir):
 
 @query
 def listing_profile(spark, sf_dir):
-    return extract.profile(_items(spark, sf_dir)).select(
-        "url", F.when(F.col("n_rows") >= 0, F.col("n_rows")).alias("n_rows")
-    )
+    return extract.profile(_items(spark, sf_dir)).select("url", "n_rows")
 
 
 def _as_harvested(pool: DataFrame) -> DataFrame:

@@ -232,7 +232,9 @@ def listing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.get(domains, site_no).alias("domain"),
         kind["kind"].alias("kind"),
         kind["kinddesc"].alias("kinddesc"),
-        _join("10.0.", F.expr("user_id div 250").cast("string"), ".", (F.col("user_id") % 250).cast("string")).alias("ip"),
+        _join(
+            "10.0.", F.expr("user_id div 250").cast("string"), ".", (F.col("user_id") % 250).cast("string")
+        ).alias("ip"),
         (8000 + k).cast("string").alias("port"),
         F.col("event_type"),
         label_of(F.col("event_type")).alias("label"),

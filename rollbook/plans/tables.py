@@ -18,10 +18,11 @@ def text_ts(ts: Column) -> Column:
 
 def widened(pool: DataFrame) -> DataFrame:
     """Pool rows with all columns, those not given left null."""
+    before = F.lit("2023-12-31 00:00:00").cast("timestamp")
     filled = {
         f.name: F.lit(None).cast(f.dataType) for f in POOL.fields if f.name not in pool.columns
     }
-    return pool.withColumns({**filled, "timestamp": F.lit("2023-12-31 00:00:00").cast("timestamp")}).select(*POOL.fieldNames())
+    return pool.withColumns({**filled, "timestamp": before}).select(*POOL.fieldNames())
 
 
 def listing_pool(spark: SparkSession, sf_dir: str) -> DataFrame:

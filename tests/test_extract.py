@@ -63,6 +63,7 @@ def test_profile(items):
     got = {r.url: r.n_rows for r in ex.profile(items).collect()}
     assert got["http://xici.example/1"] == 2
     assert got["http://xici.example/5"] == 0
+    assert got["http://xici.example/6"] is None
 
 
 def test_error_log(items):

@@ -13,7 +13,7 @@ from rollbook.streaming import fold, harvest, membership
 from rollbook.streaming.book import Book
 from rollbook.streaming.sweep import sweep_cycle
 from test_outcomes import frames, random_case
-from test_replay import EVENT, frame, random_log
+from test_replay import frame, random_log
 
 T0 = dt.datetime(2024, 1, 1)
 
