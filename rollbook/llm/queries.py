@@ -5,11 +5,39 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rollbook.llm import chat, exact, packing, tokens
+from rollbook.llm import chat, decontaminate, exact, language, license, packing, quality, template, tokens
 from rollbook.llm.shared import table
 from rollbook.session import fresh_dir
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
+    model = quality.fit(docs, labels.where(fold != 2))
+    return quality.score(docs, model).select(
+        "doc_id",
+        F.coalesce(fold == 2, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
+def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return template.main_text(table(spark, sf_dir, "pages"))
+
+
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify_documents(table(spark, sf_dir, "documents"))
+
+
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license.scan(table(spark, sf_dir, "documents"), license.default_templates(spark))
+
+
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -49,10 +77,15 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality": op1_quality,
+    "op2_main_text": op2_main_text,
+    "op3_language": op3_language,
+    "op4_license_scan": op4_license_scan,
     "op5_pack": op5_pack,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_token_counts": op8_token_counts,
     "op9_chat_format": op9_chat_format,
+    "op10_decontaminate": op10_decontaminate,
 }
 
 ORACLE = {

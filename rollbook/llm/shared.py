@@ -70,13 +70,16 @@ def word_hashes(data: bytes, blank: np.ndarray) -> np.ndarray:
     raw = np.frombuffer(data, dtype=np.uint8)
     if not len(raw):
         return np.empty(0, dtype=np.uint64)
-    gap = blank[raw]
     edge = np.empty(len(raw) + 2, dtype=bool)
     edge[0] = edge[-1] = True
-    edge[1:-1] = gap
+    edge[1:-1] = blank[raw]
     turns = np.flatnonzero(edge[1:] != edge[:-1])
-    starts, ends = turns[0::2], turns[1::2]
-    up, down = _powers(1 << max(12, (len(raw)).bit_length()))
+    return span_hashes(raw, turns[0::2], turns[1::2])
+
+
+def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the byte spans ``[start, end)``; equal bytes, equal hash."""
+    up, down = _powers(1 << max(12, len(raw).bit_length()))
     total = np.empty(len(raw) + 1, dtype=np.uint64)
     total[0] = 0
     np.cumsum(_BYTE[raw] * up[: len(raw)], out=total[1:])
