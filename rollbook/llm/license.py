@@ -28,6 +28,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from rollbook.llm.shared import aside, once
+
 SHINGLE, CONTAINED = 5, 0.8
 SIZE, STEP, BANDS, ROWS = 4, 2, 2, 2
 #: Templates that are looked for in one pass.
@@ -78,15 +80,15 @@ def words(text: Column) -> Column:
 
 def with_shingles(df: DataFrame, text: Column, name: str) -> DataFrame:
     """Adds ``name``: hashes of the runs of words, in order."""
-    hashed = F.transform(words(text), lambda w: F.xxhash64(w))
-    df = df.withColumn(name, hashed)
-    w = F.col(name)
+    hidden = aside("words")
+    df = once(df, hidden, F.transform(words(text), lambda w: F.xxhash64(w)))
+    w = F.col(hidden)
     run = F.transform(
         F.sequence(F.lit(1), F.size(w) - (SHINGLE - 1)),
         lambda i: F.xxhash64(*(F.element_at(w, i + k) for k in range(SHINGLE))),
     )
     short = F.array(F.xxhash64(F.size(w), F.array_join(F.transform(w, lambda x: x.cast("string")), " ")))
-    return df.withColumn(name, F.when(F.size(w) >= SHINGLE, run).when(F.size(w) > 0, short).otherwise(w))
+    return once(df, name, F.when(F.size(w) >= SHINGLE, run).when(F.size(w) > 0, short).otherwise(w)).drop(hidden)
 
 
 def bands(h: Column, step: int) -> Column:
@@ -127,11 +129,11 @@ def _scan(docs: DataFrame, block: list[dict]) -> DataFrame:
     singles = {k for t in block if not t["long"] for k in t["keys"]}
     windows = {k for t in block if t["long"] for k in t["keys"]}
     read = with_shingles(docs.select("doc_id", "text"), F.col("text"), "h").drop("text")
-    read = read.where(F.size("h") > 0).withColumn("b", bands(F.col("h"), STEP) if windows else F.array().cast("array<bigint>"))
+    read = once(read, "b", bands(F.col("h"), STEP) if windows else F.array().cast("array<bigint>"))
     hits = F.concat(
         F.expr(f"filter(h, x -> x IN ({_listed(singles)}))"), F.expr(f"filter(b, x -> x IN ({_listed(windows)}))")
     )
-    read = read.withColumn("hits", F.array_distinct(hits)).where(F.size("hits") > 0).drop("b")
+    read = once(read, "hits", F.array_distinct(hits)).where(F.size("hits") > 0)
     by_key: dict[int, set[int]] = {}
     for i, t in enumerate(block):
         for k in t["keys"]:

@@ -2,15 +2,30 @@
 
 from __future__ import annotations
 
+import sys
+import types
 import uuid
-from functools import lru_cache
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import rollbook
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rollbook.session import fresh_dir
 
+# What runs in tasks travels with its code: executors need not have the package.
+cloudpickle.register_pickle_by_value(rollbook)
+
+
+def per_worker(key: tuple, make: Callable):
+    """``make()``, once per Python worker and key; workers outlive tasks."""
+    held = sys.modules.setdefault("rollbook_worker_state", types.ModuleType("rollbook_worker_state")).__dict__
+    if key not in held:
+        held[key] = make()
+    return held[key]
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -30,6 +45,12 @@ def aside(name: str) -> str:
     return f"__{name}_{uuid.uuid4().hex[:8]}"
 
 
+def once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``df`` with a column that is computed once per row, however often it is used: the
+    optimizer takes no expression over a generator."""
+    return df.select("*", F.inline(F.array(F.struct(value.alias(name)))))
+
+
 def texts(column: pa.Array):
     """Strings of an Arrow column one by one, null as empty."""
     for value in column:
@@ -53,9 +74,15 @@ def mixed(h: np.ndarray) -> np.ndarray:
 _BYTE = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(_ODD))
 
 
-@lru_cache(maxsize=4)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd number modulo 2^64, and of its inverse."""
+    """At least ``n`` powers of an odd number modulo 2^64, and of its inverse."""
+    size = 1 << max(16, n.bit_length())
+    if size > 1 << 24:
+        return _make_powers(size)  # too long to hold on to
+    return per_worker(("powers", size), lambda: _make_powers(size))
+
+
+def _make_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     base = np.uint64(0xD1342543DE82EF95)
     inverse = np.uint64(pow(int(base), -1, 1 << 64))
     up = np.full(n, base, dtype=np.uint64)
@@ -79,7 +106,7 @@ def word_hashes(data: bytes, blank: np.ndarray) -> np.ndarray:
 
 def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hashes of the byte spans ``[start, end)``; equal bytes, equal hash."""
-    up, down = _powers(1 << max(12, len(raw).bit_length()))
+    up, down = _powers(len(raw))
     total = np.empty(len(raw) + 1, dtype=np.uint64)
     total[0] = 0
     np.cumsum(_BYTE[raw] * up[: len(raw)], out=total[1:])

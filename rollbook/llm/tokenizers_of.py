@@ -11,11 +11,12 @@ from __future__ import annotations
 import hashlib
 import importlib.metadata
 import re
-from functools import lru_cache
 from pathlib import Path
 
 import numpy as np
 
+from rollbook.llm.shared import per_worker
+
 #: Words remembered per worker, and the longest word worth remembering.
 MEMO_WORDS, MEMO_CHARS = 500_000, 48
 #: Marks that may follow a word without changing how its letters are cut off.
@@ -173,11 +174,10 @@ class JsonCounter:
         return len(self.bpe.encode(text)) // 4
 
 
-@lru_cache(maxsize=2)
 def byte_bpe(path: str) -> ByteBpe:
-    return ByteBpe(path)
+    return per_worker(("byte bpe", path), lambda: ByteBpe(path))
 
 
-@lru_cache(maxsize=2)
 def counter(path: str) -> PieceBpe | JsonCounter:
-    return JsonCounter(path) if path.endswith(".json") else PieceBpe(path)
+    kind = JsonCounter if path.endswith(".json") else PieceBpe
+    return per_worker(("counter", path), lambda: kind(path))
