@@ -1,30 +1,57 @@
-"""The corpus pipeline: documents through operators, each stage written and read again."""
+"""The corpus pipeline: documents through five operators, each stage written and read again.
+
+Each stage takes what its predecessor kept. The first four return the columns of documents;
+the last returns packed pieces.
+"""
 
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from rollbook.llm import exact, packing
-from rollbook.llm.shared import land
+from rollbook.llm import decontaminate, exact, language, near, packing
+from rollbook.llm.shared import land, table, without
 
+#: SQL can express neither the language model nor the packing.
 ORACLE_SQL = None
 
 
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is known; texts without letters and texts that are like no
+    language of the corpus go."""
+    return without(docs, language.identify_documents(docs).where("NOT kept").select("doc_id"))
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = exact.duplicates(docs).where("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi")
+    """One document of each text (white space aside)."""
+    return without(docs, exact.duplicates(docs).where("NOT kept").select("doc_id"))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group linked by five-word shingles, at a similarity of 0.8."""
+    return without(docs, near.near_groups(docs, shingle=5).where("NOT kept").select("doc_id"))
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents into which no benchmark item leaks."""
+    return decontaminate.remove_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
-STAGES = [("exact dedup", exact_dedup), ("packing", packed)]
+STAGES = [
+    ("language", known_language),
+    ("exact dedup", exact_dedup),
+    ("near dedup", near_dedup),
+    ("decontamination", decontaminated),
+    ("packing", packed),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = land(stage(spark, docs, sf_dir), "stage")
+        docs = land(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")
     return STAGES[-1][1](spark, docs, sf_dir)

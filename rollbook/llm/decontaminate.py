@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from rollbook.llm.shared import NOT_ALNUM, aside, land, mixed, texts, word_hashes
+from rollbook.llm.shared import NOT_ALNUM, mixed, texts, without, word_hashes
 
 #: 1: the word counts, 0: it may be any.
 MASKS = ("1110100001001", "1111011", "100101111")
@@ -178,6 +178,4 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_W
 def remove_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents into which no item leaks. A document without id is judged with all
     others without id."""
-    key = aside("leak")
-    leaky = land(find_leaks(docs, benchmark).select(F.col("doc_id").alias(key)).distinct(), "leaky")
-    return docs.join(leaky, F.col("doc_id").cast("long").eqNullSafe(F.col(key)), "left_anti")
+    return without(docs, find_leaks(docs, benchmark).select("doc_id"))

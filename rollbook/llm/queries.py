@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rollbook.llm import chat, decontaminate, exact, language, license, packing, quality, template, tokens
+from rollbook.llm import chat, decontaminate, exact, language, license, near, packing, quality, template, tokens
 from rollbook.llm.shared import table
 from rollbook.session import fresh_dir
 
@@ -46,6 +46,10 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.near_groups(table(spark, sf_dir, "documents"), shingle=2)
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     cache = fresh_dir(spark, "token-cache")
     model = public_tokenizers.path("piece_bpe_32k.model")
@@ -83,6 +87,7 @@ QUERIES = {
     "op4_license_scan": op4_license_scan,
     "op5_pack": op5_pack,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_near_dedup": op7_near_dedup,
     "op8_token_counts": op8_token_counts,
     "op9_chat_format": op9_chat_format,
     "op10_decontaminate": op10_decontaminate,

@@ -45,6 +45,13 @@ def aside(name: str) -> str:
     return f"__{name}_{uuid.uuid4().hex[:8]}"
 
 
+def without(docs: DataFrame, gone: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` whose id is not among ``gone`` (one column; null equals null)."""
+    key = aside("gone")
+    gone = land(gone.toDF(key).distinct(), "gone")
+    return docs.join(gone, F.col(id_col).eqNullSafe(F.col(key)), "left_anti")
+
+
 def once(df: DataFrame, name: str, value: Column) -> DataFrame:
     """``df`` with a column that is computed once per row, however often it is used: the
     optimizer takes no expression over a generator."""
