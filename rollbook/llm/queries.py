@@ -1,4 +1,4 @@
-"""The registered queries of the operators, and their DuckDB SQL where it can say the same."""
+"""The registered queries of the operators."""
 
 from __future__ import annotations
 
@@ -6,9 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rollbook.llm import chat, decontaminate, exact, language, license, near, packing, quality, template, tokens
+from rollbook.llm.oracle import ORACLE, PROBE
 from rollbook.llm.shared import table
 from rollbook.session import fresh_dir
 
+__all__ = ["ORACLE", "QUERIES"]
+
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -56,10 +59,6 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"), model, cache, limit=4096)
 
 
-#: The text of both turns of conversation -1.
-PROBE = "</s>[INST] ok [/INST]"
-
-
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     probe = spark.sql(
@@ -92,37 +91,3 @@ QUERIES = {
     "op9_chat_format": op9_chat_format,
     "op10_decontaminate": op10_decontaminate,
 }
-
-ORACLE = {
-    "op6_exact_dedup": r"""
-        WITH d AS (
-            SELECT doc_id, length(coalesce(text, '')) AS points,
-                   sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256
-            FROM documents
-        ), ranked AS (
-            SELECT *, first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY points DESC, doc_id NULLS LAST) AS keep_id,
-                   count(*) OVER (PARTITION BY text_sha256) AS group_size
-            FROM d
-        )
-        SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, text_sha256 FROM ranked
-    """,
-    "op9_chat_format": rf"""
-        WITH rows AS (
-            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
-            UNION ALL VALUES (-1, 0, 'user', '{PROBE}'), (-1, 1, 'assistant', '{PROBE}')
-        ), turns AS (
-            SELECT *, CASE
-                WHEN contains(text, '<\|') OR contains(text, '\\') OR contains(text, '<|im_end|>' || chr(10))
-                    THEN length(replace(replace(text, '\', '\\'), '<|', '<\|'))
-                ELSE length(text) END AS body
-            FROM rows
-        )
-        SELECT conv_id, count(*) AS n_turns,
-               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
-               coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
-               sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
-               sum(length('<|im_start|>') + length(role) + 1 + body + length('<|im_end|>') + 1)::BIGINT AS formatted_chars,
-               true AS identical
-        FROM turns GROUP BY conv_id
-    """,
-}
