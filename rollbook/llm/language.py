@@ -2,8 +2,9 @@
 
     posterior(l) ~ P(text | l) * P(declared | l) * P(address | l) * prior of the host for l
 
-* Text: hashed three-byte grams of the lower-cased letters; their frequencies in each
-  declared language are counted over all documents. Neighbouring grams depend on each
+* Text: hashed three-byte grams of the lower-cased letters; in how many documents of each
+  declared language a gram occurs is counted over all documents (so that no long or
+  repetitive document outweighs others). Neighbouring grams depend on each
   other, so the log likelihood is tempered to that of ``GRAMS`` grams at most. One more
   class, ``und``, holds that all grams are equally likely.
 * Declared language (markup ``lang`` or a metadata field) and address suffix (a path
@@ -83,7 +84,7 @@ def _counter(codes: list[str]):
         for batch in batches:
             for code, text in zip(batch["code"].to_pylist(), texts(batch["text"])):
                 if code in at:
-                    total[at[code]] += np.bincount(grams(text), minlength=PLACES)
+                    total[at[code]][np.unique(grams(text))] += 1
         lang, place = np.nonzero(total)
         yield pa.RecordBatch.from_arrays(
             [pa.array(lang, pa.int32()), pa.array(place, pa.int32()), pa.array(total[lang, place])],
@@ -104,7 +105,7 @@ def fit(docs: DataFrame) -> tuple[list[str], np.ndarray]:
         parts = docs.select("code", "text").mapInArrow(_counter(codes), "lang int, place int, n bigint")
         for r in parts.groupBy("lang", "place").agg(F.sum("n").alias("n")).toLocalIterator():
             seen[r["lang"], r["place"]] = r["n"]
-    seen += 0.5
+    seen += 0.01
     log = np.log(seen / seen.sum(axis=1, keepdims=True))
     return codes, np.vstack((log, np.full((1, PLACES), -np.log(PLACES))))
 

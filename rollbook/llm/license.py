@@ -109,7 +109,7 @@ def bands(h: Column, step: int) -> Column:
 
 def prepared(templates: DataFrame) -> list[dict]:
     """Templates with their shingle sets and the values they are retrieved by."""
-    rows = with_shingles(templates.where("text IS NOT NULL"), F.col("text"), "h").where(F.size("h") > 0)
+    rows = with_shingles(templates.select("template_id", "text"), F.col("text"), "h").where(F.size("h") > 0)
     long = F.size("h") >= SIZE + STEP - 1
     rows = rows.select(
         "template_id",
