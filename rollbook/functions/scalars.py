@@ -55,8 +55,9 @@ def endpoint_url(http: Column, ip: Column, port: Column) -> Column:
 
 
 def eligible(anonymous: Column) -> Column:
-    """Rows that are swept and probed; never null."""
-    return anonymous.eqNullSafe("A") | F.coalesce(anonymous.startswith("W"), F.lit(False))
+    """Rows that are swept and probed. Null for a null class, which filters and
+    ``when`` take as false; plain comparisons are what a scan can evaluate itself."""
+    return (anonymous == "A") | anonymous.startswith("W")
 
 
 def probe_route(anonymous: Column) -> Column:

@@ -31,6 +31,8 @@ def _parser(layouts: Mapping[str, Layout]):
             return {"cells": read_listing(html, layouts.get(name)), "error": None}
         except PageError as problem:
             return {"cells": None, "error": str(problem)}
+        except Exception as problem:  # whatever a page does to the parser is its own failure
+            return {"cells": None, "error": f"{type(problem).__name__}: {problem}"}
 
     def parse(html: pa.Array, site: pa.Array) -> pa.Array:
         # One page at a time, so no batch is held as Python strings twice.
@@ -42,28 +44,13 @@ def _parser(layouts: Mapping[str, Layout]):
     return udf.asNondeterministic()
 
 
-# A table of fewer bytes on disk may lie in fewer splits than there are cores.
-_SMALL_BYTES = 512 << 20
-
-
-def spread(pages: DataFrame) -> DataFrame:
-    """Give every core work when the input is small.
+def parse_cells(pages: DataFrame, layouts: Mapping[str, Layout], site: Column) -> DataFrame:
+    """Adds ``cells`` (one text array per row) or ``error``; drops ``html``.
 
-    The parse is the one step bound by CPU, and a small table may lie in a single
-    split. Anything larger has splits enough and is never shuffled. The size is the
-    optimizer's estimate and decides about parallelism only.
+    Pages are parsed in the scan's own splits, whatever their number. If those are too
+    few for the cores (one large file of one row group), repartition ``pages`` first.
     """
-    if pages.isStreaming:
-        return pages
-    size = int(pages._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    if size >= _SMALL_BYTES:
-        return pages
-    return pages.repartition(pages.sparkSession.sparkContext.defaultParallelism)
-
-
-def parse_cells(pages: DataFrame, layouts: Mapping[str, Layout], site: Column) -> DataFrame:
-    """Adds ``cells`` (one text array per row) or ``error``; drops ``html``."""
-    parsed = spread(pages).withColumn("parsed", _parser(layouts)(F.col("html"), site))
+    parsed = pages.withColumn("parsed", _parser(layouts)(F.col("html"), site))
     return parsed.withColumns({
         "n_chars": F.length("html"),
         "cells": F.col("parsed.cells"),
@@ -97,7 +84,7 @@ def _site_rows(site: Site) -> Column:
 def extract(pages: DataFrame, sites: Sequence[Site] = SITES) -> DataFrame:
     """Pages of any of ``sites`` -> the page envelope, one row per page.
 
-    In: url, domain, kind, kinddesc, site, page_seq, html. Out: ``reslist`` (array
+    In: url, domain, kind, kinddesc, site, page_seq, status, html. Out: ``reslist`` (array
     of listing rows) or ``error``, never both. The envelope is nested where the
     page is parsed, so no shuffle gathers a page's rows.
     """
@@ -106,7 +93,7 @@ def extract(pages: DataFrame, sites: Sequence[Site] = SITES) -> DataFrame:
     for site in sites:
         reslist = reslist.when(F.col("site") == site.name, _site_rows(site))
     return parsed.select(
-        "url", "domain", "kinddesc", "page_seq", "n_chars", reslist.alias("reslist"), "error"
+        "url", "domain", "kinddesc", "page_seq", "status", "n_chars", reslist.alias("reslist"), "error"
     )
 
 
@@ -124,9 +111,9 @@ def unnest(items: DataFrame) -> DataFrame:
 
 
 def profile(items: DataFrame) -> DataFrame:
-    """Text length and parsed rows of every page (null rows: page failed)."""
+    """Status, text length and parsed rows of every page (null rows: page failed)."""
     n_rows = F.when(F.col("reslist").isNotNull(), F.size("reslist"))
-    return items.select("url", "n_chars", n_rows.alias("n_rows"))
+    return items.select("url", "status", "n_chars", n_rows.alias("n_rows"))
 
 
 def error_log(items: DataFrame, as_of: Column) -> DataFrame:

@@ -2,6 +2,7 @@
 
 A key is admitted by the first page that shows it, unless the pool holds it
 already; all sightings of the key on that one page enter, duplicates included.
+Sightings without a page number share one page, which comes after all numbered ones.
 Sightings are read more than once: settle them first if they are costly to make.
 """
 
@@ -33,7 +34,12 @@ def _winners(counted: DataFrame, pool: DataFrame, keys: Sequence[str], page: str
         counted.select(*keys, page, "n", F.lit(False).alias("pooled"))
         .unionByName(pooled)
         .groupBy(*keys)
-        .agg(F.min_by("n", page).alias("n"), F.min(page).alias(page), F.max("pooled").alias("pooled"))
+        .agg(
+            # Both skip null pages; a key seen on none but the null page has that one's rows.
+            F.coalesce(F.min_by("n", page), F.sum(F.when(F.col(page).isNull(), F.col("n")))).alias("n"),
+            F.min(page).alias(page),
+            F.max("pooled").alias("pooled"),
+        )
         .where(~F.col("pooled"))
         .drop("pooled")
     )
@@ -54,7 +60,7 @@ def flag_new(
     The join is on key *and* page, which spreads a hot key over its pages.
     """
     first = _first_pages(sightings, pool, keys, page).withColumn("is_new", F.lit(True))
-    joined = keyed_join(sightings, first, keys, "left", nonnull=[page])
+    joined = keyed_join(sightings, first, [*keys, page], "left")
     return joined.withColumn("is_new", F.coalesce("is_new", F.lit(False)))
 
 
@@ -63,7 +69,7 @@ def admit(
 ) -> DataFrame:
     """The admitted sightings only."""
     first = _first_pages(sightings, pool, keys, page)
-    return keyed_join(sightings, first, keys, "left_semi", nonnull=[page])
+    return keyed_join(sightings, first, [*keys, page], "left_semi")
 
 
 def existing(
@@ -86,10 +92,7 @@ def accounting(
     rows only, so it equals ``addcount``. No sighting is joined: rows are counted
     per key and page, then per key, then per page.
     """
-    # The filter the last join implies, stated here so that both uses of the counts
-    # are the same plan and share one shuffle.
-    paged = sightings.where(F.col(page).isNotNull())
-    counted = paged.groupBy(*keys, page).agg(F.count(F.lit(1)).alias("n"))
+    counted = sightings.groupBy(*keys, page).agg(F.count(F.lit(1)).alias("n"))
     zero = F.lit(0).cast("bigint")
     seen = counted.select(page, F.col("n").alias("seen"), zero.alias("added"))
     added = _winners(counted, pool, keys, page).select(page, zero.alias("seen"), F.col("n").alias("added"))
@@ -98,7 +101,7 @@ def accounting(
         .groupBy(page)
         .agg(F.sum("seen").alias("seen"), F.sum("added").alias("added"))
     )
-    return _counts(pages.join(sums, page, "left"), pages.columns)
+    return _counts(keyed_join(pages, sums, [page], "left"), pages.columns)
 
 
 def accounting_after(pages: DataFrame, admitted: DataFrame, page: str = PAGE) -> DataFrame:

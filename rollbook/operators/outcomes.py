@@ -19,7 +19,10 @@ def classify_probes(probes: DataFrame) -> DataFrame:
 
 
 def attach_records(outcomes: DataFrame, dispatched: DataFrame) -> DataFrame:
-    """Gives outcomes that landed as ``record_id`` their record and endpoint URL."""
+    """Gives outcomes that landed as ``record_id`` their record and endpoint URL.
+
+    ``dispatched`` is what was sent to be probed. An outcome of anything else has no
+    record to act on: see :func:`unmatched`."""
     records = dispatched.select(
         F.col("_id").alias("record_id"),
         F.struct(*DISPATCHED).alias("record"),
@@ -28,6 +31,12 @@ def attach_records(outcomes: DataFrame, dispatched: DataFrame) -> DataFrame:
     return outcomes.join(records, "record_id").drop("record_id")
 
 
+def unmatched(outcomes: DataFrame, dispatched: DataFrame) -> DataFrame:
+    """The outcomes that :func:`attach_records` leaves out, to be reported."""
+    sent = dispatched.select(F.col("_id").alias("record_id"))
+    return outcomes.join(sent, "record_id", "left_anti")
+
+
 def dead(outcomes: DataFrame) -> DataFrame:
     """Results below one."""
     return outcomes.where(F.col("result") < 1)
@@ -38,9 +47,8 @@ def alive(outcomes: DataFrame) -> DataFrame:
 
 
 def dead_keys(outcomes: DataFrame) -> DataFrame:
-    """Each key with a dead outcome once, with the time of its last death."""
-    rows = dead(outcomes).select(*[F.col(f"record.{k}").alias(k) for k in KEYS], "order_ts")
-    return rows.groupBy(*KEYS).agg(F.max("order_ts").alias("died"))
+    """Each key with a dead outcome once."""
+    return dead(outcomes).select(*[F.col(f"record.{k}").alias(k) for k in KEYS]).distinct()
 
 
 def pool_without(pool: DataFrame, keys: DataFrame) -> DataFrame:

@@ -67,7 +67,7 @@ parsed AS (
     page, page AS page_seq, CAST(row_no AS INTEGER) AS row_no, ip, port, address,
     CASE WHEN site = 1 AND kind_no >= 2 THEN 'W' ELSE '' END || class AS anonymous, http,
     amount AS speed, '7秒' AS resptime,
-    CASE site WHEN 0 THEN '82天' ELSE '' END AS alivetime,
+    CASE site WHEN 0 THEN '41天' ELSE '' END AS alivetime,
     CASE site WHEN 0 THEN '24-01-01 08:15' ELSE '' END AS testtime, '' AS portimage, failed
   FROM kinded),
 sightings AS (SELECT * EXCLUDE (failed) FROM parsed WHERE NOT failed),
@@ -128,6 +128,17 @@ SELECT page_seq || '-' || row_no AS _id, ip, port, address, anonymous, http, spe
   alivetime, testtime, portimage, domain, kinddesc, 0 AS status,
   '2024-02-01 00:00:00.000000' AS timestamp, '' AS rmrk
 FROM flagged WHERE is_new"""
+STREAM_POOL = f"""{HARVEST_POOL}
+UNION ALL SELECT NULL, ip, port, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL,
+  '2023-12-31 00:00:00.000000', NULL FROM seeded"""
+# The first page of a key counts; a death between the two harvests removes all its rows.
+READMITTED = f"""WITH {LISTING}, dead AS (
+  SELECT DISTINCT l.ip, l.port FROM listing l JOIN events e USING (event_id) WHERE e.event_type = 'error'),
+first AS (
+  SELECT ip, port, min(page) AS page FROM sightings GROUP BY ip, port)
+SELECT CASE WHEN d.ip IS NULL THEN s.page_seq ELSE s.page_seq + 1000000000 END || '-' || s.row_no AS _id, s.ip, s.port
+FROM sightings s JOIN first f ON s.ip = f.ip AND s.port = f.port AND s.page = f.page
+  LEFT JOIN dead d ON s.ip = d.ip AND s.port = d.port"""
 HARVEST_COUNTS = f"""WITH {LISTING}, {FLAGGED}
 SELECT url, kinddesc, count(*) FILTER (WHERE is_new) AS total,
   count(*) FILTER (WHERE is_new) AS addcount, count(*) FILTER (WHERE NOT is_new) AS existcount
@@ -185,7 +196,8 @@ ORACLE: dict[str, str] = {
       FROM kinded WHERE broken GROUP BY page, domain, kind, kinddesc, site""",
     "listing_profile": f"""
       WITH {LISTING}
-      SELECT url, CAST(CASE WHEN bool_or(failed) THEN NULL ELSE count(*) END AS INTEGER) AS n_rows
+      SELECT url, CAST(CASE WHEN any_value(page) % 7 = 3 THEN 503 ELSE 200 END AS INTEGER) AS status,
+        CAST(CASE WHEN bool_or(failed) THEN NULL ELSE count(*) END AS INTEGER) AS n_rows
       FROM parsed GROUP BY url""",
     "harvest_pool": HARVEST_POOL,
     "harvest_accounting": HARVEST_COUNTS.replace("SELECT url,", "SELECT page AS page_seq, url,"),
@@ -254,6 +266,8 @@ ORACLE: dict[str, str] = {
       UNION ALL
       SELECT 'alive', NULL, count(*) FROM events WHERE event_type NOT IN ('error', 'signup')""",
     "outcome_join": f"WITH {OUTCOMES} SELECT * EXCLUDE (ts) FROM outcomes",
+    "outcome_unmatched": f"""
+      WITH {OUTCOMES} SELECT _id AS record_id, seq, result FROM outcomes WHERE NOT {ELIGIBLE}""",
     "dead_pool_delete": f"WITH {OUTCOMES}, {OLD}, {DEAD} SELECT * FROM new_pool",
     "dead_history_upsert": f"WITH {OUTCOMES}, {OLD}, {DEAD} SELECT * FROM new_history",
     "dead_now_delete": f"""
@@ -285,8 +299,9 @@ ORACLE: dict[str, str] = {
       WITH {LOG}, last AS (
         SELECT *, row_number() OVER (PARTITION BY ip ORDER BY seq DESC) AS rn FROM log)
       SELECT ip, seq FROM last WHERE rn = 1 AND NOT dead""",
-    "stream_harvest": HARVEST_COUNTS,
-    "stream_harvest_pool": HARVEST_POOL,
+    "stream_harvest": HARVEST_COUNTS.replace("SELECT url,", "SELECT '20240201000000' AS timestamp, url,"),
+    "stream_harvest_pool": STREAM_POOL,
+    "stream_readmission": READMITTED,
     "stream_fold": FOLD,
     "stream_now": f"WITH {LIVE} SELECT url, {TS.format('tm')} AS tm, anonymous FROM live",
     "stream_sweep": f"""

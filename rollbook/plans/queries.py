@@ -114,7 +114,7 @@ def page_error_log(spark, sf_dir):
 
 @query
 def listing_profile(spark, sf_dir):
-    return extract.profile(_items(spark, sf_dir)).select("url", "n_rows")
+    return extract.profile(_items(spark, sf_dir)).select("url", "status", "n_rows")
 
 
 def _as_harvested(pool: DataFrame) -> DataFrame:
@@ -306,6 +306,14 @@ def outcome_join(spark, sf_dir):
     return joined.select("seq", "result", "purl", "record.*")
 
 
+@query
+def outcome_unmatched(spark, sf_dir):
+    """Answers about rows that were never dispatched."""
+    answered = outcomes.classify_probes(given.probes(spark, sf_dir))
+    sent = sweep.dispatch(given.pool(spark, sf_dir))
+    return outcomes.unmatched(answered, sent).select("record_id", "seq", "result")
+
+
 @query
 def dead_pool_delete(spark, sf_dir):
     keys = outcomes.dead_keys(given.outcomes(spark, sf_dir))
@@ -395,7 +403,7 @@ def ledger_members(spark, sf_dir):
 
 @query
 def stream_harvest(spark, sf_dir):
-    return stream_runs.harvest_counts(spark, sf_dir).drop("timestamp")
+    return stream_runs.harvest_counts(spark, sf_dir)
 
 
 @query
@@ -403,6 +411,12 @@ def stream_harvest_pool(spark, sf_dir):
     return _as_harvested(stream_runs.harvest_pool(spark, sf_dir))
 
 
+@query
+def stream_readmission(spark, sf_dir):
+    """Harvest, deaths, harvest again, with death stamps far off the harvest's clock."""
+    return stream_runs.readmitted(spark, sf_dir)
+
+
 @query
 def stream_fold(spark, sf_dir):
     return stream_runs.fold_tables(spark, sf_dir)

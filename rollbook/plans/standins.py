@@ -256,13 +256,13 @@ def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
     def bar(text: Column) -> Column:
-        return _join("<div title='", text, "秒' class=\"bar\"><div class=bar_inner></div></div>")
+        return _join("<div title='", text, "秒' class=\"meter\"><div class=fill></div></div>")
 
     wide = [
         _td("<img src=x.png>"), _td(F.col("ip")), _td(F.col("port")), _td(address),
         _td(F.col("label")), _td(http),
         F.when(F.col("broken"), _td("none")).otherwise(_td(bar(F.col("amount")))),
-        _td(bar(F.lit("7"))), _td("82天"), _td("24-01-01 08:15"),
+        _td(bar(F.lit("7"))), _td("41天"), _td("24-01-01 08:15"),
     ]
     narrow = [
         _td(F.col("ip")), _td(F.col("port")), _td(F.col("label")), _td(http), _td(address),
@@ -282,6 +282,7 @@ def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         "site", "kind", "kinddesc", "domain",
         _join("http://", F.col("domain"), "/", F.col("kind"), "/", F.col("page_seq").cast("string")).alias("url"),
         "page_seq",
+        F.when(F.col("page_seq") % 7 == 3, 503).otherwise(200).alias("status"),
         _join(
             "<html><head><script>var t='<tr>';</script></head><body><br>", head,
             "<tr><th>head</th></tr>", F.col("body"),

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rollbook.plans import standins as given
 from rollbook.plans import tables
-from rollbook.schemas import OUTCOME, PAGES
+from rollbook.schemas import OUTCOME, PAGES, RECORD
 from rollbook.session import fresh_dir
 from rollbook.sources.parts import seed, settle
 from rollbook.streaming.book import Book
@@ -28,7 +28,7 @@ def _land_and_run(df: DataFrame, order: str, start: Callable, root: str) -> None
     """Cut ``df`` into slices of its arrival order, land each and run the stream."""
     table = settle(df, "arrivals")
     last = table.agg(F.max(order)).first()[0]
-    number = F.expr(f"{order} * {SLICES} div {last + 1}")
+    number = F.expr(f"{order} * {SLICES} div {(last or 0) + 1}")
     for i in range(SLICES):
         table.where(number == i).write.mode("append").parquet(f"{root}/landed")
         start(f"{root}/landed").awaitTermination()
@@ -52,7 +52,40 @@ def harvest_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def harvest_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _harvested(spark, sf_dir).pool().where(F.col("timestamp") == tables.harvested())
+    return _harvested(spark, sf_dir).pool()
+
+
+def readmitted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pool after all listing pages, all deaths among their keys, and all pages again.
+
+    Deaths are stamped years before or after the harvest's clock, by turns: what counts is
+    that they arrive between the two harvests.
+    """
+    root = fresh_dir(spark, "readmission")
+    book = Book(spark, root)
+    pages = settle(given.listing_pages(spark, sf_dir).select(*PAGES.fieldNames()), "pages")
+    rows = given.listing_rows(spark, sf_dir)
+    early = F.col("event_id") % 2 == 0
+    record = {f.name: F.lit(None).cast(f.dataType) for f in RECORD.fields}
+    record |= {"_id": F.col("event_id").cast("string"), "ip": F.col("ip"), "port": F.col("port")}
+    deaths = rows.where("event_type = 'error'").select(
+        F.lit(0).alias("result"),
+        F.lit("http://gone").alias("purl"),
+        F.struct(*[c.alias(n) for n, c in record.items()]).alias("record"),
+        F.when(early, F.lit("2001-01-01 00:00:00")).otherwise(F.lit("2049-01-01 00:00:00")).cast("timestamp").alias("order_ts"),
+        F.col("event_id").alias("seq"),
+    )
+    again = pages.withColumn("page_seq", F.col("page_seq") + F.lit(1_000_000_000))
+    for batch in (pages, deaths, again):
+        name = "outcomes" if batch is deaths else "landed"
+        batch.write.mode("append").parquet(f"{root}/{name}")
+        stream = (
+            fold_stream(spark, f"{root}/{name}", root, pause=None)
+            if batch is deaths
+            else harvest_stream(spark, f"{root}/{name}", root, as_of=tables.harvested(), pause=None)
+        )
+        stream.awaitTermination()
+    return book.pool().select("_id", "ip", "port")
 
 
 def _folded(spark: SparkSession, sf_dir: str) -> Book:

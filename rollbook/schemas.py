@@ -18,13 +18,16 @@ LISTING_ROW = T.StructType(_texts(*LISTING_FIELDS))
 
 PAGES = T.StructType([
     *_texts("site", "kind", "kinddesc", "domain", "url"),
+    # Arrival number, one page each; a page without one or that shares one fails.
     T.StructField("page_seq", T.LongType()),
+    T.StructField("status", T.IntegerType()),  # of the response; recorded, never tested
     *_texts("html"),
 ])
 
 ITEM = T.StructType([
     *_texts("url", "domain", "kinddesc"),
     T.StructField("page_seq", T.LongType()),
+    T.StructField("status", T.IntegerType()),
     T.StructField("n_chars", T.IntegerType()),
     T.StructField("reslist", T.ArrayType(LISTING_ROW)),
     *_texts("error"),

@@ -7,6 +7,9 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+#: Working folders of local sessions, by application.
+_LOCAL: dict[str, str] = {}
+
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -39,9 +42,11 @@ def shared_dir(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="rollbook-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    # The caller's settings stay as they are.
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL:
+        _LOCAL[app] = tempfile.mkdtemp(prefix="rollbook-")
+    return _LOCAL[app]
 
 
 def fresh_dir(spark: SparkSession, label: str) -> str:

@@ -3,7 +3,7 @@
 A part is written once: a job that is repeated (a streaming batch after a restart, a
 retried run) finds its finished parts and leaves them, so every write is idempotent,
 costs no more than the batch, and takes no file away from a reader. A base part
-replaces all parts up to its number; of several, the youngest generation counts.
+replaces all parts up to its number. What two bases have replaced may be expired.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from rollbook.session import fresh_dir
 
 _PART = re.compile(r"v=(\d+)")
-_BASE = re.compile(r"base=(-?\d+)_g(\d+)")
+_BASE = re.compile(r"base=(-?\d+)")
 
 
 def _file_system(spark: SparkSession, root: str):
@@ -24,28 +24,35 @@ def _file_system(spark: SparkSession, root: str):
     return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def _finished(spark: SparkSession, folder: str) -> bool:
-    path, fs = _file_system(spark, f"{folder}/_SUCCESS")
+def exists(spark: SparkSession, path: str) -> bool:
+    path, fs = _file_system(spark, path)
     return fs.exists(path)
 
 
+def _finished(spark: SparkSession, folder: str) -> bool:
+    return exists(spark, f"{folder}/_SUCCESS")
+
+
 def _names(spark: SparkSession, root: str) -> list[str]:
     path, fs = _file_system(spark, root)
     return [e.getPath().getName() for e in fs.listStatus(path)] if fs.exists(path) else []
 
 
-def _bases(spark: SparkSession, root: str, names: list[str], before: float) -> list[tuple[int, int]]:
-    """(number, generation) of finished bases, youngest first."""
-    found = (_BASE.fullmatch(name) for name in names)
-    pairs = sorted(((int(m[1]), int(m[2])) for m in found if m), reverse=True)
-    return [p for p in pairs if p[0] < before and _finished(spark, f"{root}/base={p[0]}_g{p[1]}")]
+def _numbers(names: list[str], kind: re.Pattern) -> list[int]:
+    return sorted(int(m[1]) for m in map(kind.fullmatch, names) if m)
+
+
+def _base(spark: SparkSession, root: str, names: list[str], before: float) -> int | None:
+    """The youngest finished base below ``before``. Older ones are not looked at, so the
+    calls do not grow with the table's age."""
+    younger = (n for n in reversed(_numbers(names, _BASE)) if n < before)
+    return next((n for n in younger if _finished(spark, f"{root}/base={n}")), None)
 
 
 def _parts(spark: SparkSession, root: str, names: list[str], low: int, high: float) -> list[int]:
     """Numbers of finished parts above ``low`` and below ``high``."""
-    found = (_PART.fullmatch(name) for name in names)
-    numbers = sorted(int(m[1]) for m in found if m)
-    return [n for n in numbers if low < n < high and _finished(spark, f"{root}/v={n}")]
+    between = (n for n in _numbers(names, _PART) if low < n < high)
+    return [n for n in between if _finished(spark, f"{root}/v={n}")]
 
 
 def _write(df: DataFrame, folder: str) -> None:
@@ -59,7 +66,22 @@ def write_part(df: DataFrame, root: str, number: int) -> None:
 
 def seed(df: DataFrame, root: str) -> None:
     """What the table held before its first part."""
-    _write(df.withColumn("part", F.lit(-1).cast("bigint")), f"{root}/base=-1_g0")
+    _write(df.withColumn("part", F.lit(-1).cast("bigint")), f"{root}/base=-1")
+
+
+def has_parts(spark: SparkSession, root: str) -> bool:
+    return bool(_numbers(_names(spark, root), _PART))
+
+
+def last_part(spark: SparkSession, root: str) -> int:
+    """The greatest finished number; -1 before the first."""
+    names = _names(spark, root)
+    base = _base(spark, root, names, float("inf"))
+    return max([-1 if base is None else base, *_parts(spark, root, names, -1 if base is None else base, float("inf"))])
+
+
+def last_base(spark: SparkSession, root: str) -> int | None:
+    return _base(spark, root, _names(spark, root), float("inf"))
 
 
 def read_part(spark: SparkSession, root: str, schema: T.StructType, number: int) -> DataFrame:
@@ -71,10 +93,9 @@ def read_parts(
 ) -> DataFrame:
     """All rows of finished parts numbered below ``before``, plus their ``part`` number."""
     names = _names(spark, root)
-    base = _bases(spark, root, names, before)[:1]
-    start = base[0][0] if base else -1
-    paths = [f"{root}/base={n}_g{g}" for n, g in base]
-    paths += [f"{root}/v={n}" for n in _parts(spark, root, names, start, before)]
+    base = _base(spark, root, names, before)
+    paths = [] if base is None else [f"{root}/base={base}"]
+    paths += [f"{root}/v={n}" for n in _parts(spark, root, names, -1 if base is None else base, before)]
     full = T.StructType([*schema.fields, T.StructField("part", T.LongType())])
     if not paths:
         # A filter that is false at planning time lets the optimizer drop joins with it.
@@ -88,24 +109,32 @@ def compact(
     root: str,
     schema: T.StructType,
     fold: Callable[[DataFrame], DataFrame],
-    upto: int | None = None,
-    generation: int = 0,
-) -> DataFrame:
-    """Fold all parts up to ``upto`` into a base part and read it; ``fold`` keeps ``part``.
+    upto: int,
+) -> None:
+    """Fold all parts up to ``upto`` into a base part; ``fold`` keeps ``part``.
 
-    Without ``upto`` the last finished part is meant. The folded parts stay for readers
-    that already chose them.
+    The folded parts stay for readers that already chose them, until :func:`expire`.
     """
-    names = _names(spark, root)
-    if upto is None:
-        done = [n for n, g in _bases(spark, root, names, float("inf")) if g == generation]
-        known = [n for n, _ in _bases(spark, root, names, float("inf"))]
-        upto = done[0] if done else max([-1, *known, *_parts(spark, root, names, -1, float("inf"))])
-    folder = f"{root}/base={upto}_g{generation}"
+    folder = f"{root}/base={upto}"
     if not _finished(spark, folder):
         _write(fold(read_parts(spark, root, schema, before=upto + 1)), folder)
-    full = T.StructType([*schema.fields, T.StructField("part", T.LongType())])
-    return spark.read.schema(full).parquet(folder)
+
+
+def expire(spark: SparkSession, root: str) -> None:
+    """Remove what the last base but one has replaced.
+
+    A reader chooses the youngest base; whoever still reads what is removed here began
+    before the last base but one was finished, a whole round of compaction ago.
+    """
+    names = _names(spark, root)
+    done = [n for n in reversed(_numbers(names, _BASE)) if _finished(spark, f"{root}/base={n}")]
+    if len(done) < 2:
+        return
+    old = [f"base={n}" for n in _numbers(names, _BASE) if n < done[1]]
+    old += [f"v={n}" for n in _numbers(names, _PART) if n <= done[1]]
+    for name in old:
+        path, fs = _file_system(spark, f"{root}/{name}")
+        fs.delete(path, True)
 
 
 def settle(df: DataFrame, label: str) -> DataFrame:

@@ -1,51 +1,39 @@
 """The ledger's tables between streaming batches.
 
-Every batch only appends: admitted rows, deaths by key, the last outcome of each
-URL, dead records. What a table holds now is a keyed reduction over its parts, so
-no batch rewrites a table. The sweep compacts the pool, the fold its own tables.
+Every batch only appends: admitted rows, deaths by key, sweeps, the last outcome of each
+URL, dead records. What a table holds now is a keyed reduction over its parts, so no
+batch rewrites a table; each stream folds its own tables into a base now and then.
+
+Order among the tables is arrival order, told by part numbers and by no clock: a death
+and a sweep each record the greatest finished part of the pool at the moment they come,
+and touch the rows of parts up to it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
-from rollbook.functions.scalars import keyed_join
+from rollbook.functions.scalars import eligible, keyed_join
 from rollbook.operators.ingest import KEYS
 from rollbook.operators.outcomes import alive, latest
-from rollbook.operators.sweep import sweep
 from rollbook.schemas import CRAWDETAIL, CRAWLOG, HISTORY, NOW, POOL, RECORD
 from rollbook.sources import parts
 
-DEATHS = T.StructType([
-    T.StructField("ip", T.StringType()),
-    T.StructField("port", T.StringType()),
-    T.StructField("died", T.TimestampType()),
-])
+_UPTO = T.StructField("upto", T.LongType())
+DEATHS = T.StructType([T.StructField("ip", T.StringType()), T.StructField("port", T.StringType()), _UPTO])
+#: How many sweeps saw the pool up to a part.
+SWEEPS = T.StructType([_UPTO, T.StructField("n", T.LongType())])
+#: By pool base: the last part of the deaths that the base has applied.
+APPLIED = T.StructType([T.StructField("deaths", T.LongType())])
 NOW_LOG = T.StructType([*NOW.fields, T.StructField("result", T.IntegerType())])
 
-# What a batch's keys may take up, counted before they are made distinct.
-MAX_BROADCAST_BYTES = 64 << 20
-_ROW_BYTES = 64
-
-
-def wanted_keys(batch: DataFrame, names: Sequence[str]) -> DataFrame:
-    """The keys of a batch, marked for broadcast only once their size is known to be small."""
-    widths = [F.coalesce(F.octet_length(F.col(n).cast("string")), F.lit(0)) for n in names]
-    width = sum(widths, F.lit(_ROW_BYTES))
-    total = batch.agg(F.sum(width.cast("bigint"))).first()[0] or 0
-    keys = batch.select(*names).distinct()
-    return F.broadcast(keys) if total <= MAX_BROADCAST_BYTES else keys
-
-
-def narrow(table: DataFrame, wanted: DataFrame, names: Sequence[str]) -> DataFrame:
-    """The rows of ``table`` with a wanted key.
 
-    A batch names few keys of a large table: broadcast, they filter it where it is
-    read, so that only these rows are shuffled afterwards.
-    """
-    return keyed_join(table, wanted, names, "left_semi")
+def narrow(table: DataFrame, batch: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The rows of ``table`` with a key of the batch. The keys are distinct, so how they
+    meet the table is left to adaptive execution."""
+    return keyed_join(table, batch.select(*names).distinct(), names, "left_semi")
 
 
 class Book:
@@ -59,17 +47,58 @@ class Book:
     def _read(self, name: str, schema: T.StructType, before: float = float("inf")) -> DataFrame:
         return parts.read_parts(self.spark, self.path(name), schema, before)
 
-    def pool(self, before: float = float("inf"), only: DataFrame | None = None) -> DataFrame:
-        """Admitted rows whose key has not died since; optionally those of some keys only."""
-        return self._living(self._read("pool", POOL, before), only).drop("part")
+    def _deaths(self, before: float = float("inf")) -> DataFrame:
+        return self._read("deaths", DEATHS, before)
+
+    @staticmethod
+    def _living(rows: DataFrame, deaths: DataFrame) -> DataFrame:
+        """Rows that came after the last death of their key."""
+        last = deaths.groupBy(*KEYS).agg(F.max("upto").alias("upto"))
+        joined = keyed_join(rows, last, KEYS, "left")
+        return joined.where(F.col("upto").isNull() | (F.col("part") > F.col("upto"))).drop("upto")
+
+    def known(self, batch: DataFrame, before: int) -> DataFrame:
+        """The batch's keys that the pool holds, by parts below ``before``."""
+        # Deaths first: a base of the pool may let go of deaths that an older one needs.
+        deaths = narrow(self._deaths(), batch, KEYS)
+        rows = self._read("pool", POOL, before).select(*KEYS, "part")
+        return self._living(narrow(rows, batch, KEYS), deaths).select(*KEYS)
+
+    def _pool(self, sweeps: DataFrame) -> DataFrame:
+        deaths = self._deaths()
+        return self._raised(self._living(self._read("pool", POOL), deaths), sweeps)
+
+    def pool(self) -> DataFrame:
+        """Admitted rows whose key has not died since, with their counters."""
+        return self._pool(self._read("sweeps", SWEEPS)).drop("part")
+
+    @staticmethod
+    def _raised(rows: DataFrame, sweeps: DataFrame) -> DataFrame:
+        """K4: an eligible row's counter is what it came with plus the sweeps that saw it."""
+        seen = sweeps.groupBy("upto").agg(F.sum("n").alias("n"))
+        # One row per sweep horizon: bounded by the number of harvests.
+        order = Window.orderBy("upto")
+        steps = seen.select(
+            F.sum("n").over(Window.orderBy(F.desc("upto"))).alias("n"),
+            F.sequence(F.coalesce(F.lag("upto").over(order), F.lit(-2)) + 1, "upto").alias("parts"),
+        )
+        by_part = steps.select("n", F.explode("parts").alias("part"))
+        raised = F.col("status") + F.coalesce("n", F.lit(0)).cast("int")
+        status = F.when(eligible(F.col("anonymous")), raised).otherwise(F.col("status"))
+        return rows.join(by_part, "part", "left").withColumn("status", status).select(*rows.columns)
 
-    def _living(self, rows: DataFrame, only: DataFrame | None = None) -> DataFrame:
-        deaths = self._read("deaths", DEATHS)
-        if only is not None:
-            rows, deaths = narrow(rows, only, KEYS), narrow(deaths, only, KEYS)
-        died = deaths.groupBy(*KEYS).agg(F.max("died").alias("died"))
-        joined = keyed_join(rows, died, KEYS, "left")
-        return joined.where(F.col("died").isNull() | (F.col("died") < F.col("timestamp"))).drop("died")
+    def sweep(self, number: int) -> DataFrame:
+        """One row says that the pool as it stands now is swept; the counters follow.
+
+        Returns the rows that sweep ``number`` saw, with the counters it gave them.
+        Repeating a sweep raises nothing twice.
+        """
+        now = parts.last_part(self.spark, self.path("pool"))
+        row = self.spark.createDataFrame([(now, 1)], SWEEPS)
+        parts.write_part(row, self.path("sweeps"), number)
+        upto = parts.read_part(self.spark, self.path("sweeps"), SWEEPS, number).first()["upto"]
+        seen = self._pool(self._read("sweeps", SWEEPS, before=number + 1))
+        return seen.where(F.col("part") <= upto).drop("part")
 
     def now(self) -> DataFrame:
         last = latest(self._read("now", NOW_LOG), "url", "part")
@@ -84,33 +113,39 @@ class Book:
     def crawlog(self) -> DataFrame:
         return self._read("crawlog", CRAWLOG).drop("part")
 
-    def sweep(self, number: int) -> DataFrame:
-        """K4: raise the counters of the rows alive now, as the pool's new base.
+    def dispatched(self) -> DataFrame:
+        return self._read("dispatch", RECORD).withColumnRenamed("part", "sweep")
 
-        A sweep touches every eligible row, so it is also the moment to compact. The
-        base is of generation ``number + 1``: repeating a sweep raises nothing twice.
-        """
-        def raised(rows):
-            return sweep(self._living(rows))
+    def _compact(self, name: str, schema: T.StructType, fold, upto: int) -> None:
+        parts.compact(self.spark, self.path(name), schema, fold, upto)
+        parts.expire(self.spark, self.path(name))
 
-        swept = parts.compact(
-            self.spark, self.path("pool"), POOL, raised, generation=number + 1
-        )
-        return swept.drop("part")
+    def compact_pool(self, upto: int) -> None:
+        """Fold the pool without its dead rows; rows keep their part and counter."""
+        died = parts.last_part(self.spark, self.path("deaths"))
+        row = self.spark.createDataFrame([(died,)], APPLIED)
+        parts.write_part(row, self.path("applied"), upto)
+        applied = parts.read_part(self.spark, self.path("applied"), APPLIED, upto).first()["deaths"]
+        self._compact("pool", POOL, lambda rows: self._living(rows, self._deaths(applied + 1)), upto)
 
-    def dispatched(self) -> DataFrame:
-        return self._read("dispatch", RECORD).withColumnRenamed("part", "sweep")
+    def compact_sweeps(self, upto: int) -> None:
+        def counted(rows):
+            return rows.groupBy("upto").agg(F.sum("n").alias("n"), F.max("part").alias("part"))
 
-    def compact_outcomes(self, upto: int) -> None:
-        def last_death(rows):
-            return rows.groupBy(*KEYS).agg(F.max("died").alias("died"), F.max("part").alias("part"))
+        self._compact("sweeps", SWEEPS, counted, upto)
 
-        def last_url(rows):
-            return latest(rows, "url", "part")
+    def compact_outcomes(self, upto: int) -> None:
+        """Fold what the outcomes left; deaths that the pool's base has applied go."""
+        base = parts.last_base(self.spark, self.path("pool"))
+        gone = F.lit(False)
+        if base is not None and base >= 0:
+            applied = parts.read_part(self.spark, self.path("applied"), APPLIED, base).first()["deaths"]
+            gone = (F.col("upto") <= base) & (F.col("part") <= applied)
 
-        def last_record(rows):
-            return latest(rows, "_id", "part")
+        def last_death(rows):
+            kept = rows.where(~gone)
+            return kept.groupBy(*KEYS).agg(F.max("upto").alias("upto"), F.max("part").alias("part"))
 
-        parts.compact(self.spark, self.path("deaths"), DEATHS, last_death, upto)
-        parts.compact(self.spark, self.path("now"), NOW_LOG, last_url, upto)
-        parts.compact(self.spark, self.path("history"), HISTORY, last_record, upto)
+        self._compact("deaths", DEATHS, last_death, upto)
+        self._compact("now", NOW_LOG, lambda rows: latest(rows, "url", "part"), upto)
+        self._compact("history", HISTORY, lambda rows: latest(rows, "_id", "part"), upto)

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rollbook.operators.outcomes import dead_keys, dead_records, last_by_url
 from rollbook.schemas import OUTCOME
-from rollbook.sources.parts import write_part
+from rollbook.sources.parts import last_part, write_part
 from rollbook.streaming.book import Book
 from rollbook.streaming.follow import follow
 
@@ -17,13 +17,19 @@ COMPACT_EVERY = 50
 
 
 def fold_batch(outcomes: DataFrame, number: int, root: str) -> None:
-    """One batch of outcomes: reads no table, appends three reduced parts."""
-    book = Book(outcomes.sparkSession, root)
+    """One batch of outcomes: reads no table, appends three reduced parts.
+
+    A death removes the rows that are in the pool when it arrives; it says so by the
+    pool's last finished part, whatever any clock shows.
+    """
+    spark = outcomes.sparkSession
+    book = Book(spark, root)
+    upto = F.lit(last_part(spark, book.path("pool"))).cast("bigint")
     if number and number % COMPACT_EVERY == 0:
         book.compact_outcomes(number - 1)
     write_part(dead_records(outcomes), book.path("history"), number)
     write_part(last_by_url(outcomes).drop("seq"), book.path("now"), number)
-    write_part(dead_keys(outcomes), book.path("deaths"), number)
+    write_part(dead_keys(outcomes).withColumn("upto", upto), book.path("deaths"), number)
 
 
 def fold_stream(
@@ -38,4 +44,5 @@ def fold_stream(
     def each(batch: DataFrame, number: int) -> None:
         fold_batch(batch, number, root)
 
-    return follow(spark, landed, OUTCOME, each, f"{root}/_fold", pause, files_per_batch)
+    tables = [f"{root}/{name}" for name in ("history", "now", "deaths")]
+    return follow(spark, landed, OUTCOME, each, f"{root}/_fold", pause, files_per_batch, tables)

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from rollbook.sources.parts import exists, has_parts
+
 
 def follow(
     spark: SparkSession,
@@ -16,12 +18,18 @@ def follow(
     checkpoint: str,
     pause: str | None,
     files_per_batch: int | None = None,
+    tables: Sequence[str] = (),
 ) -> StreamingQuery:
     """Call ``each`` with every batch of new files, oldest first, one batch at a time.
 
     Without ``pause``, take what is there and stop. ``files_per_batch`` bounds a batch
-    when a backlog is worked off.
+    when a backlog is worked off. ``tables`` are what the stream writes, numbered by its
+    batches: without the checkpoint that numbered them it is not started, as it would
+    count from 0 again and take its new rows for stored ones.
     """
+    lost = [t for t in tables if has_parts(spark, t)]
+    if lost and not exists(spark, f"{checkpoint}/metadata"):
+        raise RuntimeError(f"{lost[0]} has parts of a stream whose checkpoint {checkpoint} is gone")
     source = spark.readStream.schema(schema)
     if files_per_batch:
         source = source.option("maxFilesPerTrigger", files_per_batch)

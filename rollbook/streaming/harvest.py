@@ -9,15 +9,30 @@ from pyspark.sql.streaming import StreamingQuery
 
 from rollbook.functions.scalars import ts14
 from rollbook.operators.extract import error_log, extract, split, unnest
-from rollbook.operators.ingest import KEYS, PAGE, accounting_after, admit, pool_rows
+from rollbook.operators.ingest import PAGE, accounting_after, admit, pool_rows
 from rollbook.schemas import ITEM, PAGES
 from rollbook.sources.parts import read_part, write_part
 from rollbook.sources.sites import SITES, Site
-from rollbook.streaming.book import Book, wanted_keys
+from rollbook.streaming.book import Book
 from rollbook.streaming.follow import follow
 
 # Fixed value: pause between two harvest rounds.
 HARVEST_PAUSE = "10 minutes"
+COMPACT_EVERY = 50
+
+
+def numbered_once(items: DataFrame) -> DataFrame:
+    """Pages without a number, or that share one, fail: rows and accounts are told
+    apart by it."""
+    shared = items.groupBy(PAGE).agg(F.count(F.lit(1)).alias("pages")).where("pages > 1")
+    joined = items.join(shared, PAGE, "left")
+    problem = F.when(F.col(PAGE).isNull(), "no page number").when(
+        F.col("pages").isNotNull(), F.concat(F.lit("page number shared by "), "pages", F.lit(" pages"))
+    )
+    return joined.withColumns({
+        "reslist": F.when(problem.isNull(), F.col("reslist")),
+        "error": F.coalesce(problem, "error"),
+    }).select(*items.columns)
 
 
 def harvest_batch(
@@ -30,11 +45,13 @@ def harvest_batch(
     """
     spark = pages.sparkSession
     book = Book(spark, root)
-    write_part(extract(pages, sites), book.path("items"), number)
+    if number and number % COMPACT_EVERY == 0:
+        book.compact_pool(number - 1)
+    write_part(numbered_once(extract(pages, sites)), book.path("items"), number)
     items = read_part(spark, book.path("items"), ITEM, number)
     whole, _ = split(items)
     rows = unnest(items)
-    known = book.pool(before=number, only=wanted_keys(rows, KEYS)).select(*KEYS)
+    known = book.known(rows, before=number)
     row_id = F.concat_ws("-", PAGE, "row_no")
     admitted = pool_rows(admit(rows, known), row_id, as_of).drop("url", "row_no")
     write_part(admitted, book.path("pool"), number)
@@ -60,4 +77,5 @@ def harvest_stream(
     def each(batch: DataFrame, number: int) -> None:
         harvest_batch(batch, number, root, sites, stamp)
 
-    return follow(spark, landed, PAGES, each, f"{root}/_harvest", pause, files_per_batch)
+    tables = [f"{root}/{name}" for name in ("items", "pool", "crawdetail", "crawlog")]
+    return follow(spark, landed, PAGES, each, f"{root}/_harvest", pause, files_per_batch, tables)

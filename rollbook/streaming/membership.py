@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from rollbook.operators.replay import SLICE_WIDTH, admissions, last_events
 from rollbook.sources import parts
-from rollbook.streaming.book import narrow, wanted_keys
+from rollbook.streaming.book import narrow
 from rollbook.streaming.follow import follow
 
 COMPACT_EVERY = 50
@@ -38,8 +38,9 @@ def ledger_batch(
     schema = _state_schema(events.schema, keys)
     if number and number % COMPACT_EVERY == 0:
         parts.compact(spark, f"{root}/state", schema, lambda s: _last_known(s, keys), number - 1)
+        parts.expire(spark, f"{root}/state")
     stored = parts.read_parts(spark, f"{root}/state", schema, before=number)
-    known = _last_known(narrow(stored, wanted_keys(events, keys), keys), keys)
+    known = _last_known(narrow(stored, events, keys), keys)
     admitted = admissions(events, keys, state=known, width=width)
     parts.write_part(admitted.drop("dead"), f"{root}/admissions", number)
     parts.write_part(last_events(events, keys), f"{root}/state", number)
@@ -60,7 +61,8 @@ def ledger_stream(
     def each(batch: DataFrame, number: int) -> None:
         ledger_batch(batch, number, root, keys, width)
 
-    return follow(spark, landed, schema, each, f"{root}/_ledger", pause, files_per_batch)
+    tables = [f"{root}/admissions", f"{root}/state"]
+    return follow(spark, landed, schema, each, f"{root}/_ledger", pause, files_per_batch, tables)
 
 
 def read_admissions(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:

@@ -74,3 +74,14 @@ def test_pool_rows(spark):
     found, pooled, _ = frames(spark, [(1, [("a", "1")])], [])
     row = ingest.pool_rows(found, F.lit("id"), F.lit("2024-01-01").cast("timestamp")).first()
     assert (row._id, row.status, row.rmrk, row.timestamp.year) == ("id", 0, "", 2024)
+
+
+def test_sightings_without_a_page_share_the_last_one(spark):
+    found = spark.createDataFrame([("a", "1", None), ("a", "1", 5), ("b", "1", None), ("b", "1", None)], "ip string, port string, page_seq long")
+    pool = spark.createDataFrame([], "ip string, port string")
+    entered = sorted((r.ip, r.page_seq) for r in ingest.admit(found, pool).collect())
+    assert entered == [("a", 5), ("b", None), ("b", None)]
+    assert [(r.ip, r.page_seq) for r in ingest.existing(found, pool).collect()] == [("a", None)]
+    pages = spark.createDataFrame([(None,), (5,)], "page_seq long")
+    counts = {r.page_seq: (r.addcount, r.existcount) for r in ingest.accounting(found, pool, pages).collect()}
+    assert counts == {5: (1, 0), None: (2, 1)}

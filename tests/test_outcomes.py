@@ -86,3 +86,9 @@ def test_hot_url_is_reduced_before_the_shuffle(spark):
     assert [(r.url, r.anonymous) for r in merged.collect()] == [("http://h:1", "A")]
     plan = merged._jdf.queryExecution().executedPlan().toString()
     assert "partial_max" in plan and "Window" not in plan
+
+
+def test_outcomes_of_what_was_not_sent_are_reported(spark):
+    answered = spark.createDataFrame([("1", 0), ("2", 1), (None, 1)], "record_id string, result int")
+    sent = spark.createDataFrame([("1", "A")], "_id string, anonymous string")
+    assert sorted(str(r.record_id) for r in oc.unmatched(answered, sent).collect()) == ["2", "None"]

@@ -1,3 +1,5 @@
+from pathlib import Path
+
 from pyspark.sql import functions as F, types as T
 
 from rollbook.session import fresh_dir
@@ -58,21 +60,33 @@ def test_seed_then_parts_then_base(spark):
     assert rows(parts.read_parts(spark, root, SCHEMA, before=1)) == [("a", 0, -1), ("a", 0, 0), ("b", 0, -1)]
 
 
-def test_generations(spark):
+def test_what_two_bases_replaced_expires(spark):
     root = fresh_dir(spark, "t")
-
-    def more(df):
-        return df.withColumn("n", F.col("n") + 10)
-
-    parts.write_part(frame(spark, ("a", 1)), root, 0)
-    for generation in (1, 2, 2):
-        parts.compact(spark, root, SCHEMA, more, generation=generation)
-    assert rows(parts.read_parts(spark, root, SCHEMA)) == [("a", 21, 0)]
-    parts.write_part(frame(spark, ("b", 5)), root, 1)
-    parts.compact(spark, root, SCHEMA, more, generation=2)
-    assert rows(parts.read_parts(spark, root, SCHEMA)) == [("a", 21, 0), ("b", 5, 1)]
-    parts.compact(spark, root, SCHEMA, more, generation=3)
-    assert rows(parts.read_parts(spark, root, SCHEMA)) == [("a", 31, 0), ("b", 15, 1)]
+    parts.seed(frame(spark, ("a", 0)), root)
+    for n in range(6):
+        parts.write_part(frame(spark, ("a", n)), root, n)
+        if n in (1, 3):
+            parts.compact(spark, root, SCHEMA, last, upto=n)
+            before = rows(last(parts.read_parts(spark, root, SCHEMA)))
+            parts.expire(spark, root)
+            assert rows(last(parts.read_parts(spark, root, SCHEMA))) == before
+    names = {p.name for p in Path(root).iterdir()}
+    assert names == {"base=1", "base=3", "v=2", "v=3", "v=4", "v=5"}
+    assert parts.last_part(spark, root) == 5 and parts.last_base(spark, root) == 3
+
+
+def test_file_calls_do_not_grow_with_old_bases(spark, monkeypatch):
+    calls = []
+    monkeypatch.setattr(parts, "_finished", lambda s, folder, real=parts._finished: calls.append(folder) or real(s, folder))
+    seen = []
+    root = fresh_dir(spark, "t")
+    for n in range(4):
+        parts.write_part(frame(spark, ("a", n)), root, n)
+        parts.compact(spark, root, SCHEMA, last, upto=n)
+        calls.clear()
+        parts.read_parts(spark, root, SCHEMA)
+        seen.append(len(calls))
+    assert seen == [1] * 4
 
 
 def test_an_unfinished_part_is_written_anew(spark):

@@ -38,3 +38,17 @@ def test_sweep_and_scalars_do_not_shuffle(spark, sf_dir):
 def test_dispatch_order_can_cut_through_a_level(spark, sf_dir):
     assert "rangepartitioning(status" in plan(QUERIES["dispatch_list"](spark, sf_dir))
     assert "_id" in plan(QUERIES["dispatch_list"](spark, sf_dir)).split("rangepartitioning(")[1].split(")")[0]
+
+
+def test_eligibility_reaches_the_scan(spark, sf_dir, tmp_path):
+    from rollbook.operators.ingest import scan_eligible
+    from rollbook.plans import standins
+
+    standins.pool(spark, sf_dir).write.parquet(f"{tmp_path}/pool")
+    text = plan(scan_eligible(spark.read.parquet(f"{tmp_path}/pool")).select("_id"))
+    pushed = text.split("PushedFilters: [")[1].split("]")[0]
+    assert "EqualTo(anonymous,A)" in pushed and "StringStartsWith(anonymous,W)" in pushed
+
+
+def test_pages_are_parsed_in_the_scans_own_splits(spark, sf_dir):
+    assert "Exchange" not in plan(QUERIES["page_rows"](spark, sf_dir))

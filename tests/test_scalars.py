@@ -35,11 +35,13 @@ def test_endpoint_url_and_null(spark):
     assert got == ["https://192.0.2.1:80", None]
 
 
-def test_eligible_is_never_null(spark):
+def test_eligible_takes_a_missing_class_for_false(spark):
     df = spark.createDataFrame([(a,) for a in ["A", "WA", "WN", "W", "C", "T", "N", "AW", "", None]], "a string")
     got = {r.a: r.e for r in df.select("a", fx.eligible(F.col("a")).alias("e")).collect()}
     assert [a for a, e in got.items() if e] == ["A", "WA", "WN", "W"]
-    assert None not in got.values()
+    assert got[None] is None
+    assert df.where(fx.eligible(F.col("a"))).count() == 4
+    assert {r.x for r in df.where("a IS NULL").select(F.when(fx.eligible(F.col("a")), 1).otherwise(0).alias("x")).collect()} == {0}
 
 
 def test_outcome_has_three_cases(spark):

@@ -1,4 +1,5 @@
 import datetime as dt
+import time
 from pathlib import Path
 
 import pytest
@@ -11,7 +12,7 @@ from rollbook.session import fresh_dir
 from rollbook.sources import parts
 from rollbook.streaming import fold, harvest, membership
 from rollbook.streaming.book import Book
-from rollbook.streaming.sweep import sweep_cycle
+from rollbook.streaming.sweep import sweep_cycle, sweep_stream
 from test_outcomes import frames, random_case
 from test_replay import frame, random_log
 
@@ -84,14 +85,89 @@ def test_a_repeated_harvest_batch_changes_nothing(spark, root):
     assert [(r.addcount, r.existcount) for r in book.crawdetail().collect()] == [(1, 0)]
 
 
-def test_many_keys_are_joined_by_shuffle_with_the_same_result(spark, root, monkeypatch):
-    from rollbook.streaming import book as books
+@pytest.mark.parametrize("minute", [-5, 15])
+def test_deaths_count_by_arrival_not_by_clock(spark, root, minute):
+    """Deaths stamped behind and ahead of the harvest's clock."""
+    a, b = ("192.0.2.1", "80"), ("192.0.2.2", "80")
+    book = Book(spark, root)
+    harvested(spark, root, 0, page("xici", 1, wide_page(wide_row(*a), wide_row(*b))))
+    land(spark.createDataFrame([dead_outcome(*a, minute, 1)], OUTCOME), f"{root}/outcomes")
+    fold.fold_stream(spark, f"{root}/outcomes", root, pause=None).awaitTermination()
+    assert keys(book.pool()) == [b]
+    for number in (2, 3):
+        harvested(spark, root, number, page("xici", number, wide_page(wide_row(*a))))
+    assert keys(book.pool()) == [a, b]
+    detail = {r.url[-1]: r.addcount for r in book.crawdetail().collect()}
+    assert detail == {"1": 2, "2": 1, "3": 0}
+
+
+def test_compaction_drops_the_dead_and_their_deaths(spark, root):
+    a, b = ("192.0.2.1", "80"), ("192.0.2.2", "80")
+    book = Book(spark, root)
+
+    def die(key, number):
+        out = spark.createDataFrame([dead_outcome(*key, 0, number)], OUTCOME)
+        fold.fold_batch(out, number, root)
+
+    harvested(spark, root, 0, page("xici", 1, wide_page(wide_row(*a), wide_row(*b))))
+    die(a, 0)
+    book.compact_pool(0)
+    assert parts.read_parts(spark, book.path("pool"), harvest.PAGES, 1).count() == 1
+    harvested(spark, root, 1, page("xici", 2, wide_page(wide_row(*a))))
+    die(b, 1)
+    before = keys(book.pool())
+    book.compact_outcomes(1)
+    # a's death is in the base already, b's is not.
+    assert keys(book._deaths()) == [b] and keys(book.pool()) == before == [a]
 
-    monkeypatch.setattr(books, "MAX_BROADCAST_BYTES", 0)
-    for number in range(2):
-        pages = spark.createDataFrame([page("xici", number, wide_page(wide_row("192.0.2.1", "80")))], PAGES)
-        harvest.harvest_batch(pages, number, root, harvest.SITES, stamp(number))
-    assert Book(spark, root).pool().count() == 1
+
+def test_pages_that_share_a_number_fail(spark, root):
+    a, b, c = ("192.0.2.1", "80"), ("192.0.2.2", "80"), ("192.0.2.3", "80")
+    harvested(
+        spark, root, 0,
+        page("xici", 1, wide_page(wide_row(*a))), page("cloud", 1, narrow_page(narrow_row(*b))),
+        page("xici", None, wide_page(wide_row(*b))), page("xici", 2, wide_page(wide_row(*c))),
+    )
+    book = Book(spark, root)
+    assert keys(book.pool()) == [c]
+    assert sorted(r.records.split(", ")[1] for r in book.crawlog().collect()) == ["no page number", *["page number shared by 2 pages"] * 2]
+    assert [(r.addcount, r.existcount) for r in book.crawdetail().collect()] == [(1, 0)]
+
+
+def test_a_page_that_breaks_the_parser_fails_alone(spark, root):
+    huge = "&#" + "9" * 5000 + ";"
+    harvested(
+        spark, root, 0,
+        page("xici", 1, wide_page(wide_row("192.0.2.1", "80", address=huge))),
+        page("xici", 2, wide_page(wide_row("192.0.2.2", "80", speed=huge))),
+        page("xici", 3, wide_page(wide_row("192.0.2.3", "80"))),
+    )
+    book = Book(spark, root)
+    assert keys(book.pool()) == [("192.0.2.3", "80")]
+    assert sorted(r.url[-1] for r in book.crawlog().collect()) == ["1", "2"]
+
+
+def test_a_lost_checkpoint_is_refused(spark, root):
+    land(spark.createDataFrame([page("xici", 1, wide_page(wide_row("192.0.2.1", "80")))], PAGES), f"{root}/landed")
+    harvest.harvest_batch(spark.read.schema(PAGES).parquet(f"{root}/landed"), 0, root, harvest.SITES, stamp(0))
+    with pytest.raises(RuntimeError, match="checkpoint"):
+        harvest.harvest_stream(spark, f"{root}/landed", root, pause=None)
+
+
+def test_a_clock_sweeps(spark, root):
+    book = Book(spark, root)
+    harvested(spark, root, 0, page("xici", 1, wide_page(wide_row("192.0.2.1", "80"))))
+    query = sweep_stream(spark, root, pause="1 second")
+    for _ in range(120):
+        if Path(root, "dispatch", "v=1", "_SUCCESS").exists():
+            break
+        time.sleep(0.5)
+    query.stop()
+    assert [(r.sweep, r.status) for r in book.dispatched().where("sweep < 2").orderBy("sweep").collect()] == [(0, 1), (1, 2)]
+    swept = book.pool().first().status
+    book.compact_sweeps(1)
+    assert book.pool().first().status == swept >= 2
+    assert not list(Path(root, "pool").glob("base=*"))
 
 
 def test_fold_stream_equals_one_by_one(spark, root):
