@@ -18,9 +18,12 @@
    together, the share that both retain.
 5. Links are confirmed on full shingle sets, first one pair per class (the best estimated
    to a smaller id), then what still lies between different components, until nothing does.
-6. Members of a long list that are in different components then are paired all the same,
+6. A long list whose members are in different components then is dealt anew by second
+   values: a pair whose rarest common value is the list's shares a later one too, if each
+   looks one value further. Members of different components that share both are paired,
    estimated and confirmed. So each link of step 2's candidates is confirmed or lies inside
-   a component, and components are what all links would give.
+   a component, and components are what all links would give. A long list of classes that
+   have no more in common than its value falls apart into short ones.
 
 Every table between the steps is written to the shared folder. Joins that may meet a hot
 key (a common value, a hub, a large class) are equality joins that adaptive execution
@@ -85,19 +88,25 @@ def _sketcher(shingle: int):
     return run
 
 
-def _postings(classes: DataFrame, least: float) -> DataFrame:
+def _postings(classes: DataFrame, threshold: int) -> tuple[DataFrame, DataFrame]:
     """``value``, ``m`` (length of its list), ``rep``, ``n``: each class in the lists of its
-    rarest retained values."""
+    rarest retained values. And ``rep``, ``values``: these values in order of rarity, and
+    one more."""
     each = classes.select("rep", "n", F.size("sketch").alias("k"), F.explode("sketch").alias("value"))
     spread = each.groupBy("value").agg(F.count("*").alias("df")).where("df > 1")
     shared = each.join(spread, "value")
     # Values of its own are the rarest of a class; they take up places without a list.
     mine = shared.groupBy("rep", "n", "k").agg(F.sort_array(F.collect_list(F.struct("df", "value"))).alias("values"))
-    quota = F.col("k") - F.ceil(F.col("k") * least) + 1 - (F.col("k") - F.size("values"))
+    # Sets that fit a sketch with all their partners overlap as the similarity itself says.
+    t = threshold / 100
+    share = F.when(F.col("n") <= int(SKETCH * t), t).otherwise(least_overlap(threshold))
+    quota = F.size("values") - F.ceil(F.col("k") * share - 1e-9) + 1
     rare = mine.withColumn("quota", quota.cast("int")).where("quota > 0")
-    rare = land(rare.select("rep", "n", F.explode(F.expr("slice(values, 1, quota)")).alias("v")).select("rep", "n", "v.value"), "rare")
-    length = rare.groupBy("value").agg(F.count("*").alias("m")).where("m > 1")
-    return land(rare.join(length, "value"), "lists")
+    values = F.transform(F.expr("slice(values, 1, quota + 1)"), lambda v: v["value"])
+    rare = land(rare.select("rep", "n", "quota", values.alias("values")), "rare")
+    each = rare.select("rep", "n", F.explode(F.expr("slice(values, 1, quota)")).alias("value"))
+    length = each.groupBy("value").agg(F.count("*").alias("m")).where("m > 1")
+    return land(each.join(length, "value"), "lists"), rare.select("rep", "values")
 
 
 def _sized(pairs: DataFrame, threshold: int) -> DataFrame:
@@ -230,7 +239,7 @@ def near_groups(
         F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch")
     )
     classes = land(found.where("rep IS NOT NULL"), "classes")
-    lists = _postings(classes.select("rep", "n", "sketch"), least)
+    lists, ranked = _postings(classes.select("rep", "n", "sketch"), threshold)
     pairs = land(_candidates(lists, threshold), "pairs")
 
     # Only what is on a list is looked at again.
@@ -251,10 +260,15 @@ def near_groups(
 
     open_lists = _rooted(long.select("value", "rep", "n"), roots, "rep", "root")
     split = open_lists.groupBy("value").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi")
-    open_lists = land(open_lists.join(split.select("value"), "value"), "open")
-    left = _two(open_lists, 1, "value", "root").withColumnRenamed("root", "c1")
-    right = _two(open_lists, 2, "value", "root").withColumnRenamed("root", "c2")
-    rest = _sized(left.join(right, "value").where("c1 < c2"), threshold).join(pairs, ["a", "b"], "left_anti")
+    later = F.expr("slice(values, array_position(values, value) + 1, size(values))")
+    dealt = open_lists.join(split.select("value"), "value").join(ranked, "rep").select("value", "rep", "n", "root", F.explode(later).alias("second"))
+    dealt = land(dealt, "dealt")
+    keys = ["value", "second"]
+    split = dealt.groupBy(*keys).agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi")
+    open_lists = land(dealt.join(split.select(*keys), keys), "open")
+    left = _two(open_lists, 1, *keys, "root").withColumnRenamed("root", "c1")
+    right = _two(open_lists, 2, *keys, "root").withColumnRenamed("root", "c2")
+    rest = _sized(left.join(right, keys).where("c1 < c2"), threshold).join(pairs, ["a", "b"], "left_anti")
     rest = land(_estimated(rest, sketches, least), "rest")
     links = _settle(rest, links, held, shingle, threshold)
 
