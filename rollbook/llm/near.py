@@ -204,15 +204,17 @@ def _rooted(df: DataFrame, roots: DataFrame, column: str, name: str) -> DataFram
     return joined.withColumn(name, F.coalesce(name, column))
 
 
-def _settle(pairs: DataFrame, links: DataFrame, held: DataFrame, shingle: int, threshold: int) -> DataFrame:
-    """Confirms pairs until none is left between components; returns all confirmed links."""
-    roots = components(links)
+def _settle(
+    pairs: DataFrame, links: DataFrame, roots: DataFrame, held: DataFrame, shingle: int, threshold: int
+) -> tuple[DataFrame, DataFrame]:
+    """Confirms pairs until none is left between components; returns all confirmed links
+    and the components they make. ``roots``: the components of ``links``."""
     rounds = 0
     while True:
         between = _rooted(_rooted(pairs, roots, "a", "ca"), roots, "b", "cb").where("ca != cb")
         pairs = land(between.select("a", "b", "estimate"), "between")
         if pairs.isEmpty():
-            return links
+            return links, roots
         now = pairs
         if rounds < SINGLE_ROUNDS:
             best = F.max(F.struct("estimate", (-F.col("a")).alias("a"))).alias("best")
@@ -254,9 +256,9 @@ def near_groups(
     wanted = read.join(needed, read["doc_id"] == needed["rep"]).select("rep", "text")
     held = land(wanted.groupBy("rep").agg(F.first("text").alias("text")), "texts")
 
-    none = docs.sparkSession.createDataFrame([], "a bigint, b bigint")
-    links = _settle(estimated, none, held, shingle, threshold)
-    roots = components(links)
+    spark = docs.sparkSession
+    none = spark.createDataFrame([], "a bigint, b bigint"), spark.createDataFrame([], "u bigint, root bigint")
+    links, roots = _settle(estimated, *none, held, shingle, threshold)
 
     open_lists = _rooted(long.select("value", "rep", "n"), roots, "rep", "root")
     split = open_lists.groupBy("value").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi")
@@ -270,9 +272,9 @@ def near_groups(
     right = _two(open_lists, 2, *keys, "root").withColumnRenamed("root", "c2")
     rest = _sized(left.join(right, keys).where("c1 < c2"), threshold).join(pairs, ["a", "b"], "left_anti")
     rest = land(_estimated(rest, sketches, least), "rest")
-    links = _settle(rest, links, held, shingle, threshold)
+    _, roots = _settle(rest, links, roots, held, shingle, threshold)
 
-    named = _rooted(classes.select("digest", "rep"), components(links), "rep", "component_id").select("digest", "component_id")
+    named = _rooted(classes.select("digest", "rep"), roots, "rep", "component_id").select("digest", "component_id")
     out = rows.select("doc_id", "n", "digest").join(named, "digest", "left")
     # An empty set is linked with nothing, not even with another.
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
