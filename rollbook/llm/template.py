@@ -61,14 +61,19 @@ _SIBLINGS = {
 _ROLES = frozenset(
     "navigation banner contentinfo complementary search form menu menubar toolbar dialog alertdialog alert tablist".split()
 )
+#: Words in a class or id that say what an element is.
 _LABEL = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert(?:s|isements?|ising)?|adsense|banner|sponsor(?:ed|s)?|promo(?:s|tions?)?|nav(?:bar|igation)?|menu|"
-    r"breadcrumbs?|sidebar|side-?bar|aside|footer|foot|masthead|topbar|toolbar|cookies?|consent|gdpr|notices?|notifications?|"
-    r"alert|popup|modal|overlay|newsletter|subscribe|subscription|signup|login|share|sharing|social|related|recommend(?:ed|ations?)?|"
-    r"comments?|commentlist|disqus|respond|replies|widget|pagination|pager|skip(?:-?link)?|search(?:-?(?:form|box))?|copyright|"
-    r"site-?header|page-?header|header)(?:$|[\s_-])",
+    r"breadcrumbs?|sidebar|side-bar|aside|footer|foot|masthead|topbar|top-bar|toolbar|cookies?|consent|gdpr|notices?|"
+    r"notifications?|alert|popup|modal|overlay|newsletter|subscribe|subscription|signup|login|share|sharing|social|related|"
+    r"recommend(?:ed|ations?)?|comments?|commentlist|disqus|respond|replies|reply|widget|pagination|pager|skip|skip-?link|"
+    r"search(?:-?(?:form|box))?|copyright|site-header|page-header)\d*(?:$|[\s_-])|^\s*header\s*$",
     re.I,
 )
+#: The same of an element that is an article by its name.
+_NO_ARTICLE = re.compile(r"(?:^|[\s_-])(?:comments?|reply|replies|ads?|advert\w*|promo|sponsored|related)\d*(?:$|[\s_-])", re.I)
+_PHRASES = frozenset("html body main a b i em strong u s small sub sup code h1 h2 h3 h4 h5 h6".split())
+_CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _TAG = re.compile(
     r"<!--(?:>|->|.*?(?:--!?>|\Z))|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.S
 )
@@ -77,15 +82,16 @@ _SPACE = re.compile(r"\s+")
 
 
 class Element:
-    __slots__ = ("name", "label", "children", "drop")
+    __slots__ = ("name", "label", "children", "drop", "doubt")
 
-    def __init__(self, name: str, label: str = "", drop: bool = False):
-        self.name, self.label, self.drop = name, label, drop
+    def __init__(self, name: str, label: str = "", drop: bool = False, doubt: bool = False):
+        self.name, self.label = name, label
+        self.drop, self.doubt = drop, doubt  # goes; goes unless the content is inside
         self.children: list = []  # elements and strings
 
 
 def _open(name: str, attributes: str, stack: list[Element]) -> Element:
-    label, drop = "", name in NEVER
+    label, drop, doubt = "", name in NEVER, False
     if attributes.strip(" \t\r\n/"):
         found = {}
         for m in _ATTRIBUTE.finditer(attributes):
@@ -93,12 +99,12 @@ def _open(name: str, attributes: str, stack: list[Element]) -> Element:
         label = f"{found.get('class', '')} {found.get('id', '')}".strip()
         hidden = "hidden" in found or found.get("aria-hidden", "").lower() == "true"
         hidden = hidden or "display:none" in found.get("style", "").replace(" ", "").lower()
-        # The article itself, and what holds the page, are not judged by their names.
-        judged = name not in ("html", "body", "main", "article", "p", "b", "i", "em", "strong", "a")
-        drop = drop or hidden or found.get("role", "").lower() in _ROLES or judged and bool(_LABEL.search(label))
+        drop = drop or hidden or found.get("role", "").lower() in _ROLES
+        if label and not drop and name not in _PHRASES:
+            doubt = bool((_NO_ARTICLE if name == "article" else _LABEL).search(_CAMEL.sub("-", label)))
     if name == "header" and not any(e.name in ("article", "main") for e in stack):
         drop = True
-    return Element(name, label, drop)
+    return Element(name, label, drop, doubt)
 
 
 def parse(html: str) -> Element:
@@ -163,12 +169,30 @@ def _hash_of(parts: list[str]) -> int:
 
 
 def _prune(root: Element) -> None:
-    """Takes out what is dropped, in a loop: trees may be deep."""
-    todo = [root]
+    """Takes out what is dropped, in loops: trees may be deep.
+
+    What only a class or id speaks against stays if the page's article or main element is
+    inside, or, comments and adverts apart, more than half of the page's words are."""
+    order, todo = [], [root]
     while todo:
         e = todo.pop()
+        order.append(e)
         e.children = [c for c in e.children if isinstance(c, str) or not c.drop]
         todo.extend(c for c in e.children if not isinstance(c, str))
+    if not any(e.doubt for e in order):
+        return
+    known: dict[int, tuple[int, bool]] = {}
+    for e in reversed(order):
+        inside = [known[id(c)] for c in e.children if not isinstance(c, str)]
+        words = sum(len(c.split()) for c in e.children if isinstance(c, str)) + sum(n for n, _ in inside)
+        known[id(e)] = words, e.name in ("article", "main") and not e.doubt or any(held for _, held in inside)
+    half = known[id(root)][0] / 2
+    for e in order:
+        e.children = [
+            c for c in e.children
+            if isinstance(c, str) or not c.doubt or known[id(c)][1]
+            or known[id(c)][0] > half and not _NO_ARTICLE.search(_CAMEL.sub("-", c.label))
+        ]
 
 
 def subtrees(root: Element) -> list[tuple[Element, int]]:

@@ -92,6 +92,19 @@ def test_main_text_edges(frame, spark):
     assert template.main_text(pages.limit(0)).count() == 0
 
 
+def test_labels_do_not_take_the_content_along(frame):
+    body = "<p>" + "The story is told at some length here. " * 5
+    pages = [
+        f"<body><div id=content-sidebar-wrap><main>{body}</main><div class=sideBar>Links</div></div>",
+        f"<body><div class='page header'><article class=post><div class=article-header><h1>Head</h1></div>{body}"
+        "<p class=ad-slot2>Buy</p><article class=comment><p>First</article></article></div><div id=adBox1>Buy</div>",
+    ]
+    df = frame([(i, None, p) for i, p in enumerate(pages)], "page_id long, url string, html string")
+    got = dict(rows_of(template.main_text(df), "page_id", "text"))
+    story = ("The story is told at some length here. " * 5).strip()
+    assert got == {0: story, 1: "Head\n" + story}
+
+
 def test_template_goes_by_host(frame):
     def page(i, box):
         return f"<body><div><p>{box}</p><ul><li>same</ul></div><div><p>Article number {i} says something of its own</p></div></body>"
