@@ -17,13 +17,17 @@
 4. Pairs whose sizes allow a link are estimated: of the smallest values of both sketches
    together, the share that both retain.
 5. Links are confirmed on full shingle sets, first one pair per class (the best estimated
-   to a smaller id), then what still lies between different components, until nothing does.
+   to a smaller id), then all that still lie between different components.
 6. A long list whose members are in different components then is dealt anew by second
    values: a pair whose rarest common value is the list's shares a later one too, if each
-   looks one value further. Members of different components that share both are paired,
-   estimated and confirmed. So each link of step 2's candidates is confirmed or lies inside
-   a component, and components are what all links would give. A long list of classes that
-   have no more in common than its value falls apart into short ones.
+   looks one value further. A long list of classes that have no more in common than its
+   value falls apart into short ones, which give their pairs of different components.
+   What is long still is a group that is alike but not all linked. Its members' full
+   shingle sets are put in order of rarity among them, and classes meet in the lists of
+   the values that the threshold itself allows, where their places in both orders leave
+   room for the overlap that a link needs (a class has too many shingles of its own, or it
+   has a link to the group's middle). So each link of step 2's candidates is confirmed or
+   lies inside a component, and components are what all links would give.
 
 Every table between the steps is written to the shared folder. Joins that may meet a hot
 key (a common value, a hub, a large class) are equality joins that adaptive execution
@@ -48,8 +52,6 @@ from pyspark.sql import DataFrame, functions as F
 from rollbook.llm.shared import WHITE, land, shingle_hashes, texts, word_hashes
 
 SKETCH, SMALL = 48, 16
-#: Rounds that confirm one pair per class before all the rest is confirmed at once.
-SINGLE_ROUNDS = 3
 
 
 def least_overlap(threshold: int) -> float:
@@ -171,8 +173,12 @@ def _confirmed(pairs: DataFrame, held: DataFrame, shingle: int, threshold: int)
     )
 
 
-def _mark(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % 1_000_003)).first())
+def _is_settled(edges: DataFrame) -> bool:
+    """Whether each id has one edge upwards and no id has edges both ways: all stars."""
+    ends = edges.select(F.col("u").alias("id"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+    ends = ends.unionByName(edges.select(F.col("v").alias("id"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    each = ends.groupBy("id").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return each.where("up > 1 OR up > 0 AND down > 0").isEmpty()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -182,18 +188,14 @@ def components(edges: DataFrame) -> DataFrame:
     edges = land(
         edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct(), "edges"
     )
-    mark = _mark(edges)
-    while mark[0]:
+    while not _is_settled(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = small.unionByName(least.select("u", F.col("m").alias("v"))).where("u != v").distinct()
-        edges, before = land(small, "stars"), mark
-        mark = _mark(edges)
-        if mark == before:
-            break
+        edges = land(small, "stars")
     return edges.select("u", F.col("v").alias("root"))
 
 
@@ -204,26 +206,63 @@ def _rooted(df: DataFrame, roots: DataFrame, column: str, name: str) -> DataFram
     return joined.withColumn(name, F.coalesce(name, column))
 
 
+def _sets(shingle: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rep, root, text in zip(batch["rep"].to_pylist(), batch["root"].to_pylist(), texts(batch["text"])):
+                values = shingle_set(text, shingle)
+                n = len(values)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([x] * n, pa.int64()) for x in (rep, root, n)] + [pa.array(values.view(np.int64))],
+                    ["rep", "root", "n", "value"],
+                )
+
+    return run
+
+
+def _within_groups(members: DataFrame, shingle: int, threshold: int) -> DataFrame:
+    """Pairs of different components that full sets allow a link. ``members``: ``rep``,
+    ``root``, ``text``."""
+    t = threshold / 100
+    each = land(members.mapInArrow(_sets(shingle), "rep bigint, root bigint, n bigint, value bigint"), "sets")
+    spread = each.groupBy("value").agg(
+        F.count("*").alias("df"), F.min("root").alias("lo"), F.max("root").alias("hi")
+    ).where("df > 1")
+    shared = each.join(spread, "value").groupBy("rep", "root", "n").agg(
+        F.sort_array(F.collect_list(F.struct("df", "value", (F.col("lo") != F.col("hi")).alias("open")))).alias("values")
+    )
+    # ``left``: values from this one on, the most that a pair can share if it is their first.
+    shared = shared.select("rep", "root", "n", F.size("values").alias("k"), F.posexplode("values").alias("at", "v"))
+    shared = shared.select("rep", "root", "n", (F.col("k") - F.col("at")).alias("left"), "v.value", "v.open")
+    shared = land(shared.where(F.col("open") & (F.col("left") >= F.col("n") * t - 1e-9)), "set-lists")
+    one, other = (
+        shared.select("value", *(F.col(c).alias(f"{c[0]}{i}") for c in ("rep", "n", "left")), F.col("root").alias(f"c{i}"))
+        for i in (1, 2)
+    )
+    room = F.least("l1", "l2") >= t / (1 + t) * (F.col("n1") + F.col("n2")) - 1e-9
+    return _sized(one.join(other, "value").where((F.col("c1") < F.col("c2")) & room), threshold)
+
+
 def _settle(
     pairs: DataFrame, links: DataFrame, roots: DataFrame, held: DataFrame, shingle: int, threshold: int
 ) -> tuple[DataFrame, DataFrame]:
-    """Confirms pairs until none is left between components; returns all confirmed links
-    and the components they make. ``roots``: the components of ``links``."""
-    rounds = 0
-    while True:
+    """Confirms pairs, first one per class, then all that still lie between components;
+    returns all confirmed links and the components they make. ``roots``: the components of
+    ``links``."""
+    for first in (True, False):
         between = _rooted(_rooted(pairs, roots, "a", "ca"), roots, "b", "cb").where("ca != cb")
         pairs = land(between.select("a", "b", "estimate"), "between")
-        if pairs.isEmpty():
-            return links, roots
         now = pairs
-        if rounds < SINGLE_ROUNDS:
+        if first:
             best = F.max(F.struct("estimate", (-F.col("a")).alias("a"))).alias("best")
             now = pairs.groupBy("b").agg(best).select((-F.col("best.a")).alias("a"), "b", "best.estimate")
         tested = land(_confirmed(now, held, shingle, threshold), "tested")
-        links = land(links.unionByName(tested.where("linked").select("a", "b")), "links")
+        linked = tested.where("linked").select("a", "b")
+        if not linked.isEmpty():
+            links = land(links.unionByName(linked), "links")
+            roots = components(links)
         pairs = pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
-        roots = components(links)
-        rounds += 1
+    return links, roots
 
 
 def near_groups(
@@ -245,8 +284,7 @@ def near_groups(
     pairs = land(_candidates(lists, threshold), "pairs")
 
     # Only what is on a list is looked at again.
-    listed = land(lists.select("rep").distinct(), "listed")
-    sketches = land(classes.select("rep", "sketch").join(listed, "rep"), "listed-sketches")
+    sketches = land(classes.select("rep", "sketch").join(lists.select("rep"), "rep", "left_semi"), "listed")
     estimated = land(_estimated(pairs, sketches, least), "estimated")
 
     # Long lists may still ask for any of their members; fetch texts once for all.
@@ -266,11 +304,15 @@ def near_groups(
     dealt = open_lists.join(split.select("value"), "value").join(ranked, "rep").select("value", "rep", "n", "root", F.explode(later).alias("second"))
     dealt = land(dealt, "dealt")
     keys = ["value", "second"]
-    split = dealt.groupBy(*keys).agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi")
-    open_lists = land(dealt.join(split.select(*keys), keys), "open")
-    left = _two(open_lists, 1, *keys, "root").withColumnRenamed("root", "c1")
-    right = _two(open_lists, 2, *keys, "root").withColumnRenamed("root", "c2")
-    rest = _sized(left.join(right, keys).where("c1 < c2"), threshold).join(pairs, ["a", "b"], "left_anti")
+    split = dealt.groupBy(*keys).agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("size"))
+    open_lists = land(dealt.join(split.where("lo != hi").select(*keys, "size"), keys), "open")
+    short = open_lists.where(F.col("size") <= SMALL)
+    left = _two(short, 1, *keys, "root").withColumnRenamed("root", "c1")
+    right = _two(short, 2, *keys, "root").withColumnRenamed("root", "c2")
+    rest = _sized(left.join(right, keys).where("c1 < c2"), threshold)
+    members = open_lists.where(F.col("size") > SMALL).select("rep", "root").distinct().join(held, "rep")
+    rest = rest.unionByName(_within_groups(members, shingle, threshold)).distinct()
+    rest = rest.join(pairs, ["a", "b"], "left_anti")
     rest = land(_estimated(rest, sketches, least), "rest")
     _, roots = _settle(rest, links, roots, held, shingle, threshold)
 

@@ -260,7 +260,7 @@ def test_near_chains_and_large_groups_equal_brute_force(documents):
     texts, base = [], new(120)
     for _ in range(70):
         words = list(base)
-        for i in draw.choice(120, int(draw.integers(0, 8)), replace=False):
+        for i in draw.choice(120, int(draw.integers(0, 22)), replace=False):
             words[i] = new(1)[0]
         texts.append(words)
     link = new(100)
