@@ -43,10 +43,11 @@ def assign(
     ``draw`` is a column of integers in 0..100. With ``modulus`` the divisor is fixed;
     an index past the end of the list, or an empty list, assigns null. The top list
     is turned into one row per possible draw, so the broadcast side has at most 101
-    rows whatever the size of ``now``.
+    rows whatever the size of ``now``. No draw reaches past the first 101 of the list,
+    so a longer one is not made.
     """
     whole = Window.partitionBy(F.lit(0))
-    ranked = freshest(now, n, where).select(
+    ranked = freshest(now, min(n, MAX_DRAW + 1), where).select(
         "url",
         (F.row_number().over(whole.orderBy(F.desc("tm"), "url")) - 1).alias("idx"),
         F.count(F.lit(1)).over(whole).alias("size"),

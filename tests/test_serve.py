@@ -66,3 +66,11 @@ def test_find_takes_an_equality_document(spark):
     df = live(spark, 3).unionByName(live(spark, 2, "WA"))
     assert serve.find(df, {"anonymous": "WA"}).count() == 2
     assert serve.find(df, {}).count() == 5
+
+
+def test_lists_longer_than_any_draw_assign_alike(spark):
+    now = live(spark, 150)
+    order = [r.url for r in serve.freshest(now, 150).collect()]
+    for modulus in (None, 120):
+        got = serve.assign(draws(spark), now, F.col("request"), n=150, modulus=modulus).collect()
+        assert all(r.url == order[r.draw] for r in got)
