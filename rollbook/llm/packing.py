@@ -134,6 +134,7 @@ def _packer(tokenizer: str, end_id: int, window: int):
                     parts, doc_ids, held, number = [], [], 0, number + n
         if parts:
             yield _pieces(parts, doc_ids, sentence_end, window, number)[0]
+        bpe.forget()
 
     return run
 

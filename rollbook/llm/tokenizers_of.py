@@ -1,7 +1,7 @@
 """Public tokenizers with a memo of the pieces that recur.
 
 Both libraries never merge across a space that a visible character follows, so a text is
-the concatenation of its space-led words, and a word is encoded once per worker. What
+the concatenation of its space-led words, and a word is encoded once per task. What
 does not fit that rule (runs of spaces, spaces before other white space) goes to the
 library in longer pieces or whole.
 """
@@ -17,8 +17,8 @@ import numpy as np
 
 from rollbook.llm.shared import per_worker
 
-#: Words remembered per worker, and the longest word worth remembering.
-MEMO_WORDS, MEMO_CHARS = 500_000, 48
+#: Words remembered per task, and the longest word worth remembering.
+MEMO_WORDS, MEMO_CHARS = 300_000, 48
 #: Marks that may follow a word without changing how its letters are cut off.
 _AFTER = ".,;:!?*&%$#|"
 
@@ -108,6 +108,11 @@ class ByteBpe:
         shown = text.encode().decode("latin-1").translate(self.shown)
         return np.array([t.id for t in self.model.tokenize(shown)], dtype="<u4").tobytes()
 
+    def forget(self) -> None:
+        """Gives the memory back; workers outlive tasks and serve other stages."""
+        for memo in (self.head, self.rest, self.pieces):
+            memo.clear()
+
     def encode(self, text: str) -> bytes:
         if not self.by_words:
             return self._encode(text)
@@ -147,6 +152,9 @@ class PieceBpe:
         )
         self.words = _Memo(self._word)
 
+    def forget(self) -> None:
+        self.words.clear()
+
     def _count_of(self, text: str) -> list[int]:
         return self.library.encode(text)
 
@@ -170,6 +178,9 @@ class JsonCounter:
     def __init__(self, path: str):
         self.bpe = ByteBpe(path)
 
+    def forget(self) -> None:
+        self.bpe.forget()
+
     def count(self, text: str) -> int:
         return len(self.bpe.encode(text)) // 4
 

@@ -38,10 +38,11 @@ def stored_counts(spark: SparkSession, cache: str, version: str) -> DataFrame |
 
 def _encoder(path: str):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = counter(path).count
+        library = counter(path)
         for batch in batches:
-            n = pa.array([count(t) for t in texts(batch["text"])], pa.int64())
+            n = pa.array([library.count(t) for t in texts(batch["text"])], pa.int64())
             yield pa.RecordBatch.from_arrays([batch["digest"], n], ["digest", "n_tokens"])
+        library.forget()
 
     return encode
 
