@@ -135,6 +135,7 @@ def _packer(tokenizer: str, end_id: int, window: int):
         if parts:
             yield _pieces(parts, doc_ids, sentence_end, window, number)[0]
         bpe.forget()
+        pa.default_memory_pool().release_unused()
 
     return run
 

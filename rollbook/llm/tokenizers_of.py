@@ -18,7 +18,7 @@ import numpy as np
 from rollbook.llm.shared import per_worker
 
 #: Words remembered per task, and the longest word worth remembering.
-MEMO_WORDS, MEMO_CHARS = 300_000, 48
+MEMO_WORDS, MEMO_CHARS = 200_000, 48
 #: Marks that may follow a word without changing how its letters are cut off.
 _AFTER = ".,;:!?*&%$#|"
 
