@@ -14,13 +14,17 @@
   its domain, that towards its ending, that towards all documents. A document's own vote
   is taken out first.
 
-Classes are the declared codes (two or three letters before any ``-`` or ``_``) with at
-least ``MIN_SHARE`` of the documents that declare one; so there are at most 1 / MIN_SHARE.
+Classes are the declared codes (two or three letters before any ``-`` or ``_``) of at least
+``MIN_DOCS`` documents, however large the table; their number is that of the languages. A
+rarer code has too few texts to count grams from, so nothing can say that it is wrong.
 
 Nulls and empties: missing evidence says nothing (a null declared code, address or host). A
-text without letters has no text evidence and is not kept, whatever is declared; so is one
-whose best class is ``und`` or has a probability below ``MIN_PROBABILITY``. Ties go to the
-first code in alphabetical order. Without any declared language all documents are ``und``.
+text without letters has no text evidence and is not kept, whatever is declared. Nor is one
+whose best class is ``und`` or has a probability below ``MIN_PROBABILITY``, unless its own
+declared language explains it better than ``und`` does, or is too rare to be a class. Where
+no class is best, those two take the declared code (a code that is no class with the
+probability of ``und``). Ties go to the first code in alphabetical order. Texts that declare
+nothing are ``und`` if there is no class.
 Every row gives one output row; repeated rows repeat it. Extra columns are ignored.
 """
 
@@ -35,7 +39,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from rollbook.llm.shared import land, texts
 
 PLACES, GRAMS = 1 << 13, 200
-MIN_SHARE, MIN_PROBABILITY = 0.002, 0.5
+MIN_DOCS, MIN_PROBABILITY = 5, 0.5
 #: Pseudo-counts with which a level of hosts leans on the one above it.
 LEAN = 20.0
 UNKNOWN, UNKNOWN_PRIOR = "und", 0.01
@@ -79,17 +83,20 @@ def suffix_of(address: Column, codes: list[str]) -> Column:
 
 def _counter(codes: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((len(codes), PLACES), dtype=np.int64)
+        total: dict[int, np.ndarray] = {}
         at = {c: i for i, c in enumerate(codes)}
         for batch in batches:
             for code, text in zip(batch["code"].to_pylist(), texts(batch["text"])):
                 if code in at:
+                    if at[code] not in total:
+                        total[at[code]] = np.zeros(PLACES, dtype=np.int64)
                     total[at[code]][np.unique(grams(text))] += 1
-        lang, place = np.nonzero(total)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(lang, pa.int32()), pa.array(place, pa.int32()), pa.array(total[lang, place])],
-            ["lang", "place", "n"],
-        )
+        for lang, n in total.items():
+            place = np.flatnonzero(n)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(place), lang), pa.int32()), pa.array(place, pa.int32()), pa.array(n[place])],
+                ["lang", "place", "n"],
+            )
 
     return run
 
@@ -98,16 +105,26 @@ def fit(docs: DataFrame) -> tuple[list[str], np.ndarray]:
     """Codes, and the log frequency of each gram in each; last the unknown class. ``docs``:
     ``code``, ``text``."""
     counts = docs.where("code IS NOT NULL").groupBy("code").count()
-    total = counts.agg(F.sum("count")).first()[0] or 0
-    codes = sorted(r["code"] for r in counts.where(F.col("count") >= max(1, MIN_SHARE * total)).collect())
-    seen = np.zeros((len(codes), PLACES))
+    codes = sorted(r["code"] for r in counts.where(F.col("count") >= MIN_DOCS).collect())
+    seen = np.zeros((len(codes), PLACES), dtype=np.float32)
     if codes:
         parts = docs.select("code", "text").mapInArrow(_counter(codes), "lang int, place int, n bigint")
-        for r in parts.groupBy("lang", "place").agg(F.sum("n").alias("n")).toLocalIterator():
-            seen[r["lang"], r["place"]] = r["n"]
-    seen += 0.01
-    log = np.log(seen / seen.sum(axis=1, keepdims=True))
-    return codes, np.vstack((log, np.full((1, PLACES), -np.log(PLACES))))
+        summed = parts.groupBy("lang", "place").agg(F.sum("n").alias("n"))
+        # A row is a language: PLACES numbers at most.
+        for r in summed.groupBy("lang").agg(F.collect_list(F.struct("place", "n")).alias("found")).toLocalIterator():
+            place, n = zip(*r["found"])
+            seen[r["lang"], list(place)] = n
+    seen += np.float32(0.01)
+    log = np.log(seen / seen.sum(axis=1, keepdims=True, dtype=np.float64).astype(np.float32))
+    return codes, np.vstack((log, np.full((1, PLACES), -np.log(PLACES), dtype=np.float32)))
+
+
+def _log_likelihood(log: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Of a text of these grams in each class; a place is looked up once however often it occurs."""
+    times = np.bincount(at, minlength=PLACES)
+    place = np.flatnonzero(times)
+    total = (log[place] * times[place, None].astype(np.float32)).sum(axis=0, dtype=np.float64)
+    return total / (1 + len(at) / GRAMS)
 
 
 def _likelihoods(log: np.ndarray):
@@ -119,7 +136,7 @@ def _likelihoods(log: np.ndarray):
             for text in texts(batch["text"]):
                 at = grams(text)
                 sizes.append(len(at))
-                rows.append(log[at].sum(axis=0) / (1 + len(at) / GRAMS) if len(at) else np.zeros(log.shape[1]))
+                rows.append(_log_likelihood(log, at) if len(at) else np.zeros(log.shape[1]))
             names = [n for n in batch.schema.names if n != "text"]
             yield pa.RecordBatch.from_arrays(
                 [*(batch[n] for n in names), pa.array(sizes, pa.int64()), pa.array(rows, pa.list_(pa.float64()))],
@@ -130,8 +147,9 @@ def _likelihoods(log: np.ndarray):
 
 
 def _vote_table(docs: DataFrame, key: str, n: int) -> DataFrame:
-    votes = [F.sum((F.col("vote") == i).cast("double")) for i in range(n)]
-    return docs.where(F.col(key).isNotNull()).groupBy(key).agg(F.array(*votes).alias(f"{key}_votes"))
+    """Votes for the languages that a key has any for; the unknown class has none."""
+    votes = docs.where(F.col(key).isNotNull() & (F.col("vote") < n)).groupBy(key, "vote").agg(F.count("*").alias("n"))
+    return votes.groupBy(key).agg(F.collect_list(F.struct("vote", "n")).alias(f"{key}_votes"))
 
 
 def _matrix(docs: DataFrame, column: str, codes: list[str]) -> np.ndarray:
@@ -158,9 +176,12 @@ def _fuser(codes: list[str], declared: np.ndarray, suffix: np.ndarray, overall:
         level = np.maximum(overall - own, 0) + 1.0
         level = level / level.sum()
         for key in ("ending", "domain", "host"):
-            votes = row[f"{key}_votes"]
-            if votes is not None:
-                votes = np.maximum(np.asarray(votes) - own, 0)
+            found = row[f"{key}_votes"]
+            if found is not None:
+                votes = np.zeros(n)
+                for v in found:
+                    votes[v["vote"]] = v["n"]
+                votes = np.maximum(votes - own, 0)
                 level = (votes + LEAN * level) / (votes.sum() + LEAN)
         level = (1 - CHANCE) * level + CHANCE / n
         return np.append((1 - UNKNOWN_PRIOR) * level, UNKNOWN_PRIOR)
@@ -169,9 +190,12 @@ def _fuser(codes: list[str], declared: np.ndarray, suffix: np.ndarray, overall:
         for batch in batches:
             out: list[tuple] = []
             for row in batch.to_pylist():
-                if not n or not row["grams"]:
+                if not row["grams"] or not n and row["code"] is None:
                     out.append((row["doc_id"], UNKNOWN, 0.0, UNKNOWN, False))
                     continue
+                if not n:
+                    out.append((row["doc_id"], row["code"], 1.0, UNKNOWN, True))
+                    continue
                 ll = np.asarray(row["ll"])
                 log = ll + np.log(prior(row))
                 if row["code"] is not None:
@@ -180,9 +204,15 @@ def _fuser(codes: list[str], declared: np.ndarray, suffix: np.ndarray, overall:
                     log = log + np.log(suffix[:, at.get(row["suffix"], n)])
                 p = np.exp(log - log.max())
                 p /= p.sum()
-                best = int(p.argmax())
+                best, own = int(p.argmax()), at.get(row["code"], n)
                 kept = best < n and p[best] >= MIN_PROBABILITY
-                out.append((row["doc_id"], names[best], float(p[best]), names[int(ll.argmax())], bool(kept)))
+                language, rare = names[best], row["code"] is not None and own == n
+                if not kept and rare:
+                    best, language, kept = n, row["code"], True
+                elif not kept and ll[own] > ll[n]:
+                    best = own if best == n else best
+                    language, kept = names[best], True
+                out.append((row["doc_id"], language, float(p[best]), names[int(ll.argmax())], bool(kept)))
             columns = list(zip(*out)) or [()] * 5
             kinds = (pa.int64(), pa.string(), pa.float64(), pa.string(), pa.bool_())
             yield pa.RecordBatch.from_arrays(
@@ -217,8 +247,9 @@ def identify(
     scored = land(scored.withColumn("vote", vote), "likelihoods")
 
     declared_is, suffix_is = _matrix(scored, "code", codes), _matrix(scored, "suffix", codes)
-    total = scored.agg(*(F.sum((F.col("vote") == i).cast("double")) for i in range(n)), F.lit(0)).first()
-    overall = np.array([v or 0.0 for v in total[:n]])
+    overall = np.zeros(n)
+    for r in scored.where(F.col("vote") < n).groupBy("vote").count().collect():
+        overall[r["vote"]] = r["count"]
     fused = scored
     if n:
         for key in ("ending", "domain", "host"):
@@ -226,7 +257,7 @@ def identify(
             # splits hot hosts.
             fused = fused.join(land(_vote_table(scored, key, n), f"{key}-votes"), key, "left")
     else:
-        fused = fused.withColumns({f"{k}_votes": F.lit(None).cast("array<double>") for k in ("ending", "domain", "host")})
+        fused = fused.withColumns({f"{k}_votes": F.lit(None).cast("array<struct<vote:int,n:bigint>>") for k in ("ending", "domain", "host")})
     out = "doc_id bigint, language string, probability double, text_language string, kept boolean"
     return fused.select(
         "doc_id", "code", "suffix", "grams", "ll", "vote", "ending_votes", "domain_votes", "host_votes"

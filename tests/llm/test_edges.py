@@ -135,6 +135,21 @@ def test_language_edges(documents, frame):
     assert not language.identify_documents(documents([(1, en)])).first()["kept"]
 
 
+def test_rare_languages_are_not_lost_on_a_large_table(documents):
+    en = "the house of the king and the queen by the sea"
+    ka = "ქართული ენა არის საქართველოს სახელმწიფო ენა {} და მისი დამწერლობა ძველია"
+    hy = "հայերենը հնդեվրոպական լեզու է և ունի իր այբուբենը"
+    rows = [(i, f"{en} number{i}", "en", f"s{i % 3}") for i in range(4000)]
+    # Five of 4,000 are a class; a code of one document cannot be held against it.
+    rows += [(5000 + i, ka.format("აბგდე"[i] * 4), "ka", "s1") for i in range(5)]
+    rows += [(6000, hy, "hy", "s1"), (6001, "漢字仮名交じり文" * 9, "en", "s1"), (6002, en, "xx", "s2"), (6003, "12 !!", "yy", "s2")]
+    got = {r["doc_id"]: r for r in language.identify_documents(documents(rows)).collect()}
+    assert all(got[5000 + i]["language"] == got[5000 + i]["text_language"] == "ka" and got[5000 + i]["kept"] for i in range(5))
+    assert got[6000]["language"] == "hy" and got[6000]["kept"]
+    assert got[6001]["language"] == "und" and not got[6001]["kept"]
+    assert got[6002]["language"] == "en" and got[6002]["kept"] and not got[6003]["kept"]
+
+
 def test_language_of_pages_uses_markup_address_and_host(frame):
     from pyspark.sql import functions as F
 
