@@ -1,6 +1,7 @@
 """Benchmark decontamination by spaced seeds.
 
-Words are runs of letters and digits in lower case. A mask looks at six of the words it
+Words are runs of letters and digits of any script in lower case; each character of a script
+that is written without spaces is a word. A mask looks at six of the words it
 spans and ignores the others; the hashes of what the masks see at each position of the
 benchmark are joined with those of the documents. Around each hit the document and the item
 are laid over each other and compared word by word: an item leaks if, on one alignment, at
@@ -30,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from rollbook.llm.shared import NOT_ALNUM, mixed, texts, without, word_hashes
+from rollbook.llm.shared import alnum_hashes, mixed, texts, without
 
 #: 1: the word counts, 0: it may be any.
 MASKS = ("1110100001001", "1111011", "100101111")
@@ -42,7 +43,7 @@ SCHEMA = "doc_id bigint, item_id bigint, matched bigint, compared bigint, doc_wo
 
 
 def words_of(text: str) -> np.ndarray:
-    return word_hashes(text.lower().encode("utf-8", "replace"), NOT_ALNUM)
+    return alnum_hashes(text.lower())
 
 
 def seed_hashes(words: np.ndarray, mask: str) -> np.ndarray:
@@ -149,7 +150,7 @@ def _blocks(benchmark: DataFrame, block_words: int) -> Iterator[Probe]:
     items = benchmark.select(
         F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text")
     )
-    # Words are at least one byte and a gap.
+    # Words are at least one byte and a gap; without a gap, three bytes.
     size = (F.octet_length("text") / 2 + 1).cast("long")
     blocks = int((items.agg(F.sum(size)).first()[0] or 0) // block_words) + 1
     items = items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)))

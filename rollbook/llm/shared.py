@@ -111,6 +111,42 @@ def word_hashes(data: bytes, blank: np.ndarray) -> np.ndarray:
     return span_hashes(raw, turns[0::2], turns[1::2])
 
 
+#: Code points of scripts that are written without spaces: Thai, Lao, Tibetan, Myanmar, Khmer,
+#: Tai, Kana, Bopomofo, Han, Yi.
+_UNSPACED = (
+    (0x0E00, 0x0FFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19DF), (0x1A20, 0x1AAF), (0x2E80, 0x2FDF),
+    (0x3005, 0x3007), (0x3021, 0x3029), (0x3031, 0x312F), (0x31A0, 0x31BF), (0x31F0, 0x31FF), (0x3400, 0x4DBF),
+    (0x4E00, 0xA4CF), (0xA9E0, 0xA9FF), (0xAA60, 0xAADF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x16FE0, 0x18CFF),
+    (0x1AFF0, 0x1B2FF), (0x20000, 0x3FFFF),
+)
+
+
+def _kinds() -> np.ndarray:
+    """Per code point: 0 is no letter or digit, 1 is one, 2 is a word by itself."""
+    out = np.fromiter((chr(c).isalnum() for c in range(0x110000)), dtype=np.uint8, count=0x110000)
+    for first, last in _UNSPACED:
+        out[first : last + 1] *= 2
+    return out
+
+
+def alnum_hashes(text: str) -> np.ndarray:
+    """64-bit hashes of the words of a lower-case text: runs of letters and digits of any
+    script; a character of a script without spaces is a word."""
+    if text.isascii():
+        return word_hashes(text.encode(), NOT_ALNUM)
+    data = text.encode("utf-8", "replace")
+    points = np.frombuffer(data.decode().encode("utf-32-le"), dtype="<u4")
+    kind = np.zeros(len(points) + 2, dtype=np.uint8)
+    kind[1:-1] = per_worker(("kinds",), _kinds)[points]
+    # A word starts after, and ends before, whatever does not run on.
+    ran_on = (kind[1:] == 1) & (kind[:-1] == 1)
+    inner = kind[1:-1] > 0
+    width = 1 + (points >= 0x80).astype(np.int64) + (points >= 0x800) + (points >= 0x10000)
+    ends = np.cumsum(width)
+    first, last = np.flatnonzero(inner & ~ran_on[:-1]), np.flatnonzero(inner & ~ran_on[1:])
+    return span_hashes(np.frombuffer(data, dtype=np.uint8), (ends - width)[first], ends[last])
+
+
 def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hashes of the byte spans ``[start, end)``; equal bytes, equal hash."""
     up, down = _powers(len(raw))

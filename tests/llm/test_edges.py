@@ -384,6 +384,21 @@ def test_leak_edges(documents, frame):
     assert decontaminate.remove_leaks(docs.limit(0), bench).count() == 0
 
 
+def test_leaks_in_any_script_and_typography(documents, frame):
+    item = "北京大学的研究人员昨天发表了一篇关于气候变化的新论文"
+    plain = "it's the well-known case - a 'quoted' passage of 20 words, which someone copied; Été and all, from one page to another"
+    marks = plain.replace("'", "’").replace("-", "—").replace("a ’", "a ‘").replace(" - ", "—").replace(", ", ",\u00a0").replace(" of ", "\u3000of\u202f")
+    thai = "ภาษาไทยเป็นภาษาที่มีระดับเสียงของคำแน่นอน"
+    docs = documents(
+        [(1, "他们说" + item + "。然后大家都回家了"), (2, f"before “{marks.upper()}” after"), (3, "xx" + thai + "ครับ"), (4, "北京大学在中国，气候很好。"),
+         (5, "先说" + item.replace("昨", "今").replace("新", "旧") + "再说")]
+    )
+    bench = frame([(1, item), (2, plain), (3, thai)], "item_id long, text string")
+    assert rows_of(decontaminate.find_leaks(docs, bench), "doc_id", "item_id") == [(1, 1), (2, 2), (3, 3), (5, 1)]
+    words = decontaminate.words_of("Ab\u00a0c—d’e 第3章\u3000été_x \ud800")
+    assert words.tolist() == [decontaminate.words_of(w)[0] for w in ("ab", "c", "d", "e", "第", "3", "章", "été", "x")]
+
+
 def test_without_takes_null_for_null(documents, spark):
     docs = documents([(1, "x"), (None, "y"), (2, "z")])
     left = without(docs, spark.createDataFrame([(None,), (2,)], "gone long"))
