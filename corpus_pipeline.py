@@ -1,35 +1,53 @@
 """The corpus pipeline: documents through five operators, each stage written and read again.
 
 Each stage takes what its predecessor kept. The first four return the columns of documents;
-the last returns packed pieces.
+the last returns packed pieces. Each row is judged for itself: a stage gives its rows keys of
+their own, so rows without id, or with the same id, do not share a fate.
 """
 
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rollbook.llm import decontaminate, exact, language, near, packing
-from rollbook.llm.shared import land, table, without
+from rollbook.llm.shared import aside, keyed, land, table, without
 
 #: SQL can express neither the language model nor the packing.
 ORACLE_SQL = None
 
 
+def _rank(key: str) -> Column:
+    """Of alike rows the smallest stays: an id that is there, the smallest id, any one row."""
+    return F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id").alias("id"), F.col(key).alias("row"))
+
+
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is known; texts without letters and texts that are like no
     language of the corpus go."""
-    return without(docs, language.identify_documents(docs).where("NOT kept").select("doc_id"))
+    rows, key = keyed(docs)
+    found = language.identify_documents(rows.withColumn("doc_id", F.col(key)))
+    return without(rows, found.where("NOT kept").select("doc_id"), key).drop(key)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each text (white space aside)."""
-    return without(docs, exact.duplicates(docs).where("NOT kept").select("doc_id"))
+    rows, key = keyed(docs)
+    rank = aside("rank")
+    found = exact.duplicates(rows.withColumn(rank, _rank(key)), id_col=rank)
+    return without(rows, found.where("NOT kept").select("doc_id.row"), key).drop(key)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group linked by five-word shingles, at a similarity of 0.8."""
-    return without(docs, near.near_groups(docs, shingle=5).where("NOT kept").select("doc_id"))
+    rows, key = keyed(docs)
+    groups = near.near_groups(rows, shingle=5, id_col=key)
+    # A group is named by its smallest key, and all its other rows are not kept.
+    others = land(groups.where("NOT kept").select(F.col("doc_id").alias(key), "component_id"), "others")
+    members = others.unionByName(others.select(F.col("component_id").alias(key), "component_id").distinct())
+    best = rows.select(key, "doc_id").join(members, key).groupBy("component_id").agg(F.min(_rank(key)).alias("best"))
+    gone = members.select(key).join(land(best.select(F.col("best.row").alias(key)), "best"), key, "left_anti")
+    return without(rows, gone, key).drop(key)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from rollbook.llm.shared import alnum_hashes, mixed, texts, without
+from rollbook.llm.shared import alnum_hashes, keyed, mixed, texts, without
 
 #: 1: the word counts, 0: it may be any.
 MASKS = ("1110100001001", "1111011", "100101111")
@@ -177,6 +177,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_W
 
 
 def remove_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents into which no item leaks. A document without id is judged with all
-    others without id."""
-    return without(docs, find_leaks(docs, benchmark).select("doc_id"))
+    """The documents into which no item leaks. Each row is judged for itself, whatever its id."""
+    rows, key = keyed(docs)
+    found = find_leaks(rows.withColumn("doc_id", F.col(key)), benchmark)
+    return without(rows, found.select("doc_id"), key).drop(key)

@@ -52,6 +52,13 @@ def without(docs: DataFrame, gone: DataFrame, id_col: str = "doc_id") -> DataFra
     return docs.join(gone, F.col(id_col).eqNullSafe(F.col(key)), "left_anti")
 
 
+def keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The rows, landed with a key of each row's own (ids may be null or repeat), and the
+    key's column."""
+    key = aside("row")
+    return land(docs.withColumn(key, F.monotonically_increasing_id()), "keyed"), key
+
+
 def once(df: DataFrame, name: str, value: Column) -> DataFrame:
     """``df`` with a column that is computed once per row, however often it is used: the
     optimizer takes no expression over a generator."""

@@ -28,3 +28,26 @@ def test_stages(spark, documents, frame, tmp_path):
     run = corpus_pipeline.run(spark, str(tmp_path))
     assert sorted(map(repr, run.drop("sequence_id", "offset").collect())) == sorted(map(repr, pieces.drop("sequence_id", "offset").collect()))
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language", "exact dedup", "near dedup", "decontamination", "packing"]
+
+
+def test_stages_judge_rows_not_ids(spark, documents, frame, tmp_path):
+    text = " ".join(f"the word{i} of" for i in range(40)) + "."
+    other = " ".join(f"a house{i} and" for i in range(40)) + "."
+    leak = " ".join(f"benchmark{i}" for i in range(25))
+    clean = [f"the a{i} house b{i} of c{i} the king d{i} and e{i} the sea f{i}." for i in range(14)]
+    rows = [(i, clean[i], "en", "s") for i in range(10)] + [(None, t, "en", "s") for t in clean[10:13]] + [(0, clean[13], "en", "s")]
+    rows += [(None, None, "en", "s"), (1, "123 !!", "en", "s")]  # no letters
+    rows += [(None, clean[2], "en", "s"), (None, text, "en", "s"), (None, text, "en", "t"), (3, clean[3], "en", "s")]  # copies
+    rows += [(None, other, "en", "s"), (7, other.replace("house39", "lot"), "en", "s"), (7, other.replace("house39", "sea"), "en", "s")]  # near
+    rows += [(None, f"the {leak} of", "en", "s"), (4, f"and {leak} by", "en", "s")]
+    docs = documents(rows)
+    frame([(1, leak)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        columns = docs.columns
+        docs = stage(spark, docs, str(tmp_path))
+        assert docs.columns == columns
+    got = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    near = [g for g in got if "house0" in g[1]]
+    assert len(near) == 1 and near[0][0] == 7
+    want = [(i, clean[i]) for i in range(10)] + [(None, t) for t in clean[10:13]] + [(0, clean[13]), (None, text), *near]
+    assert sorted(map(repr, got)) == sorted(map(repr, want))
