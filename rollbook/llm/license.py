@@ -18,7 +18,7 @@ edit inside leaves 80 %. Windows that differ agree with probability
 shingle, so surely.
 
 Nulls and empties: null and empty texts match nothing. A text shorter than a shingle, or a
-template, is one shingle of all its words. A template without words is none; each row of
+template, is one shingle of all its words; such a template is also found inside longer texts. A template without words is none; each row of
 the templates is matched for itself, also if ids repeat. Each row gives its own matches. Extra
 columns are ignored. Templates are a stated set on the driver: ``BLOCK`` of them at a time
 are held against all documents.
@@ -29,6 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rollbook.llm.shared import aside, once
+from rollbook.llm.wordings import rows as wordings
 
 SHINGLE, CONTAINED = 5, 0.8
 SIZE, STEP, BANDS, ROWS = 4, 2, 2, 2
@@ -69,6 +70,7 @@ NOTICES = {
 
 def default_templates(spark: SparkSession) -> DataFrame:
     rows = [(f"{name}/{i}", text) for name, texts in NOTICES.items() for i, text in enumerate(texts)]
+    rows += wordings()
     return spark.createDataFrame(rows, "template_id string, text string")
 
 
@@ -78,8 +80,11 @@ def words(text: Column) -> Column:
     return F.when(spaced == "", F.array().cast("array<string>")).otherwise(F.split(spaced, " "))
 
 
-def with_shingles(df: DataFrame, text: Column, name: str) -> DataFrame:
-    """Adds ``name``: hashes of the runs of words, in order."""
+def with_shingles(
+    df: DataFrame, text: Column, name: str, brief: str | None = None, starts: dict[int, set[int]] | None = None
+) -> DataFrame:
+    """Adds ``name``: hashes of the runs of words, in order. And ``brief``, if given: those of
+    the runs of fewer words than a shingle that begin with the ``starts`` of their length."""
     hidden = aside("words")
     df = once(df, hidden, F.transform(words(text), lambda w: F.xxhash64(w)))
     w = F.col(hidden)
@@ -87,7 +92,20 @@ def with_shingles(df: DataFrame, text: Column, name: str) -> DataFrame:
         F.sequence(F.lit(1), F.size(w) - (SHINGLE - 1)),
         lambda i: F.xxhash64(*(F.element_at(w, i + k) for k in range(SHINGLE))),
     )
-    short = F.array(F.xxhash64(F.size(w), F.array_join(F.transform(w, lambda x: x.cast("string")), " ")))
+
+    def whole(x: Column) -> Column:
+        return F.xxhash64(F.size(x), F.array_join(F.transform(x, lambda y: y.cast("string")), " "))
+
+    if brief:
+        found = [F.array().cast("array<bigint>")]
+        for n, first in (starts or {}).items():
+            at = F.filter(F.sequence(F.lit(1), F.size(w) - (n - 1)), lambda i: F.element_at(w, i).isin(*first))
+            runs = F.transform(at, lambda i: whole(F.slice(w, i, n)))
+            # Few texts have such a word at all.
+            has = F.exists(w, lambda x: x.isin(*first))
+            found.append(F.when((F.size(w) >= SHINGLE) & has, runs).otherwise(found[0]))
+        df = once(df, brief, F.concat(*found))
+    short = F.array(whole(w))
     return once(df, name, F.when(F.size(w) >= SHINGLE, run).when(F.size(w) > 0, short).otherwise(w)).drop(hidden)
 
 
@@ -109,13 +127,16 @@ def bands(h: Column, step: int) -> Column:
 
 def prepared(templates: DataFrame) -> list[dict]:
     """Templates with their shingle sets and the values they are retrieved by."""
-    rows = with_shingles(templates.select("template_id", "text"), F.col("text"), "h").where(F.size("h") > 0)
-    long = F.size("h") >= SIZE + STEP - 1
+    rows = with_shingles(templates.select("template_id", "text"), F.col("text"), "runs").where(F.size("runs") > 0)
+    long = F.size("runs") >= SIZE + STEP - 1
+    # Not named "h" before: inside a lambda that would be the distinct ones of this select.
     rows = rows.select(
         "template_id",
-        F.array_distinct("h").alias("h"),
-        F.when(long, bands(F.col("h"), 1)).otherwise(F.col("h")).alias("keys"),
+        F.array_distinct("runs").alias("h"),
+        F.when(long, bands(F.col("runs"), 1)).otherwise(F.col("runs")).alias("keys"),
         long.alias("long"),
+        F.size(words(F.col("text"))).alias("words"),
+        F.xxhash64(F.element_at(words(F.col("text")), 1)).alias("first"),
     )
     return [r.asDict() for r in rows.collect()]
 
@@ -128,23 +149,21 @@ def _scan(docs: DataFrame, block: list[dict]) -> DataFrame:
     spark = docs.sparkSession
     singles = {k for t in block if not t["long"] for k in t["keys"]}
     windows = {k for t in block if t["long"] for k in t["keys"]}
-    read = with_shingles(docs.select("doc_id", "text"), F.col("text"), "h").drop("text")
+    starts: dict[int, set[int]] = {}
+    for t in block:
+        if t["words"] < SHINGLE:
+            starts.setdefault(t["words"], set()).add(t["first"])
+    read = with_shingles(docs.select("doc_id", "text"), F.col("text"), "h", "brief", starts).drop("text")
     read = once(read, "b", bands(F.col("h"), STEP) if windows else F.array().cast("array<bigint>"))
     hits = F.concat(
-        F.expr(f"filter(h, x -> x IN ({_listed(singles)}))"), F.expr(f"filter(b, x -> x IN ({_listed(windows)}))")
+        F.expr(f"filter(concat(brief, h), x -> x IN ({_listed(singles)}))"), F.expr(f"filter(b, x -> x IN ({_listed(windows)}))")
     )
     read = once(read, "hits", F.array_distinct(hits)).where(F.size("hits") > 0)
-    by_key: dict[int, set[int]] = {}
-    for i, t in enumerate(block):
-        for k in t["keys"]:
-            by_key.setdefault(k, set()).add(i)
-    owners = ", ".join(f"{_listed({k})}, array({', '.join(map(str, sorted(v)))})" for k, v in sorted(by_key.items()))
-    retrieved = F.expr(f"array_distinct(flatten(transform(hits, x -> element_at(map({owners}), x))))")
     sets = spark.createDataFrame(
-        [(i, t["template_id"], t["h"]) for i, t in enumerate(block)], "template int, template_id string, t array<bigint>"
+        [(t["template_id"], t["h"], t["keys"]) for t in block], "template_id string, t array<bigint>, keys array<bigint>"
     )
     # BLOCK rows at most: small enough to send.
-    pairs = read.select("doc_id", "h", F.explode(retrieved).alias("template")).join(F.broadcast(sets), "template")
+    pairs = read.select("doc_id", F.concat("brief", "h").alias("h"), "hits").join(F.broadcast(sets), F.arrays_overlap("hits", "keys"))
     return pairs.select(
         "doc_id", "template_id", F.size(F.array_intersect("t", "h")).alias("matched"), F.size("t").alias("shingles")
     ).where(F.col("matched") >= F.col("shingles") * CONTAINED)

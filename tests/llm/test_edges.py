@@ -177,6 +177,20 @@ def test_license_edges(documents, frame, spark):
     assert license.scan(docs, none).count() == 0
 
 
+def test_default_templates_hold_bodies_and_spdx_lines(documents, spark):
+    body = {r["template_id"]: r["text"] for r in license.default_templates(spark).collect()}
+    edited = body["MIT/body"].replace("AUTHORS OR COPYRIGHT HOLDERS", "FOUNDATION").replace("sublicense", "lease")
+    docs = documents(
+        [(1, f"Copyright x. {body['MIT/body']} code"), (2, edited), (3, "a " + body["GPL-3.0/text"] + " b"), (4, "// SPDX-License-Identifier: GPL-2.0-only x"),
+         (5, "so " + body["ISC/body"].lower()), (6, "no license, spdx license"), (8, "# SPDX-License-Identifier: MIT x"), (9, "spdx-license-identifier: isc"), (7, body["Apache-2.0/text"].replace("derivative", "derived"))]
+    )
+    found = {}
+    for r in license.scan(docs, license.default_templates(spark)).collect():
+        found.setdefault(r["doc_id"], set()).add(r["template_id"])
+    assert "MIT/body" in found[1] and "MIT/body" in found[2] and "GPL-3.0/text" in found[3] and found[4] == {"GPL-2.0-only/spdx"}
+    assert "ISC/body" in found[5] and 6 not in found and found[8] == {"MIT/spdx"} and found[9] == {"ISC/spdx"} and "Apache-2.0/text" in found[7]
+
+
 def test_license_retrieval_misses_nothing_that_would_match(documents, frame):
     """Random edits of templates of all lengths: what exact containment accepts is found."""
     draw = np.random.default_rng(3)
