@@ -23,6 +23,22 @@ _RUNS = """list_distinct(CASE
     WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
     WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END)"""
 
+#: CRC-32 of a text's UTF-8 bytes: the byte table from its rule, then one step a byte.
+_CRC_TABLE = """bits(i, k, v) AS (
+            SELECT i::UINTEGER, 0, i::UINTEGER FROM range(256) AS r(i)
+            UNION ALL SELECT i, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384::UINTEGER) ELSE v >> 1 END FROM bits WHERE k < 8
+        ), crc_table AS (SELECT list(v ORDER BY i) AS t FROM bits WHERE k = 8)"""
+_NIBBLE = "(instr('0123456789ABCDEF', substr(x, {}, 1)) - 1)"
+
+
+def _crc(text: str) -> str:
+    """For a query with ``crc_table`` among its tables."""
+    byte = f"({_NIBBLE.format('2 * i + 1')} * 16 + {_NIBBLE.format('2 * i + 2')})::UINTEGER"
+    octets = f"list_transform([hex(encode({text}))], lambda x: list_transform(range(len(x) // 2), lambda i: {byte}))[1]"
+    start = "[4294967295::UINTEGER]"
+    return f"xor(4294967295::UINTEGER, list_reduce({start} || {octets}, lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)])))"
+
+
 ORACLE = {
     "op2_main_text": r"""
         WITH a AS (
@@ -106,4 +122,101 @@ ORACLE = {
                true AS identical
         FROM turns GROUP BY conv_id
     """,
+    "op11_periodic_runs": rf"""
+        WITH RECURSIVE {_CRC_TABLE}, given AS (
+            SELECT row_number() OVER () AS line, doc_id, {_crc("doc_id::VARCHAR")}::BIGINT AS h,
+                   list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+            FROM documents, crc_table
+        ), placed AS (
+            SELECT *, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN (h // 10) % len(w) END AS a FROM given
+        ), texts AS (
+            SELECT line, doc_id, CASE WHEN a IS NULL THEN w ELSE list_transform(range(len(w)), lambda i:
+                       w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (len(w) - a) // (3 + (h // 10) % 8)) END]) END AS w
+            FROM placed
+        ), grams AS (
+            SELECT line, i, md5(array_to_string(w[i + 1:i + 16], ' ')) AS gram
+            FROM (SELECT line, w, unnest(range(greatest(len(w) - 15, 0))) AS i FROM texts)
+        ), pairs AS (
+            SELECT x.line, x.i, y.i - x.i AS q FROM grams x JOIN grams y USING (line, gram) WHERE x.i < y.i
+        ), islands AS (
+            SELECT line, q, min(i) AS start, count(*) + 15 + q AS length
+            FROM (SELECT *, i - row_number() OVER (PARTITION BY line, q ORDER BY i) AS island FROM pairs)
+            GROUP BY line, q, island HAVING count(*) + 15 + q >= greatest(24, 3 * q)
+        ), runs AS (
+            SELECT line, start, length, min(q) AS period FROM islands GROUP BY line, start, length
+        ), best AS (
+            SELECT * FROM runs
+            QUALIFY row_number() OVER (PARTITION BY line ORDER BY length::DOUBLE / period DESC, start, period) = 1
+        ), told AS (
+            SELECT line, count(*) AS n, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines
+            FROM runs GROUP BY line
+        ), dropped AS (
+            SELECT DISTINCT line, unnest(range(start + period, start + length)) AS i FROM runs
+        ), collapsed AS (
+            SELECT line, string_agg(word, ' ' ORDER BY i) AS text
+            FROM (SELECT line, unnest(w) AS word, unnest(range(len(w))) AS i FROM texts) ANTI JOIN dropped USING (line, i)
+            GROUP BY line
+        )
+        SELECT doc_id, coalesce(n, 0) AS n_runs, start, length, period, 1000 * length // period AS exponent_milli,
+               sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(text, '')) AS collapsed_sha256
+        FROM texts LEFT JOIN told USING (line) LEFT JOIN best USING (line) LEFT JOIN collapsed USING (line)
+    """,
+    "op12_repeats": """
+        WITH texts AS (
+            SELECT row_number() OVER () AS line, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+        ), strings AS (
+            SELECT line, i, md5(substr(h, 2 * i + 1, 400)) AS s
+            FROM (SELECT line, h, unnest(range(greatest(len(h) // 2 - 199, 0))) AS i FROM texts)
+        ), again AS (
+            SELECT line, i, i - lag(i) OVER (PARTITION BY line ORDER BY i) AS step
+            FROM strings SEMI JOIN (SELECT s FROM strings GROUP BY s HAVING count(*) > 1) USING (s)
+        ), spans AS (
+            SELECT line, min(i) AS first, max(i) + 200 AS stop
+            FROM (SELECT *, count(*) FILTER (step IS NULL OR step > 200) OVER (PARTITION BY line ORDER BY i) AS span FROM again)
+            GROUP BY line, span
+        ), gaps AS (
+            SELECT line, first, stop, coalesce(lag(stop) OVER (PARTITION BY line ORDER BY first), 0) AS gap FROM spans
+        ), left_over AS (
+            SELECT line, count(*) AS n, sum(stop - first) AS removed, max(stop) AS tail,
+                   string_agg(substr(h, 2 * gap + 1, 2 * (first - gap)), '' ORDER BY first) AS kept
+            FROM gaps JOIN texts USING (line) GROUP BY line
+        )
+        SELECT doc_id, len(h) // 2 AS n_bytes, coalesce(removed, 0)::BIGINT AS n_removed, coalesce(n, 0) AS n_spans,
+               sha256(unhex(coalesce(kept || substr(h, 2 * tail + 1), h))) AS kept_sha256
+        FROM texts LEFT JOIN left_over USING (line)
+    """,
+    "op13_resample": rf"""
+        WITH RECURSIVE {_CRC_TABLE}, words AS (
+            SELECT row_number() OVER () AS line, doc_id, mine, list_filter(string_split(regexp_replace(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g'), ' '), lambda x: x <> '') AS w
+            FROM (SELECT doc_id, text, true AS mine FROM documents UNION ALL SELECT NULL, text, false FROM benchmark)
+        ), features AS (
+            SELECT line, mine, unnest(w || list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS f FROM words
+        ), hashed AS (
+            SELECT f, {_crc("f")} % 10000 AS bucket FROM (SELECT DISTINCT f FROM features), crc_table
+        ), counted AS (
+            SELECT bucket, count(*) FILTER (mine) AS s, count(*) FILTER (NOT mine) AS t
+            FROM features JOIN hashed USING (f) GROUP BY bucket
+        ), whole AS (
+            SELECT sum(s)::DOUBLE AS ss, sum(t)::DOUBLE AS tt FROM counted
+        ), gains AS (
+            SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * (ss + 10000) / ((s + 1)::DOUBLE * (tt + 10000))))::BIGINT AS gain
+            FROM counted, whole
+        ), weights AS (
+            SELECT line, count(*) AS n_features, sum(gain)::BIGINT AS total
+            FROM features JOIN hashed USING (f) JOIN gains USING (bucket) WHERE mine GROUP BY line
+        ), scored AS (
+            SELECT line, doc_id, len(w) AS n, coalesce(n_features, 0) AS n_features,
+                   coalesce((total - ((total % n_features) + n_features) % n_features) // n_features, 0)::BIGINT AS weight,
+                   floor(-1000 * ln(-ln((('0x' || substr(sha256('7:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS noise
+            FROM words LEFT JOIN weights USING (line) WHERE mine
+        ), ranked AS (
+            SELECT *, weight + noise AS score, row_number() OVER (PARTITION BY n >= 20 ORDER BY weight + noise DESC, doc_id) AS place,
+                   count(*) FILTER (n >= 20) OVER () AS able
+            FROM scored
+        )
+        SELECT doc_id, n_features, weight, score, CASE WHEN n >= 20 AND place <= 25 * able // 100 THEN place END AS rank
+        FROM ranked
+    """,
 }

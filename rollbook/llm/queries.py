@@ -5,9 +5,11 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rollbook.llm import chat, decontaminate, exact, language, license, near, packing, quality, template, tokens
+from rollbook.llm import (
+    chat, decontaminate, exact, language, license, near, packing, periodic, quality, repeats, resample, template, tokens,
+)
 from rollbook.llm.oracle import ORACLE, PROBE
-from rollbook.llm.shared import table
+from rollbook.llm.shared import once, table
 from rollbook.session import fresh_dir
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -79,6 +81,42 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), h.alias("h"))
+    # Every tenth text goes on periodically from one of its words.
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    docs = once(docs, "words", F.when(F.col("h") % 10 == 0, words))
+    docs = docs.withColumns({"n": F.size("words"), "g": F.floor(F.col("h") / 10)})
+    start = F.when(F.col("n") > 0, F.expr("g % n"))
+    docs = once(docs, "a", start)
+    docs = once(docs, "p", F.expr("1 + (n - a) div (3 + g % 8)"))
+    periodic_text = F.array_join(F.expr("transform(words, (w, i) -> if(i < a, w, element_at(words, int(1 + a + (i - a) % p))))"), " ")
+    text = F.when(F.col("n") > 0, periodic_text).otherwise(F.col("text"))
+    found = periodic.find_runs(docs.select("doc_id", text.alias("text")))
+    line = F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.find_repeats(table(spark, sf_dir, "documents"), least=200).select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256"
+    )
+
+
+def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_main_text": op2_main_text,
@@ -90,4 +128,7 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_chat_format": op9_chat_format,
     "op10_decontaminate": op10_decontaminate,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_repeats": op12_repeats,
+    "op13_resample": op13_resample,
 }

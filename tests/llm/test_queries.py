@@ -41,8 +41,8 @@ def test_query_equals_its_sql(spark, duck, sf_dir, name):
     assert got
 
 
-def test_ten_operators():
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 11))
+def test_operators():
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_quality_on_held_out_rows(spark, duck):
