@@ -51,7 +51,7 @@ ANCHOR = 48
 #: Different fragments from which on an anchor's group is split.
 HOT = 256
 #: Bytes whose hashes are computed together, and bytes that share a transform.
-SCAN, BLOCK = 1 << 21, 1 << 18
+SCAN, BLOCK = 1 << 17, 1 << 18
 
 PIECE = "m bigint, id bigint, copies bigint, head int, tail int, at int, data binary"
 
