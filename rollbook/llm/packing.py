@@ -50,8 +50,7 @@ SCHEMA = (
 
 def choose_cuts(places: list[int], penalties: list[int], window: int) -> list[int]:
     """The cut positions of least cost. ``places`` ascend to the stream's end, at most
-    ``window`` apart; a window whose length is a power of two costs no padding at the
-    stream's end, where it needs none."""
+    ``window`` apart."""
     queue: deque[tuple[int, int, int]] = deque([(0, 0, -1)])  # f(i) + i, i, its index
     best_before = []
     for k, j in enumerate(places):
@@ -134,7 +133,6 @@ def _packer(tokenizer: str, end_id: int, window: int):
                     parts, doc_ids, held, number = [], [], 0, number + n
         if parts:
             yield _pieces(parts, doc_ids, sentence_end, window, number)[0]
-        bpe.forget()
         pa.default_memory_pool().release_unused()
 
     return run

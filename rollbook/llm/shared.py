@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 import rollbook
 from pyspark import cloudpickle
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rollbook.session import fresh_dir
@@ -53,9 +54,18 @@ def without(docs: DataFrame, gone: DataFrame, id_col: str = "doc_id") -> DataFra
 
 
 def keyed(docs: DataFrame) -> tuple[DataFrame, str]:
-    """The rows, landed with a key of each row's own (ids may be null or repeat), and the
-    key's column."""
+    """The rows with a key of each row's own (ids may be null or repeat), and the key's column.
+
+    A row of a table of files is named by its file and its place there, which every scan finds
+    alike; the table is not written again. Any other rows are landed with a number."""
     key = aside("row")
+    plan = getattr(docs, "_jdf", None)  # not there in a remote session
+    if plan is not None and plan.queryExecution().analyzed().getClass().getSimpleName() == "LogicalRelation":
+        try:
+            place = F.concat_ws(" ", "_metadata.file_path", F.col("_metadata.row_index").cast("string"))
+            return docs.withColumn(key, F.unhex(F.md5(place))), key
+        except AnalysisException:  # a source without places of rows
+            pass
     return land(docs.withColumn(key, F.monotonically_increasing_id()), "keyed"), key
 
 

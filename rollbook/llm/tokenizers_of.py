@@ -1,7 +1,7 @@
 """Public tokenizers with a memo of the pieces that recur.
 
 Both libraries never merge across a space that a visible character follows, so a text is
-the concatenation of its space-led words, and a word is encoded once per task. What
+the concatenation of its space-led words, and a worker remembers what it has encoded. What
 does not fit that rule (runs of spaces, spaces before other white space) goes to the
 library in longer pieces or whole.
 """
@@ -17,8 +17,8 @@ import numpy as np
 
 from rollbook.llm.shared import per_worker
 
-#: Words remembered per task, and the longest word worth remembering.
-MEMO_WORDS, MEMO_CHARS = 200_000, 48
+#: Words of a generation, and the longest word worth remembering: at most about 60 MB a memo.
+MEMO_WORDS, MEMO_CHARS = 150_000, 48
 #: Marks that may follow a word without changing how its letters are cut off.
 _AFTER = ".,;:!?*&%$#|"
 
@@ -36,16 +36,21 @@ def version_digest(path: str) -> str:
 
 
 class _Memo(dict):
-    """Word -> what ``make`` gives for it; forgets all when full."""
+    """Word -> what ``make`` gives for it. Of two generations the older is forgotten when the
+    younger is full, so words that recur stay. Lives as long as its worker."""
 
     def __init__(self, make):
         super().__init__()
         self.make = make
+        self.older: dict = {}
 
     def __missing__(self, word: str):
-        value = self.make(word)
+        value = self.older.get(word)
+        if value is None:
+            value = self.make(word)
         if len(word) <= MEMO_CHARS:
             if len(self) >= MEMO_WORDS:
+                self.older = dict(self)
                 self.clear()
             self[word] = value
         return value
@@ -108,11 +113,6 @@ class ByteBpe:
         shown = text.encode().decode("latin-1").translate(self.shown)
         return np.array([t.id for t in self.model.tokenize(shown)], dtype="<u4").tobytes()
 
-    def forget(self) -> None:
-        """Gives the memory back; workers outlive tasks and serve other stages."""
-        for memo in (self.head, self.rest, self.pieces):
-            memo.clear()
-
     def encode(self, text: str) -> bytes:
         if not self.by_words:
             return self._encode(text)
@@ -152,9 +152,6 @@ class PieceBpe:
         )
         self.words = _Memo(self._word)
 
-    def forget(self) -> None:
-        self.words.clear()
-
     def _count_of(self, text: str) -> list[int]:
         return self.library.encode(text)
 
@@ -178,9 +175,6 @@ class JsonCounter:
     def __init__(self, path: str):
         self.bpe = ByteBpe(path)
 
-    def forget(self) -> None:
-        self.bpe.forget()
-
     def count(self, text: str) -> int:
         return len(self.bpe.encode(text)) // 4
 

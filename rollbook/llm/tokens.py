@@ -42,7 +42,6 @@ def _encoder(path: str):
         for batch in batches:
             n = pa.array([library.count(t) for t in texts(batch["text"])], pa.int64())
             yield pa.RecordBatch.from_arrays([batch["digest"], n], ["digest", "n_tokens"])
-        library.forget()
 
     return encode
 
