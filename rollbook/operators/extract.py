@@ -81,13 +81,19 @@ def _site_rows(site: Site) -> Column:
     return F.transform("cells", row)
 
 
-def extract(pages: DataFrame, sites: Sequence[Site] = SITES) -> DataFrame:
+def extract(pages: DataFrame, sites: Sequence[Site] = SITES, partitions: int | None = None) -> DataFrame:
     """Pages of any of ``sites`` -> the page envelope, one row per page.
 
     In: url, domain, kind, kinddesc, site, page_seq, status, html. Out: ``reslist`` (array
     of listing rows) or ``error``, never both. The envelope is nested where the
     page is parsed, so no shuffle gathers a page's rows.
+
+    ``partitions`` deals the pages out before they are parsed. Parsing costs far more than
+    a page's bytes tell, so where pages come out of a shuffle, which is cut by bytes, or
+    from few files, give the number of cores or a multiple.
     """
+    if partitions:
+        pages = pages.repartition(partitions)
     parsed = parse_cells(pages, {s.name: s.layout for s in sites}, F.col("site"))
     reslist = F.when(F.lit(False), F.lit(None))
     for site in sites:

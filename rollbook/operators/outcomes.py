@@ -62,7 +62,7 @@ def now_without(now: DataFrame, outcomes: DataFrame) -> DataFrame:
     return now.join(urls, "url", "left_anti")
 
 
-def _by_url(outcomes: DataFrame) -> DataFrame:
+def outcomes_by_url(outcomes: DataFrame) -> DataFrame:
     return outcomes.select(
         F.col("purl").alias("url"),
         "seq",
@@ -74,7 +74,7 @@ def _by_url(outcomes: DataFrame) -> DataFrame:
 
 def last_by_url(outcomes: DataFrame) -> DataFrame:
     """The last outcome of each URL: url, seq, result, tm, anonymous."""
-    return latest(_by_url(outcomes), "url", "seq")
+    return latest(outcomes_by_url(outcomes), "url", "seq")
 
 
 def now_after(now: DataFrame, outcomes: DataFrame) -> DataFrame:
@@ -82,7 +82,7 @@ def now_after(now: DataFrame, outcomes: DataFrame) -> DataFrame:
     old = now.select(
         "url", F.lit(None).cast("bigint").alias("seq"), F.lit(1).alias("result"), "tm", "anonymous"
     )
-    last = latest(old.unionByName(_by_url(outcomes)), "url", "seq")
+    last = latest(old.unionByName(outcomes_by_url(outcomes)), "url", "seq")
     return alive(last).select("url", "tm", "anonymous")
 
 

@@ -12,8 +12,8 @@ from rollbook.plans import standins as given
 from rollbook.plans import stream_runs
 from rollbook.plans.tables import harvested, listing_pool, stacked, text_ts
 from rollbook.sources import frontier as site_frontier
-from rollbook.sources.parts import settle
 from rollbook.sources.sites import SITES, Layout
+from rollbook.streaming.tables import settle
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -99,7 +99,7 @@ def page_profile(spark, sf_dir):
 
 
 def _items(spark, sf_dir) -> DataFrame:
-    return extract.extract(given.listing_pages(spark, sf_dir))
+    return extract.extract(given.listing_pages(spark, sf_dir), partitions=spark.sparkContext.defaultParallelism)
 
 
 @query

@@ -14,37 +14,39 @@ from rollbook.plans import standins as given
 from rollbook.plans import tables
 from rollbook.schemas import OUTCOME, PAGES, RECORD
 from rollbook.session import fresh_dir
-from rollbook.sources.parts import seed, settle
-from rollbook.streaming.book import Book
-from rollbook.streaming.fold import fold_stream
+from rollbook.streaming.fold import fold_stream, now_stream
 from rollbook.streaming.harvest import harvest_stream
+from rollbook.streaming.ledger import Ledger
 from rollbook.streaming.membership import ledger_stream, read_admissions
 from rollbook.streaming.sweep import sweep_cycle
+from rollbook.streaming.tables import settle
 
 SLICES = 3
 
 
 def _land_and_run(df: DataFrame, order: str, start: Callable, root: str) -> None:
-    """Cut ``df`` into slices of its arrival order, land each and run the stream."""
+    """Cut ``df`` into slices of its arrival order, land each and run the streams."""
     table = settle(df, "arrivals")
     last = table.agg(F.max(order)).first()[0]
     number = F.expr(f"{order} * {SLICES} div {(last or 0) + 1}")
     for i in range(SLICES):
         table.where(number == i).write.mode("append").parquet(f"{root}/landed")
-        start(f"{root}/landed").awaitTermination()
+        for query in start(f"{root}/landed"):
+            query.awaitTermination()
 
 
-def _harvested(spark: SparkSession, sf_dir: str) -> Book:
+def _harvested(spark: SparkSession, sf_dir: str) -> Ledger:
     root = fresh_dir(spark, "harvest")
-    book = Book(spark, root)
-    seed(tables.seeded_pool(spark, sf_dir), book.path("pool"))
+    ledger = Ledger(spark, root)
+    ledger.seed(tables.seeded_pool(spark, sf_dir), "pool")
     pages = given.listing_pages(spark, sf_dir).select(*PAGES.fieldNames())
 
     def start(landed):
-        return harvest_stream(spark, landed, root, as_of=tables.harvested(), pause=None)
+        cores = spark.sparkContext.defaultParallelism
+        return [harvest_stream(spark, landed, root, as_of=tables.harvested(), pause=None, partitions=cores)]
 
     _land_and_run(pages, "page_seq", start, root)
-    return book
+    return ledger
 
 
 def harvest_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,7 +64,7 @@ def readmitted(spark: SparkSession, sf_dir: str) -> DataFrame:
     that they arrive between the two harvests.
     """
     root = fresh_dir(spark, "readmission")
-    book = Book(spark, root)
+    ledger = Ledger(spark, root)
     pages = settle(given.listing_pages(spark, sf_dir).select(*PAGES.fieldNames()), "pages")
     rows = given.listing_rows(spark, sf_dir)
     early = F.col("event_id") % 2 == 0
@@ -82,30 +84,34 @@ def readmitted(spark: SparkSession, sf_dir: str) -> DataFrame:
         stream = (
             fold_stream(spark, f"{root}/{name}", root, pause=None)
             if batch is deaths
-            else harvest_stream(spark, f"{root}/{name}", root, as_of=tables.harvested(), pause=None)
+            else harvest_stream(
+                spark, f"{root}/{name}", root, as_of=tables.harvested(), pause=None,
+                partitions=spark.sparkContext.defaultParallelism,
+            )
         )
         stream.awaitTermination()
-    return book.pool().select("_id", "ip", "port")
+    return ledger.pool().select("_id", "ip", "port")
 
 
-def _folded(spark: SparkSession, sf_dir: str) -> Book:
+def _folded(spark: SparkSession, sf_dir: str) -> Ledger:
     root = fresh_dir(spark, "fold")
-    book = Book(spark, root)
+    ledger = Ledger(spark, root)
     pool = tables.widened(given.pool(spark, sf_dir))
-    seed(pool, book.path("pool"))
-    seed(given.now(spark, sf_dir).withColumn("result", F.lit(1)), book.path("now"))
-    seed(given.history(spark, sf_dir), book.path("history"))
+    ledger.seed(pool, "pool")
+    before = {"result": F.lit(1), "seq": F.lit(None).cast("bigint")}
+    ledger.seed(given.now(spark, sf_dir).withColumns(before), "now")
+    ledger.seed(given.history(spark, sf_dir), "history")
 
     def start(landed):
-        return fold_stream(spark, landed, root, pause=None)
+        return [fold_stream(spark, landed, root, pause=None), now_stream(spark, landed, root, pause=None)]
 
     _land_and_run(given.outcomes(spark, sf_dir).select(*OUTCOME.fieldNames()), "seq", start, root)
-    return book
+    return ledger
 
 
 def fold_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    book = _folded(spark, sf_dir)
-    return tables.stacked(book.pool(), book.now(), book.history())
+    ledger = _folded(spark, sf_dir)
+    return tables.stacked(ledger.pool(), ledger.now(), ledger.history())
 
 
 def live_now(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,11 +121,11 @@ def live_now(spark: SparkSession, sf_dir: str) -> DataFrame:
 def swept_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What two sweeps dispatch, the second one run again after it has finished."""
     root = fresh_dir(spark, "sweep")
-    book = Book(spark, root)
-    seed(tables.widened(given.pool(spark, sf_dir)), book.path("pool"))
+    ledger = Ledger(spark, root)
+    ledger.seed(tables.widened(given.pool(spark, sf_dir)), "pool")
     for number in (0, 1, 1):
         sweep_cycle(spark, root, number)
-    return book.dispatched()
+    return ledger.dispatched()
 
 
 def ledger_admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,7 +133,7 @@ def ledger_admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = given.log(spark, sf_dir)
 
     def start(landed):
-        return ledger_stream(spark, landed, root, events.schema, ["ip"])
+        return [ledger_stream(spark, landed, root, events.schema, ["ip"])]
 
     _land_and_run(events, "seq", start, root)
     return read_admissions(spark, root, events.schema)

@@ -5,9 +5,33 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from rollbook.sources.parts import exists, has_parts
+from rollbook.streaming.tables import exists, has_batches
+
+
+def landed_files(
+    spark: SparkSession, landed: str, schema: T.StructType, files_per_batch: int | None = None
+) -> DataFrame:
+    """The files of the folder as they come, oldest first. ``files_per_batch`` bounds a batch
+    when a backlog is worked off."""
+    source = spark.readStream.schema(schema)
+    if files_per_batch:
+        source = source.option("maxFilesPerTrigger", files_per_batch)
+    return source.parquet(landed)
+
+
+def started(
+    spark: SparkSession, writer: DataStreamWriter, checkpoint: str, pause: str | None, tables: Sequence[str] = ()
+) -> StreamingQuery:
+    """Without ``pause``, take what is there and stop. ``tables`` are what the stream writes,
+    numbered by its batches: without the checkpoint that numbered them it is not started, as
+    it would count from 0 again and overwrite them."""
+    lost = [t for t in tables if has_batches(spark, t)]
+    if lost and not exists(spark, f"{checkpoint}/metadata"):
+        raise RuntimeError(f"{lost[0]} has batches of a stream whose checkpoint {checkpoint} is gone")
+    trigger = {"processingTime": pause} if pause else {"availableNow": True}
+    return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
 def follow(
@@ -20,24 +44,6 @@ def follow(
     files_per_batch: int | None = None,
     tables: Sequence[str] = (),
 ) -> StreamingQuery:
-    """Call ``each`` with every batch of new files, oldest first, one batch at a time.
-
-    Without ``pause``, take what is there and stop. ``files_per_batch`` bounds a batch
-    when a backlog is worked off. ``tables`` are what the stream writes, numbered by its
-    batches: without the checkpoint that numbered them it is not started, as it would
-    count from 0 again and take its new rows for stored ones.
-    """
-    lost = [t for t in tables if has_parts(spark, t)]
-    if lost and not exists(spark, f"{checkpoint}/metadata"):
-        raise RuntimeError(f"{lost[0]} has parts of a stream whose checkpoint {checkpoint} is gone")
-    source = spark.readStream.schema(schema)
-    if files_per_batch:
-        source = source.option("maxFilesPerTrigger", files_per_batch)
-    trigger = {"processingTime": pause} if pause else {"availableNow": True}
-    return (
-        source.parquet(landed)
-        .writeStream.foreachBatch(each)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**trigger)
-        .start()
-    )
+    """Call ``each`` with every batch of new files, one batch at a time."""
+    files = landed_files(spark, landed, schema, files_per_batch)
+    return started(spark, files.writeStream.foreachBatch(each), checkpoint, pause, tables)

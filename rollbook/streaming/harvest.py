@@ -4,21 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rollbook.functions.scalars import ts14
 from rollbook.operators.extract import error_log, extract, split, unnest
 from rollbook.operators.ingest import PAGE, accounting_after, admit, pool_rows
-from rollbook.schemas import ITEM, PAGES
-from rollbook.sources.parts import read_part, write_part
+from rollbook.schemas import PAGES, POOL
 from rollbook.sources.sites import SITES, Site
-from rollbook.streaming.book import Book
 from rollbook.streaming.follow import follow
+from rollbook.streaming.ledger import ROUNDS, Ledger
 
 # Fixed value: pause between two harvest rounds.
 HARVEST_PAUSE = "10 minutes"
-COMPACT_EVERY = 50
 
 
 def numbered_once(items: DataFrame) -> DataFrame:
@@ -36,30 +34,38 @@ def numbered_once(items: DataFrame) -> DataFrame:
 
 
 def harvest_batch(
-    pages: DataFrame, number: int, root: str, sites: Sequence[Site], as_of: Column
+    pages: DataFrame, number: int, root: str, sites: Sequence[Site], as_of: Column, partitions: int | None = None
 ) -> None:
     """One batch of pages.
 
     The parsed pages are written once and feed all three tables; the page counts come
-    from the stored rows, so admission is computed once.
+    from the stored rows, so admission is computed once. What the round did is observed on
+    the way and recorded last: with that, its rows are in the pool.
     """
     spark = pages.sparkSession
-    book = Book(spark, root)
-    if number and number % COMPACT_EVERY == 0:
-        book.compact_pool(number - 1)
-    write_part(numbered_once(extract(pages, sites)), book.path("items"), number)
-    items = read_part(spark, book.path("items"), ITEM, number)
+    ledger = Ledger(spark, root)
+    parsed, stored = Observation(), Observation()
+    found = numbered_once(extract(pages, sites, partitions)).observe(
+        parsed,
+        F.count(F.lit(1)).alias("pages"),
+        F.count("error").alias("failures"),
+        F.sum(F.when(F.col("error").isNull(), F.size("reslist"))).alias("items"),
+    )
+    ledger.add(found, "items", number)
+    items = ledger.items(number)
     whole, _ = split(items)
     rows = unnest(items)
-    known = book.known(rows, before=number)
+    known = ledger.known(rows, before=number)
     row_id = F.concat_ws("-", PAGE, "row_no")
-    admitted = pool_rows(admit(rows, known), row_id, as_of).drop("url", "row_no")
-    write_part(admitted, book.path("pool"), number)
+    admitted = pool_rows(admit(rows, known), row_id, as_of).select(*POOL.fieldNames(), PAGE)
+    ledger.add(admitted.observe(stored, F.count(F.lit(1)).alias("added")), "pool", number)
     seen = whole.select("url", "kinddesc", PAGE, F.size("reslist").cast("bigint").alias("seen"))
-    stored = read_part(spark, book.path("pool"), T.StructType([ITEM[PAGE]]), number)
-    detail = accounting_after(seen, stored).drop(PAGE).withColumn("timestamp", ts14(as_of))
-    write_part(detail, book.path("crawdetail"), number)
-    write_part(error_log(items, as_of), book.path("crawlog"), number)
+    detail = accounting_after(seen, ledger.admitted(number)).drop(PAGE).withColumn("timestamp", ts14(as_of))
+    ledger.add(detail, "crawdetail", number)
+    ledger.add(error_log(items, as_of), "crawlog", number)
+    told = {**parsed.get, **stored.get}
+    counts = [int(told.get(name) or 0) for name in ROUNDS.fieldNames()]
+    ledger.add(spark.createDataFrame([counts], ROUNDS), "rounds", number)
 
 
 def harvest_stream(
@@ -70,12 +76,14 @@ def harvest_stream(
     as_of: Column | None = None,
     pause: str | None = HARVEST_PAUSE,
     files_per_batch: int | None = None,
+    partitions: int | None = None,
 ) -> StreamingQuery:
-    """Follow the folder ``landed``; the checkpoint lies with the tables under ``root``."""
+    """Follow the folder ``landed``; the checkpoint lies with the tables under ``root``.
+    ``partitions``: see :func:`~rollbook.operators.extract.extract`."""
     stamp = F.current_timestamp() if as_of is None else as_of
 
     def each(batch: DataFrame, number: int) -> None:
-        harvest_batch(batch, number, root, sites, stamp)
+        harvest_batch(batch, number, root, sites, stamp, partitions)
 
-    tables = [f"{root}/{name}" for name in ("items", "pool", "crawdetail", "crawlog")]
+    tables = [f"{root}/{name}" for name in ("items", "crawdetail", "crawlog", "rounds")]
     return follow(spark, landed, PAGES, each, f"{root}/_harvest", pause, files_per_batch, tables)

@@ -6,12 +6,10 @@ from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from rollbook.operators.sweep import dispatch
-from rollbook.sources.parts import write_part
-from rollbook.streaming.book import Book
+from rollbook.streaming.ledger import Ledger
 
 # Fixed value: pause between two sweeps.
 SWEEP_PAUSE = "30 seconds"
-COMPACT_EVERY = 50
 
 
 def sweep_cycle(spark: SparkSession, root: str, number: int) -> None:
@@ -19,10 +17,8 @@ def sweep_cycle(spark: SparkSession, root: str, number: int) -> None:
 
     Rows admitted while it runs are swept next time.
     """
-    book = Book(spark, root)
-    if number and number % COMPACT_EVERY == 0:
-        book.compact_sweeps(number - 1)
-    write_part(dispatch(book.sweep(number)), book.path("dispatch"), number)
+    ledger = Ledger(spark, root)
+    ledger.add(dispatch(ledger.sweep(number)), "dispatch", number)
 
 
 def sweep_stream(spark: SparkSession, root: str, pause: str = SWEEP_PAUSE) -> StreamingQuery:
