@@ -8,9 +8,11 @@ A conversation is the concatenation of its turns in order, each
 
 The parser is deterministic: it splits at the closing mark, strips the opening mark, takes
 the role up to the first line feed and undoes escapes (``\\|`` between ``<`` and ``|``, then
-doubled backslashes). Each turn is first rendered as it stands and parsed back; if the
-recovered role and text differ, it is rendered with its conflicts escaped and parsed again.
-The finished conversation is parsed as a whole and compared with its source: ``identical``.
+doubled backslashes). Its grammar has ``<|`` only where a mark begins: a role or text with one,
+which a tokenizer could read as a control token, is not recovered. Each turn is first
+rendered as it stands and parsed back; if the recovered role and text differ, it is rendered
+with its conflicts escaped and parsed again. The finished conversation is parsed as a whole
+and compared with its source: ``identical``.
 
 Why escapes reverse: they double all backslashes first, so a single one between ``<`` and
 ``|`` is always the escape's own.
@@ -53,24 +55,30 @@ def rendered(role: Column, text: Column) -> Column:
 
 
 def parsed(formatted: Column) -> Column:
-    """Turns of a formatted conversation: array of ``role``, ``text``, ``body`` (as it stands
-    in the output)."""
+    """Turns of a formatted conversation: array of ``role``, ``text`` (null where the grammar has
+    none), ``body`` (as it stands in the output)."""
     pieces = F.split(formatted, F.lit(r"\Q" + CLOSE + r"\E"), -1)
     pieces = F.slice(pieces, F.lit(1), F.size(pieces) - 1)
 
     def turn(piece: Column) -> Column:
         inner = F.substring(piece, F.lit(len(OPEN) + 1), F.length(piece))
         cut = F.instr(inner, F.lit("\n"))
-        body = F.substring(inner, cut + 1, F.length(inner))
+        role, body = F.substring(inner, F.lit(1), cut - 1), F.substring(inner, cut + 1, F.length(inner))
         return F.struct(
-            unescaped(F.substring(inner, F.lit(1), cut - 1), role=True).alias("role"),
-            unescaped(body).alias("text"),
+            F.when(~role.contains("<|"), unescaped(role, role=True)).alias("role"),
+            F.when(~body.contains("<|"), unescaped(body)).alias("text"),
             body.alias("body"),
         )
 
     return F.transform(pieces, turn)
 
 
+def loss_text(formatted: Column, spans: Column) -> Column:
+    """All text under the loss mask: cut out of the output and read back."""
+    cut = F.transform(spans, lambda s: F.substring(formatted, s["start"] + 1, s["end"] - s["start"]))
+    return F.array_join(F.transform(cut, lambda body: unescaped(body)), "")
+
+
 def _plain_turns(turns: Column) -> Column:
     return F.transform(turns, lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text")))
 

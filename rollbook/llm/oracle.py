@@ -109,7 +109,7 @@ ORACLE = {
             UNION ALL VALUES (-1, 0, 'user', '{PROBE}'), (-1, 1, 'assistant', '{PROBE}')
         ), turns AS (
             SELECT *, CASE
-                WHEN contains(text, '<\|') OR contains(text, '\\') OR contains(text, '<|im_end|>' || chr(10))
+                WHEN contains(text, '<\|') OR contains(text, '\\') OR contains(text, '<|')
                     THEN length(replace(replace(text, '\', '\\'), '<|', '<\|'))
                 ELSE length(text) END AS body
             FROM rows

@@ -68,14 +68,13 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     done = chat.format_conversations(rows.unionByName(probe))
     joined = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
-    trained = F.filter("turns", lambda t: t["role"] == chat.TRAINED_ROLE)
-    loss = F.array_join(F.transform(trained, lambda t: t["text"]), "")
+    done = once(done, "loss", chat.loss_text(F.col("formatted"), F.col("loss_spans")))
     return done.select(
         "conv_id",
         F.size("turns").cast("long").alias("n_turns"),
         F.sha2(F.array_join(joined, ""), 256).alias("turns_sha256"),
-        F.length(loss).cast("long").alias("loss_chars"),
-        F.sha2(loss, 256).alias("loss_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
         "identical",
     )

@@ -34,6 +34,7 @@ from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from rollbook.llm.shared import land, per_worker
@@ -45,6 +46,8 @@ _FOLD = bytes(
 )
 #: Shift tables for lengths below 2^SMALL; longer shifts are composed of powers of two.
 SMALL = 6
+#: Bytes of text whose runs are computed together.
+TOGETHER = 1 << 20
 _POLY = 0xEDB88320
 
 
@@ -139,12 +142,22 @@ def _buckets(texts: pa.Array, n: int, buckets: int) -> tuple[np.ndarray, np.ndar
     return counts, (crcs % np.uint32(buckets)).astype(np.int64), docs[np.concatenate([at for _, at in found])]
 
 
+def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows in order, about ``TOGETHER`` bytes of text at a time, or one longer text."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch["text"]), 0).to_numpy(zero_copy_only=False)
+        number = np.cumsum(sizes, dtype=np.int64) // TOGETHER
+        edges = np.flatnonzero(np.diff(number, prepend=-1, append=-1))
+        for a, b in zip(edges.tolist(), edges[1:].tolist()):
+            yield batch.slice(a, b - a)
+
+
 def bucket_counts(texts: DataFrame, n: int, buckets: int, text_col: str = "text") -> DataFrame:
     """``bucket``, ``n``: runs of 1 to ``n`` words of all texts, repeats counted."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(buckets, dtype=np.int64)
-        for batch in batches:
+        for batch in _stretches(batches):
             total += np.bincount(_buckets(batch["text"], n, buckets)[1], minlength=buckets)
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["bucket", "n"])
@@ -175,7 +188,7 @@ def weigh(docs: DataFrame, target: DataFrame, n: int = 2, buckets: int = 10_000,
         gain[row["bucket"]] = row["gain"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _stretches(batches):
             words, bucket, doc = _buckets(batch["text"], n, buckets)
             features = np.bincount(doc, minlength=len(words)).astype(np.int64)
             total = np.zeros(len(words), dtype=np.int64)

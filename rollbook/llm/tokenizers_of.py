@@ -17,8 +17,10 @@ import numpy as np
 
 from rollbook.llm.shared import per_worker
 
-#: Words of a generation, and the longest word worth remembering: at most about 60 MB a memo.
-MEMO_WORDS, MEMO_CHARS = 150_000, 48
+#: Words of a generation, and the longest word worth remembering: at most about 80 MB a memo.
+MEMO_WORDS, MEMO_CHARS = 200_000, 48
+#: Places in which a memo marks the words it has met once.
+MARKS = 1 << 21
 #: Marks that may follow a word without changing how its letters are cut off.
 _AFTER = ".,;:!?*&%$#|"
 
@@ -36,18 +38,27 @@ def version_digest(path: str) -> str:
 
 
 class _Memo(dict):
-    """Word -> what ``make`` gives for it. Of two generations the older is forgotten when the
+    """Word -> what ``make`` gives for it. A word is remembered when it comes again, as most
+    words of a large corpus never do; of two generations the older is forgotten when the
     younger is full, so words that recur stay. Lives as long as its worker."""
 
     def __init__(self, make):
         super().__init__()
         self.make = make
         self.older: dict = {}
+        self.met, self.marked = bytearray(MARKS), 0
 
     def __missing__(self, word: str):
         value = self.older.get(word)
         if value is None:
             value = self.make(word)
+            at = hash(word) & (MARKS - 1)
+            if not self.met[at]:
+                self.met[at] = 1
+                self.marked += 1
+                if self.marked > MARKS // 2:
+                    self.met, self.marked = bytearray(MARKS), 0
+                return value
         if len(word) <= MEMO_CHARS:
             if len(self) >= MEMO_WORDS:
                 self.older = dict(self)
@@ -85,6 +96,8 @@ class ByteBpe:
         high = {i: cut(bytes([0xC2 + (i >= 0xC0), 0x80 | i & 0x3F]).decode())[0][0][1] for i in range(128, 192)}
         lead = {i: cut(bytes([i, 0x80]).decode())[0][0][0] for i in range(0xC2, 0xCA)}
         self.shown = low | high | lead
+        self.space = low[ord(" ")]
+        self.as_bytes = [i.to_bytes(4, "little") for i in range(self.library.get_vocab_size())]
         self.head = _Memo(self._cut)
         self.pieces = _Memo(self._piece)
         self.rest = _Memo(self._after_space)
@@ -94,6 +107,8 @@ class ByteBpe:
         return np.asarray(ids, dtype="<u4").tobytes()
 
     def _after_space(self, word: str) -> bytes:
+        if word.isascii() and word.isalpha():  # shown as it stands
+            return self._ids(self.space + word)
         if not word or word[0].isspace():
             raise _NotAWord
         return self._cut(word, " ")
@@ -106,12 +121,16 @@ class ByteBpe:
         simple = core.isalpha() and max(core) < "\u0250"
         if not simple or feed and not after[:1].isalpha():
             return self._encode(lead + word)
-        ids = self.pieces[lead + core] + (self.pieces[before[len(core) :]] if core != before else b"")
+        start = self.rest[core] if lead and core.isascii() else self.pieces[lead + core]
+        ids = start + (self.pieces[before[len(core) :]] if core != before else b"")
         return ids + self.pieces["\n"] + self._cut(after) if feed else ids
 
     def _piece(self, text: str) -> bytes:
-        shown = text.encode().decode("latin-1").translate(self.shown)
-        return np.array([t.id for t in self.model.tokenize(shown)], dtype="<u4").tobytes()
+        return self._ids(text.encode().decode("latin-1").translate(self.shown))
+
+    def _ids(self, shown: str) -> bytes:
+        of = self.as_bytes
+        return b"".join([of[t.id] for t in self.model.tokenize(shown)])
 
     def encode(self, text: str) -> bytes:
         if not self.by_words:
