@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import traceback
 from collections.abc import Mapping, Sequence
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -11,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 import rollbook
 from rollbook.functions.scalars import classify, classify_foreign, strip_ws, ts14
 from rollbook.operators.markup import PageError, read_listing
+from rollbook.sources.responses import Undecodable, decoded
 from rollbook.sources.sites import SITES, Layout, Site
 
 # The parse travels inside the UDF, so executors need no copy of this package.
@@ -20,42 +23,58 @@ cloudpickle.register_pickle_by_value(rollbook)
 ERROR_PREFIX = "response解析异常, "
 
 _PARSED = pa.struct([
+    ("n_chars", pa.int32()),
     ("cells", pa.list_(pa.list_(pa.string()))),
     ("error", pa.string()),
+    ("trace", pa.string()),
 ])
 
 
+def _trace(problem: Exception) -> str:
+    """The way through this package's functions to ``problem``, without files and lines, so that
+    like failures have like texts."""
+    frames = traceback.extract_tb(problem.__traceback__)[1:]
+    own = [f"  in {f.name}\n" for f in frames if "rollbook" in Path(f.filename).parts]
+    return "".join(["Traceback (most recent call last):\n", *own, f"{type(problem).__name__}: {problem}"])
+
+
 def _parser(layouts: Mapping[str, Layout]):
-    def one(html, name):
+    def one(text, name, content_type):
+        n_chars = None
         try:
-            return {"cells": read_listing(html, layouts.get(name)), "error": None}
-        except PageError as problem:
-            return {"cells": None, "error": str(problem)}
+            if isinstance(text, bytes):
+                text = decoded(text, content_type)
+            n_chars = None if text is None else len(text)
+            return {"n_chars": n_chars, "cells": read_listing(text, layouts.get(name)), "error": None, "trace": None}
+        except (PageError, Undecodable) as problem:
+            return {"n_chars": n_chars, "cells": None, "error": str(problem), "trace": _trace(problem)}
         except Exception as problem:  # whatever a page does to the parser is its own failure
-            return {"cells": None, "error": f"{type(problem).__name__}: {problem}"}
+            return {"n_chars": n_chars, "cells": None, "error": f"{type(problem).__name__}: {problem}", "trace": _trace(problem)}
 
-    def parse(html: pa.Array, site: pa.Array) -> pa.Array:
+    def parse(page: pa.Array, site: pa.Array, content_type: pa.Array) -> pa.Array:
         # One page at a time, so no batch is held as Python strings twice.
-        pages = zip(html, site, strict=True)
-        return pa.array([one(h.as_py(), s.as_py()) for h, s in pages], type=_PARSED)
+        pages = zip(page, site, content_type, strict=True)
+        return pa.array([one(p.as_py(), s.as_py(), c.as_py()) for p, s, c in pages], type=_PARSED)
 
-    udf = F.arrow_udf(parse, "struct<cells:array<array<string>>,error:string>")
+    udf = F.arrow_udf(parse, "struct<n_chars:int,cells:array<array<string>>,error:string,trace:string>")
     # Keeps the optimizer from running the parse once more for each later filter.
     return udf.asNondeterministic()
 
 
 def parse_cells(pages: DataFrame, layouts: Mapping[str, Layout], site: Column) -> DataFrame:
-    """Adds ``cells`` (one text array per row) or ``error``; drops ``html``.
+    """Adds ``cells`` (one text array per row), or ``error`` and its ``trace``, and
+    ``n_chars``. Pages have their text as ``html``, or their bytes as ``body`` (and, if known, the
+    ``content_type`` of the response); these are dropped.
 
     Pages are parsed in the scan's own splits, whatever their number. If those are too
     few for the cores (one large file of one row group), repartition ``pages`` first.
     """
-    parsed = pages.withColumn("parsed", _parser(layouts)(F.col("html"), site))
+    page = F.col("html" if "html" in pages.columns else "body")
+    content_type = F.col("content_type") if "content_type" in pages.columns else F.lit(None).cast("string")
+    parsed = pages.withColumn("parsed", _parser(layouts)(page, site, content_type))
     return parsed.withColumns({
-        "n_chars": F.length("html"),
-        "cells": F.col("parsed.cells"),
-        "error": F.col("parsed.error"),
-    }).drop("html", "parsed")
+        name: F.col(f"parsed.{name}") for name in ("n_chars", "cells", "error", "trace")
+    }).drop("html", "body", "content_type", "parsed")
 
 
 def _site_rows(site: Site) -> Column:
@@ -84,8 +103,8 @@ def _site_rows(site: Site) -> Column:
 def extract(pages: DataFrame, sites: Sequence[Site] = SITES, partitions: int | None = None) -> DataFrame:
     """Pages of any of ``sites`` -> the page envelope, one row per page.
 
-    In: url, domain, kind, kinddesc, site, page_seq, status, html. Out: ``reslist`` (array
-    of listing rows) or ``error``, never both. The envelope is nested where the
+    In: url, domain, kind, kinddesc, site, page_seq, status, and html or body. Out: ``reslist`` (array
+    of listing rows) or ``error`` (with its ``trace``), never both. The envelope is nested where the
     page is parsed, so no shuffle gathers a page's rows.
 
     ``partitions`` deals the pages out before they are parsed. Parsing costs far more than
@@ -99,7 +118,7 @@ def extract(pages: DataFrame, sites: Sequence[Site] = SITES, partitions: int | N
     for site in sites:
         reslist = reslist.when(F.col("site") == site.name, _site_rows(site))
     return parsed.select(
-        "url", "domain", "kinddesc", "page_seq", "status", "n_chars", reslist.alias("reslist"), "error"
+        "url", "domain", "kinddesc", "page_seq", "status", "n_chars", reslist.alias("reslist"), "error", "trace"
     )
 
 
@@ -123,11 +142,11 @@ def profile(items: DataFrame) -> DataFrame:
 
 
 def error_log(items: DataFrame, as_of: Column) -> DataFrame:
-    """One record per failed page."""
+    """One record per failed page, with the way to the failure where there is one."""
     return items.where(F.col("error").isNotNull()).select(
         "url",
         F.lit("error").alias("status"),
         "kinddesc",
-        F.concat(F.lit(ERROR_PREFIX), "error").alias("records"),
+        F.concat(F.lit(ERROR_PREFIX), F.coalesce("trace", "error")).alias("records"),
         ts14(as_of).alias("timestamp"),
     )

@@ -9,10 +9,12 @@ Sightings are read more than once: settle them first if they are costly to make.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from types import MappingProxyType
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rollbook.functions.scalars import eligible, keyed_join
+from rollbook.functions.predicates import predicate
+from rollbook.functions.scalars import keyed_join
 
 KEYS = ("ip", "port")
 PAGE = "page_seq"
@@ -136,6 +138,10 @@ def pool_rows(admitted: DataFrame, row_id: Column, as_of: Column) -> DataFrame:
     })
 
 
+# Fixed value: the filter document of a sweep.
+ELIGIBLE = MappingProxyType({"$or": [{"anonymous": "A"}, {"anonymous": {"$regex": "^W"}}]})
+
+
 def scan_eligible(pool: DataFrame) -> DataFrame:
     """The rows a sweep looks at."""
-    return pool.where(eligible(F.col("anonymous")))
+    return pool.where(predicate(pool, ELIGIBLE))

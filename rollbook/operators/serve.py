@@ -8,7 +8,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from rollbook.functions.scalars import matches
+from rollbook.functions.predicates import predicate
 
 # Default filter, list length, and the largest draw.
 DEFAULT_WHERE = MappingProxyType({"anonymous": "A"})
@@ -17,7 +17,7 @@ MAX_DRAW = 100
 
 
 def find(now: DataFrame, where: Mapping[str, Any]) -> DataFrame:
-    return now.where(matches(now, where))
+    return now.where(predicate(now, where))
 
 
 def freshest(now: DataFrame, n: int, where: Mapping[str, Any] = DEFAULT_WHERE) -> DataFrame:

@@ -186,11 +186,21 @@ ORACLE: dict[str, str] = {
       WITH {NAV}
       SELECT page_id, CAST(n_chars AS INTEGER) AS n_chars,
         CAST(greatest(len(texts) - 1, 0) AS INTEGER) AS n_rows FROM nav""",
+    "frontier_source": """
+      WITH sites(site_no, site, kind, head) AS (VALUES
+        (0, 'xici', 'wn', 'http://www.xicidaili.com/wn/'), (0, 'xici', 'wt', 'http://www.xicidaili.com/wt/'),
+        (1, 'cloud', '3', 'http://www.ip3366.net/free/?stype=3&page='),
+        (1, 'cloud', '4', 'http://www.ip3366.net/free/?stype=4&page='))
+      SELECT page_id, site, kind, CAST(page AS INTEGER) AS page, head || page AS url
+      FROM pages JOIN sites ON site_no = page_id % 3, (VALUES (1), (2)) AS n(page)""",
     "page_envelope": f"WITH {LISTING} SELECT * EXCLUDE (page) FROM sightings",
+    "raw_page_rows": f"WITH {LISTING} SELECT * EXCLUDE (page) FROM sightings WHERE page % 10 <> 9",
+    "raw_page_errors": f"WITH {LISTING} SELECT DISTINCT url, 'utf-8' AS charset FROM parsed WHERE page % 10 = 9",
     "page_error_log": f"""
       WITH {LISTING}
       SELECT 'http://' || domain || '/' || kind || '/' || page AS url, 'error' AS status, kinddesc,
-        'response解析异常, row ' || (min(row_no) + 1) || CASE site WHEN 0 THEN ': no div in cell 6'
+        'response解析异常, Traceback (most recent call last):' || chr(10) || '  in read_listing' || chr(10) || '  in value' || chr(10)
+          || 'PageError: row ' || (min(row_no) + 1) || CASE site WHEN 0 THEN ': no div in cell 6'
           ELSE ': 6 cells, cell 6 wanted' END AS records,
         '20240201030405' AS timestamp
       FROM kinded WHERE broken GROUP BY page, domain, kind, kinddesc, site""",
@@ -240,6 +250,10 @@ ORACLE: dict[str, str] = {
     "admit_big_rows": f"""
       WITH {BIG}, {FLAGGED} SELECT ip, port, page AS page_seq FROM flagged WHERE is_new""",
     "eligible_filter": f"WITH {POOL} SELECT _id, anonymous, status FROM pool WHERE {ELIGIBLE}",
+    "nested_filter": f"""
+      WITH {POOL} SELECT _id, anonymous, status, http FROM pool
+      WHERE status >= 1 AND status < 4 AND (anonymous = 'A' OR anonymous LIKE 'W%' OR port IN ('8001', '8002') OR port IS NULL)
+        AND NOT (http = 'HTTP' AND status > 2) AND NOT regexp_matches(kinddesc, 'error$') AND ip <> '7'""",
     "status_levels": f"""
       WITH {POOL} SELECT DISTINCT status FROM pool WHERE {ELIGIBLE} ORDER BY status DESC""",
     "status_sweep": f"""

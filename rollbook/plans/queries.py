@@ -12,8 +12,8 @@ from rollbook.plans import standins as given
 from rollbook.plans import stream_runs
 from rollbook.plans.tables import harvested, listing_pool, stacked, text_ts
 from rollbook.sources import frontier as site_frontier
+from rollbook.session import settle
 from rollbook.sources.sites import SITES, Layout
-from rollbook.streaming.tables import settle
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -27,6 +27,16 @@ def query(fn: Query) -> Query:
 # Frontier
 
 
+@query
+def frontier_source(spark, sf_dir):
+    """Each given page's site, and that site's first two pages of the foreign kinds."""
+    site_frontier.register(spark)
+    wanted = spark.read.format("frontier").load().where((F.col("page") <= 2) & F.col("kind").isin("wn", "wt", "3", "4"))
+    names = F.array(*[F.lit(s.name) for s in SITES])
+    pages = given.pages(spark, sf_dir).select("page_id", F.get(names, (F.col("page_id") % len(SITES)).cast("int")).alias("site"))
+    return pages.join(wanted, "site").select("page_id", "site", "kind", "page", "url")
+
+
 @query
 def seed_frontier(spark, sf_dir):
     """Every page's host as a site with four kinds and one to three listing pages."""
@@ -107,6 +117,19 @@ def page_envelope(spark, sf_dir):
     return extract.unnest(_items(spark, sf_dir))
 
 
+@query
+def raw_page_rows(spark, sf_dir):
+    return extract.unnest(extract.extract(given.response_pages(spark, sf_dir)))
+
+
+@query
+def raw_page_errors(spark, sf_dir):
+    """Pages that are no text in the charset they declare."""
+    items = extract.extract(given.response_pages(spark, sf_dir))
+    undecodable = items.where(F.col("n_chars").isNull())
+    return undecodable.select("url", F.regexp_extract("error", "^no (.*) text", 1).alias("charset"))
+
+
 @query
 def page_error_log(spark, sf_dir):
     return extract.error_log(_items(spark, sf_dir), F.lit("2024-02-01 03:04:05").cast("timestamp"))
@@ -253,6 +276,23 @@ def eligible_filter(spark, sf_dir):
     return ingest.scan_eligible(given.pool(spark, sf_dir)).select("_id", "anonymous", "status")
 
 
+#: Probed before, of the swept classes, not over plain HTTP, of no kind that ends in "error".
+NESTED = {
+    "$and": [
+        {"status": {"$gte": 1, "$lt": 4}},
+        {"$or": [{"anonymous": "A"}, {"anonymous": {"$regex": "^W"}}, {"port": {"$in": ["8001", "8002", None]}}]},
+        {"$nor": [{"http": "HTTP", "status": {"$gt": 2}}, {"record.ip": {"$exists": True}}]},
+    ],
+    "kinddesc": {"$not": {"$regex": "ERROR$", "$options": "i"}},
+    "ip": {"$ne": "7"},
+}
+
+
+@query
+def nested_filter(spark, sf_dir):
+    return serve.find(given.pool(spark, sf_dir), NESTED).select("_id", "anonymous", "status", "http")
+
+
 @query
 def status_levels(spark, sf_dir):
     return sweep.status_levels(given.pool(spark, sf_dir))

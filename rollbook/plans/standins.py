@@ -5,8 +5,8 @@ Each stand-in covers its whole table. ``event_id`` is the arrival number of even
 
 from __future__ import annotations
 
-
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from rollbook.functions.scalars import classify, endpoint_url
 from rollbook.operators.outcomes import classify_probes
@@ -289,3 +289,25 @@ def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
             "</tbody></table><p>x</body></html>",
         ).alias("html"),
     )
+
+
+def response_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The listing pages as bytes, by turns in four charsets; every tenth is not what it says."""
+
+    def encode(batches):
+        for batch in batches:
+            bodies, types = [], []
+            for number, html in zip(batch["page_seq"].to_pylist(), batch["html"].to_pylist()):
+                name = ("utf-8", "gb18030", "gbk", "utf-16")[number % 4]
+                if name == "gbk":
+                    html = html.replace("<head>", "<head><meta charset=GB2312>")
+                bodies.append(html.encode("gb18030" if number % 10 == 9 else name))
+                types.append("text/html; charset=" + ("utf-8" if number % 10 == 9 else name) if number % 2 else None)
+            rest = [batch[n] for n in batch.schema.names if n != "html"]
+            yield pa.RecordBatch.from_arrays([*rest, pa.array(bodies, pa.binary()), pa.array(types, pa.string())], names)
+
+    pages = listing_pages(spark, sf_dir)
+    kept = [f for f in pages.schema.fields if f.name != "html"]
+    names = [*(f.name for f in kept), "body", "content_type"]
+    fields = [*kept, T.StructField("body", T.BinaryType()), T.StructField("content_type", T.StringType())]
+    return pages.select(*(f.name for f in kept), "html").mapInArrow(encode, T.StructType(fields))

@@ -13,13 +13,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from rollbook.plans import standins as given
 from rollbook.plans import tables
 from rollbook.schemas import OUTCOME, PAGES, RECORD
-from rollbook.session import fresh_dir
+from rollbook.session import fresh_dir, settle
 from rollbook.streaming.fold import fold_stream, now_stream
 from rollbook.streaming.harvest import harvest_stream
 from rollbook.streaming.ledger import Ledger
 from rollbook.streaming.membership import ledger_stream, read_admissions
 from rollbook.streaming.sweep import sweep_cycle
-from rollbook.streaming.tables import settle
 
 SLICES = 3
 

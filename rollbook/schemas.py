@@ -30,7 +30,7 @@ ITEM = T.StructType([
     T.StructField("status", T.IntegerType()),
     T.StructField("n_chars", T.IntegerType()),
     T.StructField("reslist", T.ArrayType(LISTING_ROW)),
-    *_texts("error"),
+    *_texts("error", "trace"),
 ])
 
 POOL = T.StructType([

@@ -11,8 +11,9 @@ from rollbook.functions.scalars import ts14
 from rollbook.operators.extract import error_log, extract, split, unnest
 from rollbook.operators.ingest import PAGE, accounting_after, admit, pool_rows
 from rollbook.schemas import PAGES, POOL
+from rollbook.sources.responses import page_files
 from rollbook.sources.sites import SITES, Site
-from rollbook.streaming.follow import follow
+from rollbook.streaming.follow import follow, started
 from rollbook.streaming.ledger import ROUNDS, Ledger
 
 # Fixed value: pause between two harvest rounds.
@@ -77,8 +78,11 @@ def harvest_stream(
     pause: str | None = HARVEST_PAUSE,
     files_per_batch: int | None = None,
     partitions: int | None = None,
+    raw: bool = False,
 ) -> StreamingQuery:
-    """Follow the folder ``landed``; the checkpoint lies with the tables under ``root``.
+    """Follow the folder ``landed``: tables of pages, or with ``raw`` the page files of
+    :func:`~rollbook.sources.responses.page_files`. The checkpoint lies with the tables under
+    ``root``.
     ``partitions``: see :func:`~rollbook.operators.extract.extract`."""
     stamp = F.current_timestamp() if as_of is None else as_of
 
@@ -86,4 +90,7 @@ def harvest_stream(
         harvest_batch(batch, number, root, sites, stamp, partitions)
 
     tables = [f"{root}/{name}" for name in ("items", "crawdetail", "crawlog", "rounds")]
+    if raw:
+        writer = page_files(spark, landed, sites, stream=True).writeStream.foreachBatch(each)
+        return started(spark, writer, f"{root}/_harvest", pause, tables)
     return follow(spark, landed, PAGES, each, f"{root}/_harvest", pause, files_per_batch, tables)

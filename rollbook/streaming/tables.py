@@ -10,8 +10,6 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from rollbook.session import fresh_dir
-
 BATCH = "batch"
 #: What a table held before its first batch.
 SEED = -1
@@ -55,14 +53,3 @@ def read_batches(spark: SparkSession, path: str, schema: T.StructType, *by: str)
 def has_batches(spark: SparkSession, path: str) -> bool:
     """Whether a stream has written to the table."""
     return not read_batches(spark, path, T.StructType([])).where(F.col(BATCH) > SEED).isEmpty()
-
-
-def settle(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back.
-
-    For a costly result with several uses: it is computed once, and a lost executor
-    costs no recomputation.
-    """
-    path = fresh_dir(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)

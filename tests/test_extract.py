@@ -73,7 +73,8 @@ def test_error_log(items):
         "url": "http://xici.example/6",
         "status": "error",
         "kinddesc": "broken",
-        "records": ex.ERROR_PREFIX + "row 2: 1 cells, cell 1 wanted",
+        "records": ex.ERROR_PREFIX
+        + "Traceback (most recent call last):\n  in read_listing\n  in value\nPageError: row 2: 1 cells, cell 1 wanted",
         "timestamp": "20240102030405",
     }
 

@@ -1,4 +1,3 @@
-import pytest
 from pyspark.sql import functions as F
 
 from rollbook.functions import scalars as fx
@@ -55,15 +54,6 @@ def test_probe_route(spark):
     assert got == [fx.DOMESTIC_TARGET, fx.FOREIGN_TARGET, fx.FOREIGN_TARGET]
 
 
-@pytest.mark.parametrize(
-    "where, want",
-    [({}, 3), ({"a": "x"}, 1), ({"a": None}, 1), ({"a": "x", "b": 2}, 0), ({"gone": None}, 3), ({"gone": 1}, 0)],
-)
-def test_matches(spark, where, want):
-    df = spark.createDataFrame([("x", 1), ("y", 2), (None, 3)], "a string, b int")
-    assert df.where(fx.matches(df, where)).count() == want
-
-
 def test_ts14(spark):
     got = spark.sql("select timestamp'2024-02-03 04:05:06.789' as t").select(fx.ts14(F.col("t"))).first()[0]
     assert got == "20240203040506"

@@ -48,7 +48,7 @@ def main() -> None:
     trials = {
         "admit": lambda: ingest.admit(rows, pool),
         "page accounts": lambda: ingest.accounting(rows, pool, pages),
-        "admissions, slices of 2^19": lambda: replay.admissions(rows, ["ip", "port"], width=1 << 19),
+        "admissions": lambda: replay.admissions(rows, ["ip", "port"]),
         "latest by key, sorted": lambda: outcomes.latest(rows, "ip", "seq"),
         "latest by key, hashed and joined": lambda: latest_hashed(rows, "ip", "seq"),
         "pool_without": lambda: outcomes.pool_without(rows, pool.select("ip", "port")),
