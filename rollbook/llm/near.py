@@ -22,12 +22,17 @@
    values: a pair whose rarest common value is the list's shares a later one too, if each
    looks one value further. A long list of classes that have no more in common than its
    value falls apart into short ones, which give their pairs of different components.
-   What is long still is a group that is alike but not all linked. Its members' full
-   shingle sets are put in order of rarity among them, and classes meet in the lists of
-   the values that the threshold itself allows, where their places in both orders leave
-   room for the overlap that a link needs (a class has too many shingles of its own, or it
-   has a link to the group's middle). So each link of step 2's candidates is confirmed or
-   lies inside a component, and components are what all links would give.
+   What is long still is a group that is alike but not all linked. Such a group has a
+   centre, the shingles that more than half of its members have, and a member is held as
+   its difference to the centre: two members differ in what both differences hold, less
+   twice what they have in common. So without a common difference their sizes alone decide;
+   by these, each member that links with any links with the one nearest the centre, and
+   those links need no pairs. The others link only with members that share a difference,
+   and meet them in the lists of their rarest ones, where their places leave room for as
+   many as a link needs. Classes far from every centre are put in order of rarity on their
+   full sets, and meet in the lists of the values that the threshold itself allows. So each
+   link of step 2's candidates is confirmed or lies inside a component, and components are
+   what all links would give.
 
 Every table between the steps is written to the shared folder. Joins that may meet a hot
 key (a common value, a hub, a large class) are equality joins that adaptive execution
@@ -209,38 +214,124 @@ def _rooted(df: DataFrame, roots: DataFrame, column: str, name: str) -> DataFram
 def _sets(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rep, root, text in zip(batch["rep"].to_pylist(), batch["root"].to_pylist(), texts(batch["text"])):
+            for group, rep, root, text in zip(*(batch[c].to_pylist() for c in ("group", "rep", "root")), texts(batch["text"])):
                 values = shingle_set(text, shingle)
                 n = len(values)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([x] * n, pa.int64()) for x in (rep, root, n)] + [pa.array(values.view(np.int64))],
-                    ["rep", "root", "n", "value"],
+                    [pa.array([x] * n, pa.int64()) for x in (group, rep, root, n)] + [pa.array(values.view(np.int64))],
+                    ["group", "rep", "root", "n", "value"],
                 )
 
     return run
 
 
-def _within_groups(members: DataFrame, shingle: int, threshold: int) -> DataFrame:
-    """Pairs of different components that full sets allow a link. ``members``: ``rep``,
-    ``root``, ``text``."""
-    t = threshold / 100
-    each = land(members.mapInArrow(_sets(shingle), "rep bigint, root bigint, n bigint, value bigint"), "sets")
-    spread = each.groupBy("value").agg(
+def _differences(shingle: int):
+    """Members with their group's centre -> the values that only one of the two has."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes, differ = [], []
+            for centre, text in zip(batch["centre"], texts(batch["text"])):
+                values = shingle_set(text, shingle).view(np.int64)
+                middle = np.asarray([], np.int64) if centre.values is None else centre.values.to_numpy()
+                sizes.append(len(values))
+                differ.append(np.setxor1d(values, middle))
+            yield pa.RecordBatch.from_arrays(
+                [batch["group"], batch["rep"], batch["root"], pa.array(sizes, pa.int64()), pa.array(differ, pa.list_(pa.int64()))],
+                ["group", "rep", "root", "n", "differ"],
+            )
+
+    return run
+
+
+def _grouped(long: DataFrame) -> DataFrame:
+    """``rep``, ``group``: classes with the ones of their longest list. ``long``: ``value``, ``rep``."""
+    each = long.select("value", "rep").distinct()
+    lists = each.groupBy("value").agg(F.count("*").alias("m"), F.min("rep").alias("hub"))
+    longest = each.join(lists, "value").groupBy("rep").agg(F.max(F.struct("m", "value", "hub")).alias("best"))
+    hubs = land(longest.select("rep", F.col("best.hub").alias("hub")), "hubs")
+    found = components(hubs.select(F.col("rep").alias("a"), F.col("hub").alias("b")))
+    return _rooted(hubs.select("rep"), found, "rep", "group")
+
+
+def _around_centres(each: DataFrame, members: DataFrame, shingle: int, threshold: int) -> DataFrame:
+    """Members near their group's centre: ``group``, ``rep``, ``root``, ``differ`` and ``slack``, by
+    which two of them without a common difference are linked if their sum is not above 0.
+
+    Of two sets with sizes ``S`` together, of which ``D`` values are in one only, the similarity
+    is (S - D) / (S + D). It reaches the threshold if (100 + threshold) D <= (100 - threshold) S."""
+    size = members.groupBy("group").agg(F.count("*").alias("size"))
+    held = each.groupBy("group", "value").agg(F.count("*").alias("df"))
+    centre = held.join(size, "group").where(2 * F.col("df") > F.col("size"))
+    centre = land(centre.groupBy("group").agg(F.collect_list("value").alias("centre")), "centres")
+    differ = members.join(centre, "group").select("group", "rep", "root", "centre", "text").mapInArrow(
+        _differences(shingle), "group bigint, rep bigint, root bigint, n bigint, differ array<bigint>"
+    )
+    slack = (100 + threshold) * F.size("differ") - (100 - threshold) * F.col("n")
+    return land(differ.where(2 * F.size("differ") <= F.col("n")).withColumn("slack", slack.cast("long")), "around-centres")
+
+
+def _linked_by_size(near: DataFrame) -> DataFrame:
+    """Links that the sizes of differences decide: of each group, to its member of least slack."""
+    best = near.groupBy("group").agg(F.min(F.struct("slack", "rep")).alias("best"))
+    both = near.join(best, "group").where((F.col("slack") + F.col("best.slack") <= 0) & (F.col("rep") != F.col("best.rep")))
+    return both.select(F.least("rep", "best.rep").alias("a"), F.greatest("rep", "best.rep").alias("b")).distinct()
+
+
+def _by_differences(near: DataFrame, roots: DataFrame, threshold: int) -> DataFrame:
+    """Pairs of different components that share enough of their differences. ``roots``: the
+    components once the links by size are in."""
+    best = near.groupBy("group").agg(F.min("slack").alias("least"))
+    near = _rooted(near.drop("root"), roots, "rep", "root").join(best, "group")
+    each = near.select("group", "rep", "root", "slack", "least", F.explode("differ").alias("value"))
+    spread = each.groupBy("group", "value").agg(
         F.count("*").alias("df"), F.min("root").alias("lo"), F.max("root").alias("hi")
     ).where("df > 1")
-    shared = each.join(spread, "value").groupBy("rep", "root", "n").agg(
+    ranked = each.join(spread, ["group", "value"]).groupBy("group", "rep", "root", "slack", "least").agg(
         F.sort_array(F.collect_list(F.struct("df", "value", (F.col("lo") != F.col("hi")).alias("open")))).alias("values")
     )
+    # ``left``: shared values from this one on, the most that a pair can share if it is their first.
+    at = ranked.select("group", "rep", "root", "slack", "least", F.size("values").alias("k"), F.posexplode("values").alias("at", "v"))
+    lists = land(
+        at.where("v.open").select("group", "rep", "root", "slack", "least", (F.col("k") - F.col("at")).alias("left"), "v.value"), "difference-lists"
+    )
+    twice = 2 * (100 + threshold)
+    far = lists.where(F.col("slack") + F.col("least") > 0).where(twice * F.col("left") >= F.col("slack") + F.col("least"))
+    one = far.select("group", "value", F.col("rep").alias("r1"), F.col("root").alias("c1"), F.col("slack").alias("s1"), F.col("left").alias("l1"))
+    other = lists.select("group", "value", F.col("rep").alias("r2"), F.col("root").alias("c2"), F.col("slack").alias("s2"), F.col("left").alias("l2"))
+    room = twice * F.least("l1", "l2") >= F.col("s1") + F.col("s2")
+    pairs = one.join(other, ["group", "value"]).where((F.col("c1") != F.col("c2")) & room)
+    return pairs.select(F.least("r1", "r2").alias("a"), F.greatest("r1", "r2").alias("b")).distinct()
+
+
+def _within_groups(each: DataFrame, near: DataFrame, threshold: int) -> DataFrame:
+    """Pairs of different components that full sets allow a link, of which not both are around
+    one centre. ``each``: ``group``, ``rep``, ``root``, ``n``, ``value``."""
+    t = threshold / 100
+    close = near.select("rep", F.lit(True).alias("close"))
+    each = each.join(close, "rep", "left").withColumn("close", F.coalesce("close", F.lit(False)))
+    spread = each.groupBy("value").agg(
+        F.count("*").alias("df"), F.min("root").alias("lo"), F.max("root").alias("hi"),
+        (F.min("group") != F.max("group")).alias("mixed"), F.min("close").alias("all_close"),
+    ).where("df > 1")
+    is_open = (F.col("lo") != F.col("hi")) & (F.col("mixed") | ~F.col("all_close"))
+    shared = each.join(spread, "value").groupBy("group", "rep", "root", "n", "close").agg(
+        F.sort_array(F.collect_list(F.struct("df", "value", is_open.alias("open")))).alias("values")
+    )
     # ``left``: values from this one on, the most that a pair can share if it is their first.
-    shared = shared.select("rep", "root", "n", F.size("values").alias("k"), F.posexplode("values").alias("at", "v"))
-    shared = shared.select("rep", "root", "n", (F.col("k") - F.col("at")).alias("left"), "v.value", "v.open")
+    shared = shared.select("group", "rep", "root", "n", "close", F.size("values").alias("k"), F.posexplode("values").alias("at", "v"))
+    shared = shared.select("group", "rep", "root", "n", "close", (F.col("k") - F.col("at")).alias("left"), "v.value", "v.open")
     shared = land(shared.where(F.col("open") & (F.col("left") >= F.col("n") * t - 1e-9)), "set-lists")
     one, other = (
-        shared.select("value", *(F.col(c).alias(f"{c[0]}{i}") for c in ("rep", "n", "left")), F.col("root").alias(f"c{i}"))
+        shared.select(
+            "value", *(F.col(c).alias(f"{c[0]}{i}") for c in ("rep", "n", "left", "group")),
+            F.col("root").alias(f"c{i}"), F.col("close").alias(f"close{i}"),
+        )
         for i in (1, 2)
     )
     room = F.least("l1", "l2") >= t / (1 + t) * (F.col("n1") + F.col("n2")) - 1e-9
-    return _sized(one.join(other, "value").where((F.col("c1") < F.col("c2")) & room), threshold)
+    apart = (F.col("g1") != F.col("g2")) | ~F.col("close1") | ~F.col("close2")
+    return _sized(one.join(other, "value").where((F.col("c1") < F.col("c2")) & room & apart), threshold)
 
 
 def _settle(
@@ -310,9 +401,18 @@ def near_groups(
     left = _two(short, 1, *keys, "root").withColumnRenamed("root", "c1")
     right = _two(short, 2, *keys, "root").withColumnRenamed("root", "c2")
     rest = _sized(left.join(right, keys).where("c1 < c2"), threshold)
-    members = open_lists.where(F.col("size") > SMALL).select("rep", "root").distinct().join(held, "rep")
-    rest = rest.unionByName(_within_groups(members, shingle, threshold)).distinct()
-    rest = rest.join(pairs, ["a", "b"], "left_anti")
+    alike = open_lists.where(F.col("size") > SMALL)
+    if not alike.isEmpty():
+        members = alike.select("rep", "root").distinct().join(_grouped(alike), "rep").join(held, "rep")
+        members = land(members.select("group", "rep", "root", "text"), "members")
+        each = land(members.mapInArrow(_sets(shingle), "group bigint, rep bigint, root bigint, n bigint, value bigint"), "sets")
+        near = _around_centres(each, members, shingle, threshold)
+        linked = land(_linked_by_size(near), "linked")
+        if not linked.isEmpty():
+            links = land(links.unionByName(linked), "links")
+            roots = components(links)
+        rest = rest.unionByName(_by_differences(near, roots, threshold)).unionByName(_within_groups(each, near, threshold))
+    rest = rest.distinct().join(pairs, ["a", "b"], "left_anti")
     rest = land(_estimated(rest, sketches, least), "rest")
     _, roots = _settle(rest, links, roots, held, shingle, threshold)
 

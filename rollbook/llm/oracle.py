@@ -46,8 +46,8 @@ ORACLE = {
         ), b AS (
             SELECT page_id, url, list_transform(
                 string_split_regex(replace(body, '<br>', ' '), '</?(p|h1)>'),
-                lambda x: trim(regexp_replace(replace(replace(replace(replace(replace(regexp_replace(x, '<[^>]*>', '', 'g'),
-                    '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#x27;', chr(39)), '&amp;', '&'), '\s+', ' ', 'g'))
+                lambda x: trim(regexp_replace(regexp_replace(replace(replace(replace(replace(regexp_replace(x, '<[^>]*>', '', 'g'),
+                    '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#x27;', chr(39)), '&amp;?', '&', 'g'), '\s+', ' ', 'g'))
             ) AS blocks
             FROM a
         ), c AS (

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import sys
 import types
 import uuid
@@ -54,16 +55,19 @@ def without(docs: DataFrame, gone: DataFrame, id_col: str = "doc_id") -> DataFra
 
 
 def keyed(docs: DataFrame) -> tuple[DataFrame, str]:
-    """The rows with a key of each row's own (ids may be null or repeat), and the key's column.
+    """The rows with a number of each row's own (ids may be null or repeat), and its column.
 
-    A row of a table of files is named by its file and its place there, which every scan finds
-    alike; the table is not written again. Any other rows are landed with a number."""
+    A row of a table of files is numbered by a hash of its file and its place there, which
+    every scan finds alike, so the table is not written again; no two rows have one hash, or
+    another is taken. Any other rows are landed with a number."""
     key = aside("row")
     plan = getattr(docs, "_jdf", None)  # not there in a remote session
     if plan is not None and plan.queryExecution().analyzed().getClass().getSimpleName() == "LogicalRelation":
         try:
-            place = F.concat_ws(" ", "_metadata.file_path", F.col("_metadata.row_index").cast("string"))
-            return docs.withColumn(key, F.unhex(F.md5(place))), key
+            for seed in itertools.count():
+                rows = docs.withColumn(key, F.xxhash64(F.lit(seed), "_metadata.file_path", "_metadata.row_index"))
+                if rows.groupBy(key).count().where("count > 1").isEmpty():
+                    return rows, key
         except AnalysisException:  # a source without places of rows
             pass
     return land(docs.withColumn(key, F.monotonically_increasing_id()), "keyed"), key

@@ -6,9 +6,12 @@
    readers) go by element, role, class and id.
 2. The subtrees of what remains are hashed. Spark counts, per host, the pages on which each
    hash occurs (reduced on the map side; a hot host is spread over its hashes).
-3. A subtree is deleted from a page if it recurs on at least ``MIN_PAGES`` pages and
-   ``MIN_SHARE`` of the host's pages with different content; ``subtrees`` says which never are.
-4. The rest is written block by block, in page order.
+3. A subtree is deleted from a page if it recurs on ``MANY_PAGES`` pages of the host with
+   different content, however many the host has; on a small host, on ``MIN_PAGES`` and
+   ``MIN_SHARE`` of its pages. ``subtrees`` says which never are. Recurring hashes meet pages
+   as rows, so no list grows with a host.
+4. The rest is written block by block, in page order: what the page's ``main`` element holds,
+   or else its one ``article``, or else all of it.
 
 Pages with identical html count once per host, so that a repeated page is not its own
 template. Nulls and empties: a null html is empty and has an empty text; a null or
@@ -25,10 +28,11 @@ from html import unescape
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from rollbook.llm.shared import land, texts
+from rollbook.llm.shared import keyed, land, texts
 
-#: A subtree is template from so many different pages of its host, and so much of them.
-MIN_PAGES, MIN_SHARE = 5, 0.2
+#: A subtree is template from so many different pages of its host; or from so few, if they are
+#: such a share of them.
+MANY_PAGES, MIN_PAGES, MIN_SHARE = 50, 5, 0.2
 #: Words from which a run of text is a passage, which a site may well repeat.
 PASSAGE_WORDS = 12
 
@@ -36,9 +40,11 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 #: Elements whose content is no markup.
 RAW = frozenset("script style textarea title xmp noembed noframes iframe".split())
 NEVER = frozenset(
-    "head script style noscript template svg math canvas iframe object embed form button select option textarea input "
-    "label fieldset datalist nav aside footer menu dialog audio video map title xmp noembed noframes".split()
+    "head script style noscript template svg math canvas iframe object embed button select option textarea input "
+    "label datalist nav footer menu audio video map title xmp noembed noframes".split()
 )
+#: Elements that go unless the page's content is inside: some sites put all of a page into one.
+MOSTLY = frozenset("form fieldset aside dialog".split())
 BLOCKS = frozenset(
     "address article aside blockquote body center dd details dir div dl dt fieldset figcaption figure footer form "
     "frameset h1 h2 h3 h4 h5 h6 header hgroup hr html legend li listing main menu nav ol optgroup option p plaintext "
@@ -70,6 +76,12 @@ _LABEL = re.compile(
     r"search(?:-?(?:form|box))?|copyright|site-header|page-header)\d*(?:$|[\s_-])|^\s*header\s*$",
     re.I,
 )
+#: Those of them that content may be about: within an article they say nothing against an
+#: element that holds a passage.
+_AMBIGUOUS = re.compile(
+    r"(?:^|[\s_-])(?:notices?|notifications?|alert|share|sharing|social|related|recommend(?:ed|ations?)?|promo(?:s|tions?)?|"
+    r"search|copyright|menu|subscription)\d*(?=$|[\s_-])", re.I
+)
 #: The same of an element that is an article by its name.
 _NO_ARTICLE = re.compile(r"(?:^|[\s_-])(?:comments?|reply|replies|ads?|advert\w*|promo|sponsored|related)\d*(?:$|[\s_-])", re.I)
 _PHRASES = frozenset("html body main a b i em strong u s small sub sup code h1 h2 h3 h4 h5 h6".split())
@@ -82,16 +94,17 @@ _SPACE = re.compile(r"\s+")
 
 
 class Element:
-    __slots__ = ("name", "label", "children", "drop", "doubt")
+    __slots__ = ("name", "label", "children", "drop", "doubt", "mild")
 
-    def __init__(self, name: str, label: str = "", drop: bool = False, doubt: bool = False):
+    def __init__(self, name: str, label: str = "", drop: bool = False, doubt: bool = False, mild: bool = False):
         self.name, self.label = name, label
         self.drop, self.doubt = drop, doubt  # goes; goes unless the content is inside
+        self.mild = mild  # stays for a passage too
         self.children: list = []  # elements and strings
 
 
 def _open(name: str, attributes: str, stack: list[Element]) -> Element:
-    label, drop, doubt = "", name in NEVER, False
+    label, drop, doubt, mild = "", name in NEVER, name in MOSTLY, False
     if attributes.strip(" \t\r\n/"):
         found = {}
         for m in _ATTRIBUTE.finditer(attributes):
@@ -100,11 +113,14 @@ def _open(name: str, attributes: str, stack: list[Element]) -> Element:
         hidden = "hidden" in found or found.get("aria-hidden", "").lower() == "true"
         hidden = hidden or "display:none" in found.get("style", "").replace(" ", "").lower()
         drop = drop or hidden or found.get("role", "").lower() in _ROLES
-        if label and not drop and name not in _PHRASES:
-            doubt = bool((_NO_ARTICLE if name == "article" else _LABEL).search(_CAMEL.sub("-", label)))
+        if label and not drop and not doubt and name not in _PHRASES:
+            words = _CAMEL.sub("-", label)
+            doubt = bool((_NO_ARTICLE if name == "article" else _LABEL).search(words))
+            within = any(e.name in ("article", "main") for e in stack)
+            mild = doubt and within and not _LABEL.search(_AMBIGUOUS.sub(" ", words))
     if name == "header" and not any(e.name in ("article", "main") for e in stack):
         drop = True
-    return Element(name, label, drop, doubt)
+    return Element(name, label, drop, doubt, mild)
 
 
 def parse(html: str) -> Element:
@@ -171,8 +187,9 @@ def _hash_of(parts: list[str]) -> int:
 def _prune(root: Element) -> None:
     """Takes out what is dropped, in loops: trees may be deep.
 
-    What only a class or id speaks against stays if the page's article or main element is
-    inside, or, comments and adverts apart, more than half of the page's words are."""
+    What only a class or id speaks against, and a form or aside, stays if the page's article or
+    main element is inside, or, comments and adverts apart, more than half of the page's words
+    are. Labels that content has too do not count against a passage in the article."""
     order, todo = [], [root]
     while todo:
         e = todo.pop()
@@ -181,16 +198,17 @@ def _prune(root: Element) -> None:
         todo.extend(c for c in e.children if not isinstance(c, str))
     if not any(e.doubt for e in order):
         return
-    known: dict[int, tuple[int, bool]] = {}
+    known: dict[int, tuple[int, bool, bool]] = {}
     for e in reversed(order):
         inside = [known[id(c)] for c in e.children if not isinstance(c, str)]
-        words = sum(len(c.split()) for c in e.children if isinstance(c, str)) + sum(n for n, _ in inside)
-        known[id(e)] = words, e.name in ("article", "main") and not e.doubt or any(held for _, held in inside)
+        words = sum(len(c.split()) for c in e.children if isinstance(c, str)) + sum(x[0] for x in inside)
+        held = e.name in ("article", "main") and not e.doubt or any(x[1] for x in inside)
+        known[id(e)] = words, held, e.name == "p" and words >= PASSAGE_WORDS or any(x[2] for x in inside)
     half = known[id(root)][0] / 2
     for e in order:
         e.children = [
             c for c in e.children
-            if isinstance(c, str) or not c.doubt or known[id(c)][1]
+            if isinstance(c, str) or not c.doubt or known[id(c)][1] or c.mild and known[id(c)][2]
             or known[id(c)][0] > half and not _NO_ARTICLE.search(_CAMEL.sub("-", c.label))
         ]
 
@@ -234,8 +252,8 @@ def subtrees(root: Element) -> list[tuple[Element, int]]:
 
 
 def main_root(root: Element) -> Element:
-    """The page's one article or main element if it has one with text, else all of it."""
-    for name in ("article", "main"):
+    """The page's one main element or article if it has one with text, else all of it."""
+    for name in ("main", "article"):
         found, todo = [], [root]
         while todo:
             e = todo.pop()
@@ -284,27 +302,27 @@ def _pruned(html: str) -> Element:
 
 
 def _hasher(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64())
     for batch in batches:
         rows: list[tuple] = []
-        for host, html in zip(batch["host"].to_pylist(), texts(batch["html"])):
+        for key, host, html in zip(batch["key"].to_pylist(), batch["host"].to_pylist(), texts(batch["html"])):
             found = {h for _, h in subtrees(_pruned(html))}
             same = _hash_of([html])
-            rows.extend((host, h, same) for h in found)
-        columns = list(zip(*rows)) or [()] * 3
-        kinds = (pa.string(), pa.int64(), pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["host", "subtree", "page"])
+            rows.extend((key, host, h, same) for h in found)
+        columns = list(zip(*rows)) or [()] * 4
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["key", "host", "subtree", "page"])
 
 
 def recurring(pages: DataFrame) -> DataFrame:
-    """Per host the hashes of its template: ``host``, ``subtrees`` (array). ``pages``: host, html."""
+    """The template of each page: ``key``, ``subtrees`` (array). ``pages``: key (a number of
+    each row's own), host, html."""
+    seen = land(pages.mapInArrow(_hasher, "key bigint, host string, subtree bigint, page bigint"), "subtrees")
     # Equal pages of a host count once.
-    seen = pages.mapInArrow(_hasher, "host string, subtree bigint, page bigint")
-    counts = seen.distinct().groupBy("host", "subtree").count().where(F.col("count") >= MIN_PAGES)
+    counts = seen.select("host", "subtree", "page").distinct().groupBy("host", "subtree").count().where(F.col("count") >= MIN_PAGES)
     totals = pages.select("host", F.xxhash64("html").alias("page")).distinct().groupBy("host").agg(F.count("*").alias("pages"))
-    kept = counts.join(totals, "host").where(F.col("count") >= MIN_SHARE * F.col("pages"))
-    # At most (subtrees of a page) / MIN_SHARE hashes reach the share on a host, so the
-    # array of a host does not grow with its pages.
-    return kept.groupBy("host").agg(F.collect_list("subtree").alias("subtrees"))
+    often = (F.col("count") >= MANY_PAGES) | (F.col("count") >= MIN_SHARE * F.col("pages"))
+    template = land(counts.join(totals, "host").where(often).select("host", "subtree"), "templates")
+    return seen.join(template, ["host", "subtree"]).groupBy("key").agg(F.collect_list("subtree").alias("subtrees"))
 
 
 def text_of(html: str, template: frozenset[int] | set[int]) -> str:
@@ -321,12 +339,8 @@ def text_of(html: str, template: frozenset[int] | set[int]) -> str:
 
 def _extractor(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sets: dict[str, set[int]] = {}
-        out = []
-        for host, template, html in zip(batch["host"].to_pylist(), batch["subtrees"], texts(batch["html"])):
-            if host not in sets:
-                sets[host] = set(template.as_py() or ())
-            out.append(text_of(html, sets[host]))
+        pairs = zip(batch["subtrees"], texts(batch["html"]))
+        out = [text_of(html, set(template.as_py() or ())) for template, html in pairs]
         yield pa.RecordBatch.from_arrays(
             [batch["page_id"], batch["url"], pa.array(out, pa.string()), pa.array([len(t) for t in out], pa.int64())],
             ["page_id", "url", "text", "n_chars"],
@@ -335,11 +349,12 @@ def _extractor(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def main_text(pages: DataFrame) -> DataFrame:
     """``page_id``, ``url``, ``text``, ``n_chars`` of each page."""
+    rows, key = keyed(pages)
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#:]+)", 1))
-    read = pages.select(
-        F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce("html", F.lit("")).alias("html"), host.alias("host")
+    read = rows.select(
+        F.col(key).alias("key"), F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce("html", F.lit("")).alias("html"), host.alias("host"),
     )
-    template = land(recurring(read.select("host", "html")), "templates")
-    return read.join(template, "host", "left").select("page_id", "url", "html", "host", "subtrees").mapInArrow(
+    template = recurring(read.select("key", "host", "html"))
+    return read.join(template, "key", "left").select("page_id", "url", "html", "subtrees").mapInArrow(
         _extractor, "page_id bigint, url string, text string, n_chars bigint"
     )

@@ -1,6 +1,8 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables, clashing names."""
 
 import itertools
+import random
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -116,6 +118,51 @@ def test_template_goes_by_host(frame):
     assert got[103] == "Box 3\nArticle number 3 says something of its own"
 
 
+def test_content_in_forms_main_and_named_sections(frame):
+    story = "The story is told at some length here, in words of its own. " * 3
+    p = f"<p>{story}</p>"
+    pages = [
+        f"<body><form id=aspnetForm><input value=x><nav>Menu</nav><div><article><h1>Head</h1>{p}</article></div></form>",
+        f"<body><form id=aspnetForm><button>Go</button><div>{p}{p}</div></form><form class=search><label>Find</label><p>Enter words</p></form>",
+        f"<body><header>Site</header><main><h1>Head</h1><p>Lead before it</p><article>{p}</article></main><footer>End</footer>",
+        f"<body><article><h1>Head</h1>{p}<section class='related work'><h2>Work</h2>{p}</section>"
+        "<div class='related links'><h3>More</h3><ul><li>Other story</ul></div><div class=social-share>Share this</div></article>",
+        f"<body><div class=notice><p>{story}</p></div><article>{p}{p}</article><aside>{p}</aside>",
+    ]
+    df = frame([(i, None, x) for i, x in enumerate(pages)], "page_id long, url string, html string")
+    got = dict(rows_of(template.main_text(df), "page_id", "text"))
+    story = story.strip()
+    assert got == {
+        0: f"Head\n{story}", 1: f"{story}\n{story}", 2: f"Head\nLead before it\n{story}",
+        3: f"Head\n{story}\nWork\n{story}", 4: f"{story}\n{story}",
+    }
+
+
+def test_template_counts_equal_brute_force(frame):
+    """Hosts whose boxes carry no name: only the pages on which a subtree recurs decide."""
+    rng = random.Random(6)
+    rows, boxes = [], {}
+    for host, n in (("big.example", 620), ("small.example", 20), ("tiny.example", 4)):
+        for i in range(n):
+            mine = [b for b, every in (("all", 1), ("tenth", 10), ("rare", 40), ("third", 3)) if i % every == 0]
+            boxes[host, i] = mine
+            inner = "".join(f"<div><ul><li>box {b} of {host}</ul></div>" for b in mine)
+            story = " ".join(f"w{rng.randrange(10**6)}" for _ in range(30))
+            rows.append((f"{host}/{i}", f"http://{host}/{i}", f"<body>{inner}<div><p>{story}</p></div></body>", story))
+    rows = [(k, url, html, story) for k, (_, url, html, story) in enumerate(rows)]
+    df = frame([r[:3] for r in rows] + [rows[0][:3]], "page_id long, url string, html string")  # one page twice
+    got = dict(rows_of(template.main_text(df), "page_id", "text"))
+    on = Counter((host, b) for (host, _), mine in boxes.items() for b in mine)
+    pages = Counter(host for host, _ in boxes)
+    is_template = lambda host, b: on[host, b] >= template.MANY_PAGES or (
+        on[host, b] >= template.MIN_PAGES and on[host, b] >= template.MIN_SHARE * pages[host])
+    for (k, _, _, story), ((host, _), mine) in zip(rows, boxes.items()):
+        left = [f"box {b} of {host}" for b in mine if not is_template(host, b)]
+        assert got[k] == "\n".join([*left, story])
+    decided = {key: is_template(*key) for key in on}
+    assert decided["big.example", "tenth"] and not decided["big.example", "rare"] and not decided["small.example", "tenth"]
+
+
 # --- language ------------------------------------------------------------------------
 
 
@@ -314,6 +361,38 @@ def test_near_chains_and_large_groups_equal_brute_force(documents):
     assert dict(rows_of(got, "doc_id", "component_id")) == root
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_near_groups_just_below_the_threshold(documents, seed):
+    """Most members of a group are too far from its middle and from each other; families within
+    it share edits, by which they link; some members link with the middle by their sizes."""
+    draw = np.random.default_rng(seed)
+    new = lambda n, at=itertools.count(): [f"w{next(at)}" for _ in range(n)]
+    base, texts = new(120), []
+
+    def edited(words, n):
+        words = list(words)
+        for i in draw.choice(len(words), n, replace=False):
+            words[i] = new(1)[0]
+        return words
+
+    texts += [edited(base, int(draw.integers(9, 17))) for _ in range(70)]
+    for _ in range(5):
+        family = edited(base, 9)
+        texts += [edited(family, int(draw.integers(2, 7))) for _ in range(8)]
+    texts += [edited(base, int(draw.integers(0, 4))) for _ in range(int(draw.integers(0, 3)))]
+    given = {int(i): texts[k] for i, k in enumerate(draw.permutation(len(texts)))}
+    sets = {i: {tuple(w[j : j + 2]) for j in range(len(w) - 1)} for i, w in given.items()}
+    root = {i: i for i in sets}
+    for a, b in itertools.combinations(sorted(sets), 2):
+        both = len(sets[a] & sets[b])
+        if 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both) and root[a] != root[b]:
+            lo, hi = sorted((root[a], root[b]))
+            root = {i: lo if r == hi else r for i, r in root.items()}
+    assert 3 < len(set(root.values())) < len(root)
+    got = near.near_groups(documents([(i, " ".join(w)) for i, w in given.items()]), 2)
+    assert dict(rows_of(got, "doc_id", "component_id")) == root
+
+
 def test_components_of_paths_and_stars(spark):
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, i) for i in range(101, 130)] + [(7, 7), (3, 2)]
     got = dict(rows_of(near.components(spark.createDataFrame(edges, "a long, b long")), "u", "root"))
