@@ -334,12 +334,18 @@ def _within_groups(each: DataFrame, near: DataFrame, threshold: int) -> DataFram
     return _sized(one.join(other, "value").where((F.col("c1") < F.col("c2")) & room & apart), threshold)
 
 
-def _settle(
-    pairs: DataFrame, links: DataFrame, roots: DataFrame, held: DataFrame, shingle: int, threshold: int
-) -> tuple[DataFrame, DataFrame]:
+def _merged(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """The components once ``links`` (``a``, ``b``) are in: only the components that these connect
+    are put together, each as its smallest id."""
+    between = _rooted(_rooted(links, roots, "a", "ca"), roots, "b", "cb").where("ca != cb")
+    above = components(between.select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct())
+    lifted = _rooted(roots.withColumnRenamed("root", "below"), above, "below", "root").select("u", "root")
+    return land(lifted.unionByName(above), "roots")
+
+
+def _settle(pairs: DataFrame, roots: DataFrame, held: DataFrame, shingle: int, threshold: int) -> DataFrame:
     """Confirms pairs, first one per class, then all that still lie between components;
-    returns all confirmed links and the components they make. ``roots``: the components of
-    ``links``."""
+    returns the components that their links make of those in ``roots``."""
     for first in (True, False):
         between = _rooted(_rooted(pairs, roots, "a", "ca"), roots, "b", "cb").where("ca != cb")
         pairs = land(between.select("a", "b", "estimate"), "between")
@@ -350,10 +356,9 @@ def _settle(
         tested = land(_confirmed(now, held, shingle, threshold), "tested")
         linked = tested.where("linked").select("a", "b")
         if not linked.isEmpty():
-            links = land(links.unionByName(linked), "links")
-            roots = components(links)
+            roots = _merged(roots, linked)
         pairs = pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
-    return links, roots
+    return roots
 
 
 def near_groups(
@@ -386,8 +391,8 @@ def near_groups(
     held = land(wanted.groupBy("rep").agg(F.first("text").alias("text")), "texts")
 
     spark = docs.sparkSession
-    none = spark.createDataFrame([], "a bigint, b bigint"), spark.createDataFrame([], "u bigint, root bigint")
-    links, roots = _settle(estimated, *none, held, shingle, threshold)
+    alone = spark.createDataFrame([], "u bigint, root bigint")
+    roots = _settle(estimated, alone, held, shingle, threshold)
 
     open_lists = _rooted(long.select("value", "rep", "n"), roots, "rep", "root")
     split = open_lists.groupBy("value").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi")
@@ -409,12 +414,11 @@ def near_groups(
         near = _around_centres(each, members, shingle, threshold)
         linked = land(_linked_by_size(near), "linked")
         if not linked.isEmpty():
-            links = land(links.unionByName(linked), "links")
-            roots = components(links)
+            roots = _merged(roots, linked)
         rest = rest.unionByName(_by_differences(near, roots, threshold)).unionByName(_within_groups(each, near, threshold))
     rest = rest.distinct().join(pairs, ["a", "b"], "left_anti")
     rest = land(_estimated(rest, sketches, least), "rest")
-    _, roots = _settle(rest, links, roots, held, shingle, threshold)
+    roots = _settle(rest, roots, held, shingle, threshold)
 
     named = _rooted(classes.select("digest", "rep"), roots, "rep", "component_id").select("digest", "component_id")
     out = rows.select("doc_id", "n", "digest").join(named, "digest", "left")
