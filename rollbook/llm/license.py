@@ -20,8 +20,8 @@ shingle, so surely.
 Nulls and empties: null and empty texts match nothing. A text shorter than a shingle, or a
 template, is one shingle of all its words; such a template is also found inside longer texts. A template without words is none; each row of
 the templates is matched for itself, also if ids repeat. Each row gives its own matches. Extra
-columns are ignored. Templates are a stated set on the driver: ``BLOCK`` of them at a time
-are held against all documents.
+columns are ignored. Templates are a stated set on the driver: so many at a time as have
+``BLOCK`` values (or one larger template) are held against all documents.
 """
 
 from __future__ import annotations
@@ -33,8 +33,9 @@ from rollbook.llm.wordings import rows as wordings
 
 SHINGLE, CONTAINED = 5, 0.8
 SIZE, STEP, BANDS, ROWS = 4, 2, 2, 2
-#: Templates that are looked for in one pass.
-BLOCK = 500
+#: Shingles and band values of the templates that are looked for in one pass: what it sends is
+#: 8 bytes a value.
+BLOCK = 100_000
 
 #: Notices as they stand in files and on pages (fixed wordings of public licenses).
 NOTICES = {
@@ -68,10 +69,13 @@ NOTICES = {
 }
 
 
+def template_rows() -> list[tuple[str, str]]:
+    """Ids and texts of the default templates."""
+    return [(f"{name}/{i}", text) for name, texts in NOTICES.items() for i, text in enumerate(texts)] + wordings()
+
+
 def default_templates(spark: SparkSession) -> DataFrame:
-    rows = [(f"{name}/{i}", text) for name, texts in NOTICES.items() for i, text in enumerate(texts)]
-    rows += wordings()
-    return spark.createDataFrame(rows, "template_id string, text string")
+    return spark.createDataFrame(template_rows(), "template_id string, text string")
 
 
 def words(text: Column) -> Column:
@@ -162,7 +166,7 @@ def _scan(docs: DataFrame, block: list[dict]) -> DataFrame:
     sets = spark.createDataFrame(
         [(t["template_id"], t["h"], t["keys"]) for t in block], "template_id string, t array<bigint>, keys array<bigint>"
     )
-    # BLOCK rows at most: small enough to send.
+    # BLOCK values at most: small enough to send.
     pairs = read.select("doc_id", F.concat("brief", "h").alias("h"), "hits").join(F.broadcast(sets), F.arrays_overlap("hits", "keys"))
     return pairs.select(
         "doc_id", "template_id", F.size(F.array_intersect("t", "h")).alias("matched"), F.size("t").alias("shingles")
@@ -172,10 +176,18 @@ def _scan(docs: DataFrame, block: list[dict]) -> DataFrame:
 def scan(docs: DataFrame, templates: DataFrame) -> DataFrame:
     """One row per document and template in it: ``doc_id``, ``template_id``, ``matched``
     (of the template's distinct shingles), ``shingles`` (their number)."""
-    found = prepared(templates)
+    blocks: list[list[dict]] = []
+    room = 0
+    for t in prepared(templates):
+        size = len(t["h"]) + len(t["keys"])
+        if size > room:
+            blocks.append([])
+            room = BLOCK
+        blocks[-1].append(t)
+        room -= size
     out = None
-    for at in range(0, len(found), BLOCK):
-        part = _scan(docs, found[at : at + BLOCK])
+    for block in blocks:
+        part = _scan(docs, block)
         out = part if out is None else out.unionByName(part)
     schema = "doc_id bigint, template_id string, matched int, shingles int"
     return docs.sparkSession.createDataFrame([], schema) if out is None else out

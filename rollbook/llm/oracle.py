@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from rollbook.llm.license import NOTICES
+from rollbook.llm.license import template_rows
 
 #: The text of both turns of conversation -1.
 PROBE = "</s>[INST] ok [/INST]"
@@ -12,9 +12,7 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-_TEMPLATES = ", ".join(
-    f"({_quoted(f'{name}/{i}')}, {_quoted(text)})" for name, texts in NOTICES.items() for i, text in enumerate(texts)
-)
+_TEMPLATES = ", ".join(f"({_quoted(name)}, {_quoted(text)})" for name, text in template_rows())
 _WORDS = (
     r"list_filter(string_split(regexp_replace(lower(coalesce(text, '')), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g'), ' '), "
     "lambda x: x <> '')"
@@ -56,16 +54,23 @@ ORACLE = {
         SELECT page_id, url, text, length(text) AS n_chars FROM c
     """,
     "op4_license_scan": f"""
-        WITH t AS (
+        WITH looked_for AS (
+            SELECT template_id, {_WORDS} AS w FROM (VALUES {_TEMPLATES}) AS v(template_id, text)
+        ), texts AS (
+            SELECT row_number() OVER () AS line, doc_id, {_WORDS} AS w FROM documents
+        ), t AS (
             SELECT template_id, unnest(s) AS shingle, len(s) AS shingles
-            FROM (SELECT template_id, {_RUNS} AS s FROM (
-                SELECT template_id, {_WORDS} AS w FROM (VALUES {_TEMPLATES}) AS v(template_id, text)))
+            FROM (SELECT template_id, {_RUNS} AS s FROM looked_for WHERE len(w) >= 5)
         ), d AS (
-            SELECT line, doc_id, unnest({_RUNS}) AS shingle
-            FROM (SELECT row_number() OVER () AS line, doc_id, {_WORDS} AS w FROM documents)
+            SELECT line, doc_id, unnest({_RUNS}) AS shingle FROM texts
         )
         SELECT any_value(doc_id) AS doc_id, template_id, count(*)::INT AS matched, any_value(shingles)::INT AS shingles
         FROM d JOIN t USING (shingle) GROUP BY line, template_id HAVING count(*) >= 0.8 * any_value(shingles)
+        UNION ALL
+        SELECT doc_id, template_id, 1, 1
+        FROM (SELECT doc_id, len(w) AS n, array_to_string(w, ' ') AS doc FROM texts)
+        JOIN (SELECT template_id, array_to_string(w, ' ') AS brief FROM looked_for WHERE len(w) BETWEEN 1 AND 4)
+          ON CASE WHEN n >= 5 THEN contains(' ' || doc || ' ', ' ' || brief || ' ') ELSE doc = brief END
     """,
     "op6_exact_dedup": r"""
         WITH d AS (

@@ -2,7 +2,8 @@
 
 1. Words are runs of letters, digits or marks, and line ends. Each has a place in a table
    of ``PLACES`` rows by its shape (lower case, capitalised, upper case, digits, marks, a
-   word just said again) and its hash.
+   word just said again) and its hash. The commoner words have a place almost to themselves;
+   the table's size bounds what tasks hold and send, whatever the number of words.
 2. Each place has a fixed sparse random index vector. The vector of a place is the sum of
    the index vectors of the words within ``REACH`` of it in all documents: integer sums, so
    the grouped sum is the same in any order.
@@ -34,8 +35,12 @@ TRAIN_ROWS = 20_000
 WIDTH, REACH, HIDDEN, EPOCHS = 32, 2, 32, 40
 
 #: First place and number of places of each shape.
-LOWER, CAPITAL, UPPER, MARKS, DIGITS, LINE, AGAIN = (0, 1024), (1024, 256), (1280, 256), (1536, 240), (1776, 14), (1790, 1), (1791, 1)
-PLACES = 1792
+_SIZES = (1 << 16, 1 << 13, 1 << 11, 1 << 10, 14, 1, 1)
+_FIRST = [sum(_SIZES[:i]) for i in range(len(_SIZES))]
+LOWER, CAPITAL, UPPER, MARKS, DIGITS, LINE, AGAIN = zip(_FIRST, _SIZES)
+PLACES = sum(_SIZES)
+#: Words whose neighbours are summed together.
+TOGETHER = 1 << 20
 
 _SPACE, _LETTER, _DIGIT, _MARK, _FEED = range(5)
 _KIND = np.full(256, _MARK, dtype=np.uint8)
@@ -51,8 +56,8 @@ def index_vectors() -> np.ndarray:
     """Sparse ternary vectors: four entries of +1 or -1 per place."""
     draw = np.random.default_rng(20240501)
     out = np.zeros((PLACES, WIDTH), dtype=np.int64)
-    for row in out:
-        row[draw.choice(WIDTH, 4, replace=False)] = draw.choice((-1, 1), 4)
+    chosen = np.argsort(draw.random((PLACES, WIDTH)), axis=1)[:, :4]
+    np.put_along_axis(out, chosen, draw.choice((-1, 1), (PLACES, 4)), axis=1)
     return out
 
 
@@ -95,14 +100,15 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for text in texts(batch["text"]):
             held += [places(text), np.full(REACH, -1)]  # no word reaches into the next text
             size += len(held[-2])
-            if size >= 200_000:
+            if size >= TOGETHER:
                 _add(total, np.concatenate(held), column, sign)
                 held, size = [], 0
         if held:
             _add(total, np.concatenate(held), column, sign)
     sums = total.astype(np.int64).reshape(PLACES, WIDTH)
+    some = np.flatnonzero(sums.any(axis=1))
     yield pa.RecordBatch.from_arrays(
-        [pa.array(np.arange(PLACES), pa.int32()), *(pa.array(sums[:, i]) for i in range(WIDTH))],
+        [pa.array(some, pa.int32()), *(pa.array(sums[some, i]) for i in range(WIDTH))],
         ["place", *(f"v{i}" for i in range(WIDTH))],
     )
 
@@ -121,20 +127,21 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
     names = [f"v{i}" for i in range(WIDTH)]
     schema = "place int, " + ", ".join(f"{n} bigint" for n in names)
     parts = docs.select("text").mapInArrow(_neighbours, schema)
-    sums = parts.groupBy("place").agg(*(F.sum(n).alias(n) for n in names)).collect()  # PLACES rows
+    sums = parts.groupBy("place").agg(*(F.sum(n).alias(n) for n in names)).toArrow()  # at most PLACES rows
     out = np.zeros((PLACES, WIDTH))
-    for row in sums:
-        out[row["place"]] = row[1:]
+    at = sums["place"].to_numpy()
+    for i, name in enumerate(names):
+        out[at, i] = sums[name].to_numpy()
     return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
 
 
-def pooled(text: str, vectors: np.ndarray, squares: np.ndarray) -> np.ndarray:
+def pooled(text: str, vectors: np.ndarray) -> np.ndarray:
+    """Mean and standard deviation of the vectors of a text's words."""
     ids = places(text)
     if not len(ids):
         return np.zeros(2 * WIDTH)
-    share = np.bincount(ids, minlength=PLACES) / len(ids)
-    mean = share @ vectors
-    return np.concatenate((mean, np.sqrt(np.maximum(share @ squares - mean * mean, 0))))
+    held = vectors[ids]
+    return np.concatenate((held.mean(axis=0), held.std(axis=0)))
 
 
 @dataclass
@@ -157,11 +164,9 @@ class Model:
 
 
 def _features(vectors: np.ndarray):
-    squares = vectors * vectors
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [pooled(t, vectors, squares) for t in texts(batch["text"])]
+            rows = [pooled(t, vectors) for t in texts(batch["text"])]
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"], batch["label"], pa.array(rows, pa.list_(pa.float64()))], ["doc_id", "label", "x"]
             )
@@ -228,11 +233,9 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """``doc_id`` and ``score`` of each row."""
-    squares = model.vectors * model.vectors
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [pooled(t, model.vectors, squares) for t in texts(batch["text"])]
+            rows = [pooled(t, model.vectors) for t in texts(batch["text"])]
             x = np.array(rows).reshape(len(rows), 2 * WIDTH)
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(model.scores(x))], ["doc_id", "score"])
 

@@ -35,6 +35,12 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify_documents(table(spark, sf_dir, "documents"))
 
 
+def op3_page_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages too: there the markup declares, and addresses have suffixes and nested hosts."""
+    text = F.regexp_replace("html", r"(?is)<(script|style)\b.*?</\1\s*>|<[^>]*>", " ")
+    return language.identify_pages(table(spark, sf_dir, "pages"), text).withColumnRenamed("doc_id", "page_id")
+
+
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license.scan(table(spark, sf_dir, "documents"), license.default_templates(spark))
 
@@ -56,8 +62,10 @@ def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents after the benchmark's texts: what both hold is counted once."""
     cache = fresh_dir(spark, "token-cache")
     model = public_tokenizers.path("piece_bpe_32k.model")
+    tokens.count_tokens(table(spark, sf_dir, "benchmark"), model, cache, limit=4096, id_col="item_id")
     return tokens.count_tokens(table(spark, sf_dir, "documents"), model, cache, limit=4096)
 
 
@@ -120,6 +128,7 @@ QUERIES = {
     "op1_quality": op1_quality,
     "op2_main_text": op2_main_text,
     "op3_language": op3_language,
+    "op3_page_language": op3_page_language,
     "op4_license_scan": op4_license_scan,
     "op5_pack": op5_pack,
     "op6_exact_dedup": op6_exact_dedup,

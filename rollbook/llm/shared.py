@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
 import itertools
 import sys
 import types
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,10 +39,32 @@ def land(df: DataFrame, label: str) -> DataFrame:
     computed once, and its size is known to whatever joins it."""
     spark = df.sparkSession
     path = fresh_dir(spark, f"llm-{label}")
+    if _SCRATCH:
+        _SCRATCH[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Tables landed since each open :func:`scratch`.
+_SCRATCH: list[list[str]] = []
+
+
+def emptied(spark: SparkSession, path: str) -> None:
+    """Frees the space of a landed table that nothing reads any more."""
+    spark.range(0).write.mode("overwrite").parquet(path)
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """What is landed inside is emptied at the end: whatever needs it has to be written by then."""
+    _SCRATCH.append([])
+    try:
+        yield
+    finally:
+        for path in _SCRATCH.pop():
+            emptied(spark, path)
+
+
 def aside(name: str) -> str:
     """A column name that no caller's column has."""
     return f"__{name}_{uuid.uuid4().hex[:8]}"

@@ -50,6 +50,29 @@ def test_word_hashes_follow_words():
 # --- quality -------------------------------------------------------------------------
 
 
+def test_word_vectors_and_pooling_equal_brute_force(documents):
+    texts = ["the cat saw the dog", "The DOG saw 12 cats!\n\nthe the end", None, "", "dog", "a b a b c d e f g " * 50]
+    vectors = quality.word_vectors(documents(list(enumerate(texts))).select("text"))
+    index, sums = quality.index_vectors(), {}
+    assert (np.abs(index).sum(axis=1) == 4).all() and ((index == 0) | (np.abs(index) == 1)).all()
+    for text in texts:
+        words = quality.places(text or "").tolist()
+        for i, word in enumerate(words):
+            for j in range(max(0, i - quality.REACH), min(len(words), i + quality.REACH + 1)):
+                if i != j:
+                    sums[word] = sums.get(word, np.zeros(quality.WIDTH)) + index[words[j]]
+    for word in range(quality.PLACES):
+        want = sums.get(word, np.zeros(quality.WIDTH))
+        assert np.allclose(vectors[word], want / max(np.linalg.norm(want), 1e-9))
+    words = quality.places(texts[1])
+    held = np.array([vectors[w] for w in words])
+    assert np.allclose(quality.pooled(texts[1], vectors), [*held.mean(0), *np.sqrt(((held - held.mean(0)) ** 2).mean(0))])
+    assert not quality.pooled("", vectors).any()
+    # Different words have different places.
+    common = "the of and to in is was for that with".split()
+    assert len({quality.places(w)[0] for w in common}) == len(common)
+
+
 def test_quality_edges(documents, frame, spark):
     docs = documents([(1, "good words stand here"), (2, "BAD!! BAD!! $$$"), (3, None), (4, ""), (None, "x"), (1, "good words stand here"), (5, LONG)])
     labels = frame([(1, 1), (1, 1), (2, 0), (None, 1), (4, None), (9, 1), (3, 7)], "doc_id long, quality int")

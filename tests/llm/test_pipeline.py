@@ -1,6 +1,7 @@
 """The pipeline's stages against what each should keep, on a small corpus."""
 
 import corpus_pipeline
+from rollbook.llm.shared import keyed, land, scratch
 
 
 def test_stages(spark, documents, frame, tmp_path):
@@ -51,3 +52,49 @@ def test_stages_judge_rows_not_ids(spark, documents, frame, tmp_path):
     assert len(near) == 1 and near[0][0] == 7
     want = [(i, clean[i]) for i in range(10)] + [(None, t) for t in clean[10:13]] + [(0, clean[13]), (None, text), *near]
     assert sorted(map(repr, got)) == sorted(map(repr, want))
+
+
+def test_stages_on_empty_tables_and_long_texts(spark, documents, frame, tmp_path):
+    frame([], "item_id long, text string").select("item_id", "text").write.parquet(f"{tmp_path}/benchmark.parquet")
+    columns = ["doc_id", "text", "lang", "source"]
+    docs = documents([]).select(*columns)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, str(tmp_path))
+        assert docs.columns == columns and docs.count() == 0
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).count() == 0
+
+    long = " ".join(f"the word{i} of the house by the sea" for i in range(30_000))
+    rows = [(i, f"the a{i} house b{i} of c{i} the king d{i} and e{i} the sea f{i}.", "en", "s") for i in range(8)]
+    rows += [(8, long, "en", "s"), (9, long + " end", "en", None), (10, long.upper(), None, "s"), (None, None, None, None)]
+    docs = documents(rows).select(*columns)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, str(tmp_path))
+    # Of the three long texts, which are near-duplicates, one stays.
+    assert {r["doc_id"] for r in docs.collect()} == {*range(8), 8}
+    pieces = corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).where("doc_id = 8").collect()
+    assert sum(r["length"] for r in pieces) == pieces[0]["doc_tokens"] > 200_000 and max(r["length"] for r in pieces) <= 1024
+
+
+def test_scratch_is_emptied(spark):
+    held = []
+    with scratch(spark):
+        held.append(land(spark.range(9), "test"))
+        assert held[0].count() == 9
+    (path,) = {f.rsplit("/", 1)[0] for f in held[0].inputFiles()}
+    assert spark.read.schema("id long").parquet(path).count() == 0
+    kept = land(spark.range(9), "test")
+    with scratch(spark):
+        pass
+    assert kept.count() == 9
+
+
+def test_rows_of_files_have_names_of_their_own(spark, tmp_path):
+    for i in range(3):
+        spark.range(50, numPartitions=4).selectExpr("id div 10 AS doc_id").write.mode("append").parquet(f"{tmp_path}/t")
+    for table in (spark.read.parquet(f"{tmp_path}/t"), spark.range(150).selectExpr("id div 10 AS doc_id")):
+        rows, key = keyed(table)
+        first, again = ({r[key]: r["doc_id"] for r in rows.collect()} for _ in range(2))
+        assert len(first) == 150 and first == again
+    # What does not come row by row from files is landed.
+    exploded, key = keyed(spark.read.parquet(f"{tmp_path}/t").selectExpr("explode(array(1, 2)) AS doc_id"))
+    assert len({r[key] for r in exploded.collect()}) == 300

@@ -42,7 +42,7 @@ def test_query_equals_its_sql(spark, duck, sf_dir, name):
 
 
 def test_operators():
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 14))
+    assert {int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES} == set(range(1, 14))
 
 
 def test_quality_on_held_out_rows(spark, duck):
@@ -69,6 +69,28 @@ def test_language_agrees_with_the_corpus(spark, duck, sf_dir):
     assert np.mean([r["kept"] for r in rows]) > 0.98
 
 
+def test_page_language_uses_what_pages_declare(spark, duck, sf_dir):
+    rows = {r["page_id"]: r for r in QUERIES["op3_page_language"](spark, sf_dir).collect()}
+    pages = duck.execute("SELECT page_id, regexp_extract(html, '<html lang=\"([a-z]+)\"', 1), url FROM pages").fetchall()
+    assert set(rows) == {p[0] for p in pages} and all(r["kept"] for r in rows.values())
+    assert np.mean([rows[i]["language"] == lang for i, lang, _ in pages if lang]) > 0.9
+
+
+def test_license_sql_on_bodies_headers_and_spdx_lines(spark, frame, tmp_path):
+    from rollbook.llm.license import template_rows
+
+    texts = [text for _, text in template_rows()]
+    rows = [(i, f"Some file. {text} More of it follows here.") for i, text in enumerate(texts)]
+    rows += [(1000 + i, text.replace(" the ", " any ", 1)) for i, text in enumerate(texts)] + [(2000, texts[-1]), (2001, None), (2002, "")]
+    frame(rows, "doc_id long, text string").select("doc_id", "text").write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    want = con.execute(f"SELECT doc_id, template_id, matched, shingles FROM ({ORACLE['op4_license_scan']})").fetchall()
+    got = [tuple(r) for r in QUERIES["op4_license_scan"](spark, str(tmp_path)).select("doc_id", "template_id", "matched", "shingles").collect()]
+    assert sorted(got) == sorted(want)
+    assert {i for i, *_ in got if i < 1000} == set(range(len(texts))) and len({t for _, t, *_ in got}) == len(texts)
+
+
 def test_packing_holds_each_token_once(spark, sf_dir, given):
     bpe = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     rows = QUERIES["op5_pack"](spark, sf_dir).collect()
