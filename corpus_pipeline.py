@@ -1,8 +1,14 @@
 """The corpus pipeline: documents through five operators, each stage written and read again.
 
-Each stage takes what its predecessor kept. The first four return the columns of documents;
-the last returns packed pieces. Each row is judged for itself: a stage gives its rows keys of
-their own, so rows without id, or with the same id, do not share a fate.
+Each stage takes what its predecessor kept. The first four return the columns of documents,
+extra ones included; the last returns packed pieces. Each row is judged for itself: a stage
+gives its rows keys of their own, so rows without id, or with the same id, do not share a fate.
+
+Nulls, empties, long texts: a null text is the empty one. Texts without letters have no
+language and go with the first stage; given to a later stage, the empty ones are copies of
+each other, near-duplicates and leaks of nothing, and one end token in a sequence. A text is
+one row, of any length, and is judged whole. An empty table gives an empty table at every
+stage, and without a benchmark nothing leaks. A null language or source is no evidence.
 """
 
 from __future__ import annotations
@@ -11,7 +17,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rollbook.llm import decontaminate, exact, language, near, packing
-from rollbook.llm.shared import aside, keyed, land, table, without
+from rollbook.llm.shared import aside, emptied, keyed, land, scratch, table, without
+from rollbook.session import fresh_dir
 
 #: SQL can express neither the language model nor the packing.
 ORACLE_SQL = None
@@ -56,6 +63,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of sequences of at most 1024 tokens; each token lies in one of them."""
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
@@ -69,7 +77,13 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = land(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")
+        out = fresh_dir(spark, f"stage-{name.replace(' ', '-')}")
+        with scratch(spark):
+            stage(spark, docs, sf_dir).write.parquet(out)
+        docs = spark.read.schema(docs.schema).parquet(out)
+        if before is not None:
+            emptied(spark, before)
+        before = out
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -171,6 +171,9 @@ ORACLE: dict[str, str] = {
     "page_rows": f"""
       WITH {NAV_ITEMS}
       SELECT page_id, CAST(pos - 1 AS INTEGER) AS row_no, text FROM items WHERE pos >= 1""",
+    "lateral_rows": f"""
+      WITH {NAV_ITEMS}
+      SELECT page_id, CAST(pos - 1 AS INTEGER) AS row_no, text FROM items WHERE pos >= 1""",
     "page_attr": f"""
       WITH {NAV}
       SELECT page_id, hrefs[1] AS href0, hrefs[2] AS href1, hrefs[3] AS href2, hrefs[4] AS href3

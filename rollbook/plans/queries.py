@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rollbook.functions import scalars as fx
 from rollbook.operators import extract, ingest, outcomes, replay, serve, sweep
+from rollbook.operators.table_function import register_listing_rows
 from rollbook.plans import standins as given
 from rollbook.plans import stream_runs
 from rollbook.plans.tables import harvested, listing_pool, stacked, text_ts
@@ -78,6 +79,16 @@ def page_rows(spark, sf_dir):
     return rows.select("page_id", "row_no", F.col("c")[0].alias("text"))
 
 
+@query
+def lateral_rows(spark, sf_dir):
+    """The same through the table function, with the layout given by name."""
+    register_listing_rows(spark, {"nav": given.NAV_ROWS})
+    return spark.sql(
+        "SELECT page_id, row_no, cells[0] AS text FROM {pages}, LATERAL listing_rows(html, 'nav') WHERE error IS NULL",
+        pages=given.pages(spark, sf_dir),
+    )
+
+
 @query
 def page_attr(spark, sf_dir):
     rows = _nav(spark, sf_dir, given.NAV_LINKS).select("page_id", F.explode("cells").alias("c"))

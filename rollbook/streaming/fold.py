@@ -62,4 +62,4 @@ def now_stream(
         Ledger(spark, root).add(changed.select("url", "last.*"), "now", number)
 
     writer = last.writeStream.outputMode("update").foreachBatch(each)
-    return started(spark, writer, f"{root}/_now", pause)
+    return started(spark, writer, f"{root}/_now", pause, [f"{root}/now"])

@@ -26,10 +26,11 @@ def started(
 ) -> StreamingQuery:
     """Without ``pause``, take what is there and stop. ``tables`` are what the stream writes,
     numbered by its batches: without the checkpoint that numbered them it is not started, as
-    it would count from 0 again and overwrite them."""
-    lost = [t for t in tables if has_batches(spark, t)]
-    if lost and not exists(spark, f"{checkpoint}/metadata"):
-        raise RuntimeError(f"{lost[0]} has batches of a stream whose checkpoint {checkpoint} is gone")
+    it would count from 0 again, and overwrite them or take its new ones for written."""
+    if not exists(spark, f"{checkpoint}/metadata"):
+        for table in tables:
+            if has_batches(spark, table) or exists(spark, f"{table}/_spark_metadata"):
+                raise RuntimeError(f"{table} has batches of a stream whose checkpoint {checkpoint} is gone")
     trigger = {"processingTime": pause} if pause else {"availableNow": True}
     return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
 

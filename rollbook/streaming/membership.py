@@ -106,7 +106,7 @@ def ledger_stream(
     try:
         admitted = admitted_events(landed_files(spark, landed, schema, files_per_batch), keys, width)
         writer = admitted.writeStream.outputMode("append").format("parquet").option("path", f"{root}/admissions")
-        return started(spark, writer, f"{root}/_ledger", pause)
+        return started(spark, writer, f"{root}/_ledger", pause, [f"{root}/admissions"])
     finally:
         spark.conf.unset(STORE) if held is None else spark.conf.set(STORE, held)
 

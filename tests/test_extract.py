@@ -94,3 +94,23 @@ def test_site_config():
     assert {s.name: len(s.kinds) * (s.last_page - s.first_page + 1) for s in SITES} == {
         "xici": 12, "cloud": 24, "kuaidaili": 6
     }
+
+
+def test_a_layout_of_ones_own_in_sql(spark):
+    from rollbook.operators.table_function import register_listing_rows
+    from rollbook.sources.sites import Cell, Layout
+
+    mine = Layout(fields=(("name", Cell(0)), ("link", Cell(1, attr="href", child="a"))), container_id="t", row="p", cell="span", skip=0)
+    register_listing_rows(spark, {"mine": mine})
+    pages = [
+        (1, "mine", "<div id=t><p><span>one</span><span><a href=/1>x</a></span></p><p><span>two</span><span><a href=/2>y</a></span></p></div>"),
+        (2, "mine", "<div id=t><p><span>one</p></div>"), (3, "none", "<p>"), (4, "mine", None), (5, "xici", wide_page(wide_row("192.0.2.1", "80"))),
+    ]
+    df = spark.createDataFrame(pages, "id int, site string, html string")
+    rows = spark.sql("SELECT id, r.* FROM {pages}, LATERAL listing_rows(html, site) r", pages=df).collect()
+    got = {}
+    for r in rows:
+        got.setdefault(r.id, []).append((r.row_no, r.cells[:2] if r.cells else None, r.error))
+    assert got[1] == [(0, ["one", "/1"], None), (1, ["two", "/2"], None)]
+    assert got[2][0][:2] == (None, None) and got[3] == [(None, None, "no layout for this site")]
+    assert got[4] == [(None, None, "no response text")] and got[5] == [(0, ["192.0.2.1", "80"], None)]

@@ -7,7 +7,7 @@ from rollbook.plans.queries import QUERIES
 BATCH = sorted(n for n in QUERIES if not n.startswith("stream_"))
 PARSING = {
     "page_rows", "page_attr", "page_cells", "page_atomic", "page_profile", "page_envelope",
-    "page_error_log", "listing_profile", "raw_page_rows", "raw_page_errors",
+    "page_error_log", "listing_profile", "raw_page_rows", "raw_page_errors", "lateral_rows",
 }
 
 

@@ -181,6 +181,20 @@ def test_a_lost_checkpoint_is_refused(spark, root):
         harvest.harvest_stream(spark, f"{root}/landed", root, pause=None)
 
 
+def test_streams_with_state_need_their_checkpoints(spark, root):
+    log = frame(spark, random_log(2, 10))
+    land(log, f"{root}/events")
+    membership.ledger_stream(spark, f"{root}/events", root, log.schema, ["ip", "port"]).awaitTermination()
+    land(spark.createDataFrame([dead_outcome("192.0.2.1", "80", 2, 1)], OUTCOME), f"{root}/outcomes")
+    fold.now_stream(spark, f"{root}/outcomes", root, pause=None).awaitTermination()
+    Path(root, "_ledger").rename(f"{root}/_lost")
+    with pytest.raises(RuntimeError, match="checkpoint"):
+        membership.ledger_stream(spark, f"{root}/events", root, log.schema, ["ip", "port"])
+    Path(root, "_now").rename(f"{root}/_lost_too")
+    with pytest.raises(RuntimeError, match="checkpoint"):
+        fold.now_stream(spark, f"{root}/outcomes", root, pause=None)
+
+
 def test_a_clock_sweeps(spark, root):
     ledger = Ledger(spark, root)
     harvested(spark, root, 0, page("xici", 1, wide_page(wide_row("192.0.2.1", "80"))))
