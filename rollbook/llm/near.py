@@ -54,7 +54,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from rollbook.llm.shared import WHITE, land, shingle_hashes, texts, word_hashes
+from rollbook.llm.shared import WHITE, land, shingle_hashes, texts, tidy, word_hashes
 
 SKETCH, SMALL = 48, 16
 
@@ -174,7 +174,7 @@ def _confirmed(pairs: DataFrame, held: DataFrame, shingle: int, threshold: int)
     pairs = pairs.join(held.select(F.col("rep").alias("a"), F.col("text").alias("ta")), "a")
     pairs = pairs.join(held.select(F.col("rep").alias("b"), F.col("text").alias("tb")), "b")
     return pairs.select("a", "b", "ta", "tb").mapInArrow(
-        _confirmer(shingle, threshold), "a bigint, b bigint, linked boolean"
+        tidy(_confirmer(shingle, threshold)), "a bigint, b bigint, linked boolean"
     )
 
 
@@ -265,7 +265,7 @@ def _around_centres(each: DataFrame, members: DataFrame, shingle: int, threshold
     centre = held.join(size, "group").where(2 * F.col("df") > F.col("size"))
     centre = land(centre.groupBy("group").agg(F.collect_list("value").alias("centre")), "centres")
     differ = members.join(centre, "group").select("group", "rep", "root", "centre", "text").mapInArrow(
-        _differences(shingle), "group bigint, rep bigint, root bigint, n bigint, differ array<bigint>"
+        tidy(_differences(shingle)), "group bigint, rep bigint, root bigint, n bigint, differ array<bigint>"
     )
     slack = (100 + threshold) * F.size("differ") - (100 - threshold) * F.col("n")
     return land(differ.where(2 * F.size("differ") <= F.col("n")).withColumn("slack", slack.cast("long")), "around-centres")
@@ -370,7 +370,7 @@ def near_groups(
     least = least_overlap(threshold)
     read = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     rows = land(
-        read.mapInArrow(_sketcher(shingle), "doc_id bigint, n bigint, digest binary, sketch array<bigint>"), "sketches"
+        read.mapInArrow(tidy(_sketcher(shingle)), "doc_id bigint, n bigint, digest binary, sketch array<bigint>"), "sketches"
     )
     found = rows.where("n > 0").groupBy("digest").agg(
         F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch")
@@ -410,7 +410,7 @@ def near_groups(
     if not alike.isEmpty():
         members = alike.select("rep", "root").distinct().join(_grouped(alike), "rep").join(held, "rep")
         members = land(members.select("group", "rep", "root", "text"), "members")
-        each = land(members.mapInArrow(_sets(shingle), "group bigint, rep bigint, root bigint, n bigint, value bigint"), "sets")
+        each = land(members.mapInArrow(tidy(_sets(shingle)), "group bigint, rep bigint, root bigint, n bigint, value bigint"), "sets")
         near = _around_centres(each, members, shingle, threshold)
         linked = land(_linked_by_size(near), "linked")
         if not linked.isEmpty():

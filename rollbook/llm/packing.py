@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from rollbook.llm.shared import texts
+from rollbook.llm.shared import texts, tidy
 from rollbook.llm.tokenizers_of import byte_bpe
 
 #: Tokens that a stretch holds before it ends with the next document.
@@ -133,7 +133,6 @@ def _packer(tokenizer: str, end_id: int, window: int):
                     parts, doc_ids, held, number = [], [], 0, number + n
         if parts:
             yield _pieces(parts, doc_ids, sentence_end, window, number)[0]
-        pa.default_memory_pool().release_unused()
 
     return run
 
@@ -150,4 +149,4 @@ def pack(
     read = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text")
     ).sortWithinPartitions("doc_id", "text")
-    return read.mapInArrow(_packer(tokenizer, end_id, window), SCHEMA)
+    return read.mapInArrow(tidy(_packer(tokenizer, end_id, window)), SCHEMA)

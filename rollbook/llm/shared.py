@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import ctypes
 import itertools
 import sys
 import types
@@ -30,6 +31,25 @@ def per_worker(key: tuple, make: Callable):
     return held[key]
 
 
+def _trim() -> Callable:
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (AttributeError, OSError):  # another C library
+        return lambda _: 0
+
+
+def tidy(run: Callable) -> Callable:
+    """``run``, giving unused memory back to the system when a task ends: workers outlive
+    tasks, and those of earlier stages share an executor with those of later ones."""
+
+    def wrapped(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        per_worker(("malloc_trim",), _trim)(0)
+
+    return wrapped
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -17,8 +17,8 @@ import numpy as np
 
 from rollbook.llm.shared import per_worker
 
-#: Words of a generation, and the longest word worth remembering: at most about 80 MB a memo.
-MEMO_WORDS, MEMO_CHARS = 200_000, 48
+#: Words of a generation, and the longest word worth remembering: at most about 50 MB a memo.
+MEMO_WORDS, MEMO_CHARS = 120_000, 48
 #: Places in which a memo marks the words it has met once.
 MARKS = 1 << 21
 #: Marks that may follow a word without changing how its letters are cut off.
