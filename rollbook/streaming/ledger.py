@@ -52,8 +52,10 @@ def among(table: DataFrame, batch: DataFrame) -> DataFrame:
     words = [0] * (BITS // 64)
     for bit in bits:
         words[bit // 64] |= 1 << (bit % 64)
-    signed = ", ".join(f"{w - (1 << 64) if w >> 63 else w}" for w in words)
-    mask = F.from_json(F.lit(f"[{signed}]"), "array<bigint>")
+    # Sixty-four bits a number, as a signed one; the array is one literal of the plan.
+    half = 1 << 62
+    signed = (f"({w % (2 * half)}L - {half}L - {half}L)" if w >> 63 else f"{w}L" for w in words)
+    mask = F.expr(f"array({', '.join(signed)})")
     here = F.bit_get(F.element_at(mask, (F.floor(key_bit() / 64) + 1).cast("int")), (key_bit() % 64).cast("int"))
     slots = sorted({bit // (BITS // SLOTS) for bit in bits})
     return table.where(F.col(SLOT).isin(slots) & (here == 1))

@@ -124,6 +124,14 @@ def test_rounds_tell_what_the_accounts_tell(spark, root):
     assert sum(r[3] for r in rounds.values()) == ledger.crawdetail().agg(F.sum("addcount")).first()[0]
 
 
+def test_a_file_without_pages_is_a_round(spark, root):
+    land(spark.createDataFrame([], PAGES), f"{root}/landed")
+    harvest.harvest_stream(spark, f"{root}/landed", root, as_of=stamp(0), pause=None).awaitTermination()
+    harvested(spark, root, 1, page("xici", 1, wide_page(wide_row("192.0.2.1", "80"))))
+    ledger = Ledger(spark, root)
+    assert keys(ledger.pool()) == [("192.0.2.1", "80")] and ledger.rounds().agg(F.sum("pages")).first()[0] == 1
+
+
 def test_a_round_that_is_not_recorded_is_not_in_the_pool(spark, root):
     ledger = Ledger(spark, root)
     harvested(spark, root, 0, page("xici", 1, wide_page(wide_row("192.0.2.1", "80"))))
