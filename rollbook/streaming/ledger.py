@@ -45,9 +45,9 @@ def slotted(rows: DataFrame) -> DataFrame:
     return rows.withColumn(SLOT, F.floor(key_bit() / (BITS // SLOTS)))
 
 
-def among(table: DataFrame, batch: DataFrame) -> DataFrame:
-    """The rows of a slotted ``table`` that may have a key of ``batch``: others that share a
-    bit with one stay in."""
+def near_keys(batch: DataFrame) -> Column:
+    """For a slotted table: whether a row may have a key of ``batch``. Others that share a bit
+    with one pass too."""
     bits = {row[0] for row in batch.select(key_bit().alias("bit")).distinct().collect()}  # at most BITS
     words = [0] * (BITS // 64)
     for bit in bits:
@@ -58,12 +58,7 @@ def among(table: DataFrame, batch: DataFrame) -> DataFrame:
     mask = F.expr(f"array({', '.join(signed)})")
     here = F.bit_get(F.element_at(mask, (F.floor(key_bit() / 64) + 1).cast("int")), (key_bit() % 64).cast("int"))
     slots = sorted({bit // (BITS // SLOTS) for bit in bits})
-    return table.where(F.col(SLOT).isin(slots) & (here == 1))
-
-
-def narrow(table: DataFrame, batch: DataFrame) -> DataFrame:
-    """The rows of a slotted ``table`` with a key of ``batch``."""
-    return keyed_join(among(table, batch), batch.select(*KEYS).distinct(), KEYS, "left_semi")
+    return F.col(SLOT).isin(slots) & (here == 1)
 
 
 def living(rows: DataFrame, deaths: DataFrame) -> DataFrame:
@@ -122,8 +117,11 @@ class Ledger:
 
     def known(self, rows: DataFrame, before: int) -> DataFrame:
         """The keys of ``rows`` that the pool holds by batches below ``before``."""
-        pool = self._read("pool", POOL, SLOT).where(F.col(BATCH) < before).select(*KEYS, SLOT, BATCH)
-        return living(narrow(pool, rows), narrow(self._deaths(), rows)).select(*KEYS)
+        near, keys = near_keys(rows), rows.select(*KEYS).distinct()
+        pool = self._read("pool", POOL, SLOT).where((F.col(BATCH) < before) & near).select(*KEYS, BATCH)
+        deaths = self._deaths().where(near)
+        held, dead = (keyed_join(table, keys, KEYS, "left_semi") for table in (pool, deaths))
+        return living(held, dead).select(*KEYS)
 
     def _raised(self, rows: DataFrame, sweep: int) -> DataFrame:
         """K4: an eligible row's counter is what it came with plus the sweeps that saw it,

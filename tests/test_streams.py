@@ -145,7 +145,7 @@ def test_lookups_read_slots_and_bits_of_the_batch(spark, root):
     ledger = Ledger(spark, root)
     ledger.seed(rows, "pool")
     some = rows.where("ip IN ('17', '18')")
-    lookup = views.among(ledger._read("pool", views.POOL, views.SLOT).select("ip", "port", "slot"), some)
+    lookup = ledger._read("pool", views.POOL, views.SLOT).where(views.near_keys(some)).select("ip", "port", "slot")
     text = lookup._jdf.queryExecution().executedPlan().toString()
     slots = {r[0] for r in views.slotted(some).select("slot").collect()}
     pruned = text.split("PartitionFilters: [")[1].split("]")[0]
