@@ -7,7 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from rollbook.operators.outcomes import dead_keys, dead_records, outcomes_by_url
 from rollbook.schemas import OUTCOME
-from rollbook.streaming.follow import follow, landed_files, started
+from rollbook.streaming.follow import follow, landed_files, started, state_on_disk
 from rollbook.streaming.ledger import Ledger
 
 # Fixed value: pause between two rounds of outcomes.
@@ -62,4 +62,5 @@ def now_stream(
         Ledger(spark, root).add(changed.select("url", "last.*"), "now", number)
 
     writer = last.writeStream.outputMode("update").foreachBatch(each)
-    return started(spark, writer, f"{root}/_now", pause, [f"{root}/now"])
+    with state_on_disk(spark):
+        return started(spark, writer, f"{root}/_now", pause, [f"{root}/now"])

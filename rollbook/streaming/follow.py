@@ -2,13 +2,29 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import contextlib
+from collections.abc import Callable, Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from rollbook.streaming.tables import exists, has_batches
 
+STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+@contextlib.contextmanager
+def state_on_disk(spark: SparkSession) -> Iterator[None]:
+    """A stream started inside keeps its state in RocksDB, beyond the executors' heap: a query
+    takes the session's settings with it when it starts."""
+    held = spark.conf.get(STORE, None)
+    spark.conf.set(STORE, ROCKSDB)
+    try:
+        yield
+    finally:
+        spark.conf.unset(STORE) if held is None else spark.conf.set(STORE, held)
+
 
 def landed_files(
     spark: SparkSession, landed: str, schema: T.StructType, files_per_batch: int | None = None

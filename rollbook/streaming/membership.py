@@ -21,13 +21,11 @@ from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from rollbook.operators.replay import SLICE_WIDTH
-from rollbook.streaming.follow import landed_files, started
+from rollbook.streaming.follow import landed_files, started, state_on_disk
 
 # What runs in tasks travels with its code: executors need not have the package.
 cloudpickle.register_pickle_by_value(rollbook)
 
-STORE = "spark.sql.streaming.stateStore.providerClass"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 #: Columns between the processors: the slice, the lane, and for a slice's first event
 #: whether its last one is a death, and that one's number.
 _SLICE, _LANE, _ENDS_DEAD, _ENDS = "_slice", "_lane", "_ends_dead", "_ends"
@@ -101,14 +99,10 @@ def ledger_stream(
 ) -> StreamingQuery:
     """Events need ``keys``, ``seq`` (arrival number) and ``dead``. Admissions go to a file sink,
     which has each batch once."""
-    held = spark.conf.get(STORE, None)
-    spark.conf.set(STORE, ROCKSDB)  # a query takes its settings with it when it starts
-    try:
+    with state_on_disk(spark):
         admitted = admitted_events(landed_files(spark, landed, schema, files_per_batch), keys, width)
         writer = admitted.writeStream.outputMode("append").format("parquet").option("path", f"{root}/admissions")
         return started(spark, writer, f"{root}/_ledger", pause, [f"{root}/admissions"])
-    finally:
-        spark.conf.unset(STORE) if held is None else spark.conf.set(STORE, held)
 
 
 def read_admissions(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
