@@ -245,13 +245,18 @@ def _differences(shingle: int):
 
 
 def _grouped(long: DataFrame) -> DataFrame:
-    """``rep``, ``group``: classes with the ones of their longest list. ``long``: ``value``, ``rep``."""
+    """``rep``, ``group``: classes with the ones of their longest list. A list is named by its
+    smallest class, which may be in a longer list itself: its name counts then, in two steps.
+    ``long``: ``value``, ``rep``."""
     each = long.select("value", "rep").distinct()
     lists = each.groupBy("value").agg(F.count("*").alias("m"), F.min("rep").alias("hub"))
     longest = each.join(lists, "value").groupBy("rep").agg(F.max(F.struct("m", "value", "hub")).alias("best"))
     hubs = land(longest.select("rep", F.col("best.hub").alias("hub")), "hubs")
-    found = components(hubs.select(F.col("rep").alias("a"), F.col("hub").alias("b")))
-    return _rooted(hubs.select("rep"), found, "rep", "group")
+    above = hubs.select(F.col("rep").alias("hub"), F.col("hub").alias("next"))
+    group = hubs
+    for _ in range(2):
+        group = group.join(above, "hub").select("rep", F.col("next").alias("hub"))
+    return group.withColumnRenamed("hub", "group")
 
 
 def _around_centres(each: DataFrame, members: DataFrame, shingle: int, threshold: int) -> DataFrame:
@@ -275,7 +280,7 @@ def _linked_by_size(near: DataFrame) -> DataFrame:
     """Links that the sizes of differences decide: of each group, to its member of least slack."""
     best = near.groupBy("group").agg(F.min(F.struct("slack", "rep")).alias("best"))
     both = near.join(best, "group").where((F.col("slack") + F.col("best.slack") <= 0) & (F.col("rep") != F.col("best.rep")))
-    return both.select(F.least("rep", "best.rep").alias("a"), F.greatest("rep", "best.rep").alias("b")).distinct()
+    return both.select(F.least("rep", "best.rep").alias("a"), F.greatest("rep", "best.rep").alias("b"))
 
 
 def _by_differences(near: DataFrame, roots: DataFrame, threshold: int) -> DataFrame:
@@ -301,7 +306,7 @@ def _by_differences(near: DataFrame, roots: DataFrame, threshold: int) -> DataFr
     other = lists.select("group", "value", F.col("rep").alias("r2"), F.col("root").alias("c2"), F.col("slack").alias("s2"), F.col("left").alias("l2"))
     room = twice * F.least("l1", "l2") >= F.col("s1") + F.col("s2")
     pairs = one.join(other, ["group", "value"]).where((F.col("c1") != F.col("c2")) & room)
-    return pairs.select(F.least("r1", "r2").alias("a"), F.greatest("r1", "r2").alias("b")).distinct()
+    return pairs.select(F.least("r1", "r2").alias("a"), F.greatest("r1", "r2").alias("b"))
 
 
 def _within_groups(each: DataFrame, near: DataFrame, threshold: int) -> DataFrame:
@@ -338,7 +343,7 @@ def _merged(roots: DataFrame, links: DataFrame) -> DataFrame:
     """The components once ``links`` (``a``, ``b``) are in: only the components that these connect
     are put together, each as its smallest id."""
     between = _rooted(_rooted(links, roots, "a", "ca"), roots, "b", "cb").where("ca != cb")
-    above = components(between.select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct())
+    above = components(between.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
     lifted = _rooted(roots.withColumnRenamed("root", "below"), above, "below", "root").select("u", "root")
     return land(lifted.unionByName(above), "roots")
 
@@ -349,6 +354,8 @@ def _settle(pairs: DataFrame, roots: DataFrame, held: DataFrame, shingle: int, t
     for first in (True, False):
         between = _rooted(_rooted(pairs, roots, "a", "ca"), roots, "b", "cb").where("ca != cb")
         pairs = land(between.select("a", "b", "estimate"), "between")
+        if pairs.isEmpty():
+            break
         now = pairs
         if first:
             best = F.max(F.struct("estimate", (-F.col("a")).alias("a"))).alias("best")
