@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from rollbook.llm.shared import alnum_hashes, keyed, mixed, texts, without
+from rollbook.llm.shared import alnum_hashes, keyed, mixed, texts, tidy, without
 
 #: 1: the word counts, 0: it may be any.
 MASKS = ("1110100001001", "1111011", "100101111")
@@ -171,7 +171,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_W
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     out = None
     for probe in _blocks(benchmark.select("item_id", "text"), block_words):
-        found = read.mapInArrow(_searcher(probe), SCHEMA)
+        found = read.mapInArrow(tidy(_searcher(probe)), SCHEMA)
         out = found if out is None else out.unionByName(found)
     return spark.createDataFrame([], SCHEMA) if out is None else out
 

@@ -36,7 +36,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rollbook.llm.shared import land, texts
+from rollbook.llm.shared import land, texts, tidy
 
 PLACES, GRAMS = 1 << 13, 200
 MIN_DOCS, MIN_PROBABILITY = 5, 0.5
@@ -108,7 +108,7 @@ def fit(docs: DataFrame) -> tuple[list[str], np.ndarray]:
     codes = sorted(r["code"] for r in counts.where(F.col("count") >= MIN_DOCS).collect())
     seen = np.zeros((len(codes), PLACES), dtype=np.float32)
     if codes:
-        parts = docs.select("code", "text").mapInArrow(_counter(codes), "lang int, place int, n bigint")
+        parts = docs.select("code", "text").mapInArrow(tidy(_counter(codes)), "lang int, place int, n bigint")
         summed = parts.groupBy("lang", "place").agg(F.sum("n").alias("n"))
         # A row is a language: PLACES numbers at most.
         for r in summed.groupBy("lang").agg(F.collect_list(F.struct("place", "n")).alias("found")).toLocalIterator():
@@ -241,7 +241,7 @@ def identify(
         F.when(F.size(labels) > 1, F.element_at(labels, -1)).alias("ending"),
     )
     schema = "doc_id bigint, code string, suffix string, host string, domain string, ending string, grams bigint, ll array<double>"
-    scored = named.mapInArrow(_likelihoods(log), schema)
+    scored = named.mapInArrow(tidy(_likelihoods(log)), schema)
     # Ties go to the first; documents without letters have no vote.
     vote = F.when(F.col("grams") > 0, F.array_position("ll", F.array_max("ll")).cast("int") - 1)
     scored = land(scored.withColumn("vote", vote), "likelihoods")
@@ -261,7 +261,7 @@ def identify(
     out = "doc_id bigint, language string, probability double, text_language string, kept boolean"
     return fused.select(
         "doc_id", "code", "suffix", "grams", "ll", "vote", "ending_votes", "domain_votes", "host_votes"
-    ).mapInArrow(_fuser(codes, declared_is, suffix_is, overall), out)
+    ).mapInArrow(tidy(_fuser(codes, declared_is, suffix_is, overall)), out)
 
 
 def identify_documents(docs: DataFrame) -> DataFrame:

@@ -74,23 +74,19 @@ class ByteBpe:
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.library = Tokenizer.from_file(path)
-        whole = self.library.to_str()
         # Only for this kind of file is a space before a visible character a sure edge.
-        import json
-
-        settings = json.loads(whole)
-        pre = settings.get("pre_tokenizer") or {}
-        spaced = any(" " in x["content"] or x.get("lstrip") or x.get("rstrip") for x in settings["added_tokens"])
+        pre = self.library.pre_tokenizer
+        added = self.library.get_added_tokens_decoder().values()
+        spaced = any(" " in x.content or x.lstrip or x.rstrip for x in added)
         self.by_words = (
-            settings.get("normalizer") is None and pre.get("type") == "ByteLevel"
-            and not pre.get("add_prefix_space") and pre.get("use_regex", True) and not spaced
+            self.library.normalizer is None and isinstance(pre, ByteLevel)
+            and not pre.add_prefix_space and pre.use_regex and not spaced
         )
         self.model = self.library.model
         # The library's own printable stand-ins of the 256 bytes.
-        from tokenizers.pre_tokenizers import ByteLevel
-
         cut = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
         low = {i: cut(chr(i))[0][0] for i in range(128)}
         high = {i: cut(bytes([0xC2 + (i >= 0xC0), 0x80 | i & 0x3F]).decode())[0][0][1] for i in range(128, 192)}
