@@ -149,4 +149,4 @@ def pack(
     read = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text")
     ).sortWithinPartitions("doc_id", "text")
-    return read.mapInArrow(tidy(_packer(tokenizer, end_id, window)), SCHEMA)
+    return read.mapInArrow(tidy(_packer(tokenizer, end_id, window), keeps="byte bpe"), SCHEMA)

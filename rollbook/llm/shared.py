@@ -23,9 +23,17 @@ from rollbook.session import fresh_dir
 cloudpickle.register_pickle_by_value(rollbook)
 
 
+#: What a worker holds for one operator only, and gives up for another: by the key's first part.
+LARGE = frozenset({"byte bpe", "counter"})
+
+
+def _held() -> dict:
+    return sys.modules.setdefault("rollbook_worker_state", types.ModuleType("rollbook_worker_state")).__dict__
+
+
 def per_worker(key: tuple, make: Callable):
     """``make()``, once per Python worker and key; workers outlive tasks."""
-    held = sys.modules.setdefault("rollbook_worker_state", types.ModuleType("rollbook_worker_state")).__dict__
+    held = _held()
     if key not in held:
         held[key] = make()
     return held[key]
@@ -38,11 +46,15 @@ def _trim() -> Callable:
         return lambda _: 0
 
 
-def tidy(run: Callable) -> Callable:
-    """``run``, giving unused memory back to the system when a task ends: workers outlive
-    tasks, and those of earlier stages share an executor with those of later ones."""
+def tidy(run: Callable, keeps: str | None = None) -> Callable:
+    """``run``, without what other operators left in the worker (but ``keeps``), giving unused
+    memory back to the system when a task ends: workers outlive tasks, and those of earlier
+    stages share an executor with those of later ones."""
 
     def wrapped(batches):
+        held = _held()
+        for key in [k for k in held if isinstance(k, tuple) and k[0] in LARGE and k[0] != keeps]:
+            del held[key]
         yield from run(batches)
         pa.default_memory_pool().release_unused()
         per_worker(("malloc_trim",), _trim)(0)

@@ -60,7 +60,7 @@ def count_tokens(
     # Of equal contents one text per map task travels, so a hot content does not gather.
     contents = read.groupBy("digest").agg(F.first("text").alias("text"))
     misses = contents if known is None else contents.join(known, "digest", "left_anti")
-    counted = misses.mapInArrow(tidy(_encoder(tokenizer)), "digest binary, n_tokens bigint")
+    counted = misses.mapInArrow(tidy(_encoder(tokenizer), keeps="counter"), "digest binary, n_tokens bigint")
     counted.select("digest", F.lit(version).alias("tokenizer"), "n_tokens").write.mode("append").parquet(cache)
 
     return keyed.join(stored_counts(spark, cache, version), "digest").select(
