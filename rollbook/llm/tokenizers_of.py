@@ -17,8 +17,8 @@ import numpy as np
 
 from rollbook.llm.shared import per_worker
 
-#: Words of a generation, and the longest word worth remembering: at most about 50 MB a memo.
-MEMO_WORDS, MEMO_CHARS = 120_000, 48
+#: Words of a generation, and the longest word worth remembering: at most about 60 MB a memo.
+MEMO_WORDS, MEMO_CHARS = 150_000, 48
 #: Places in which a memo marks the words it has met once.
 MARKS = 1 << 21
 #: Marks that may follow a word without changing how its letters are cut off.
@@ -103,8 +103,8 @@ class ByteBpe:
         return np.asarray(ids, dtype="<u4").tobytes()
 
     def _after_space(self, word: str) -> bytes:
-        if word.isascii() and word.isalpha():  # shown as it stands
-            return self._ids(self.space + word)
+        if word.isalpha() and max(word) < "\u0250":
+            return self._ids(self.space + word) if word.isascii() else self._piece(" " + word)  # ASCII is shown as it stands
         if not word or word[0].isspace():
             raise _NotAWord
         return self._cut(word, " ")
@@ -117,7 +117,7 @@ class ByteBpe:
         simple = core.isalpha() and max(core) < "\u0250"
         if not simple or feed and not after[:1].isalpha():
             return self._encode(lead + word)
-        start = self.rest[core] if lead and core.isascii() else self.pieces[lead + core]
+        start = self.rest[core] if lead else self.pieces[core]
         ids = start + (self.pieces[before[len(core) :]] if core != before else b"")
         return ids + self.pieces["\n"] + self._cut(after) if feed else ids
 
