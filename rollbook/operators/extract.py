@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import traceback
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from pathlib import Path
 
 import pyarrow as pa
@@ -22,6 +22,9 @@ cloudpickle.register_pickle_by_value(rollbook)
 # Fixed value: what an error record's text starts with.
 ERROR_PREFIX = "response解析异常, "
 
+# Characters or bytes of pages that are parsed between two pieces of output.
+PIECE = 1 << 20
+
 _PARSED = pa.struct([
     ("n_chars", pa.int32()),
     ("cells", pa.list_(pa.list_(pa.string()))),
@@ -51,10 +54,19 @@ def _parser(layouts: Mapping[str, Layout]):
         except Exception as problem:  # whatever a page does to the parser is its own failure
             return {"n_chars": n_chars, "cells": None, "error": f"{type(problem).__name__}: {problem}", "trace": _trace(problem)}
 
-    def parse(page: pa.Array, site: pa.Array, content_type: pa.Array) -> pa.Array:
-        # One page at a time, so no batch is held as Python strings twice.
-        pages = zip(page, site, content_type, strict=True)
-        return pa.array([one(p.as_py(), s.as_py(), c.as_py()) for p, s, c in pages], type=_PARSED)
+    def parse(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        # A batch may hold 64 MB of pages, and its cells as Python objects many times that.
+        for batch in batches:
+            found, size = [], 0
+            for i in range(len(batch[0])):
+                page, site, content_type = (column[i].as_py() for column in batch)
+                found.append(one(page, site, content_type))
+                size += len(page or "")
+                if size >= PIECE:
+                    yield pa.array(found, type=_PARSED)
+                    found, size = [], 0
+            yield pa.array(found, type=_PARSED)
+            del batch  # before the next one is read
 
     udf = F.arrow_udf(parse, "struct<n_chars:int,cells:array<array<string>>,error:string,trace:string>")
     # Keeps the optimizer from running the parse once more for each later filter.

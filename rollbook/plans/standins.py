@@ -296,15 +296,19 @@ def response_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def encode(batches):
         for batch in batches:
-            bodies, types = [], []
-            for number, html in zip(batch["page_seq"].to_pylist(), batch["html"].to_pylist()):
-                name = ("utf-8", "gb18030", "gbk", "utf-16")[number % 4]
-                if name == "gbk":
-                    html = html.replace("<head>", "<head><meta charset=GB2312>")
-                bodies.append(html.encode("gb18030" if number % 10 == 9 else name))
-                types.append("text/html; charset=" + ("utf-8" if number % 10 == 9 else name) if number % 2 else None)
-            rest = [batch[n] for n in batch.schema.names if n != "html"]
-            yield pa.RecordBatch.from_arrays([*rest, pa.array(bodies, pa.binary()), pa.array(types, pa.string())], names)
+            for at in range(0, len(batch), 16):  # a batch may hold 64 MB of pages
+                yield encoded(batch.slice(at, 16))
+
+    def encoded(batch):
+        bodies, types = [], []
+        for number, html in zip(batch["page_seq"].to_pylist(), batch["html"].to_pylist()):
+            name = ("utf-8", "gb18030", "gbk", "utf-16")[number % 4]
+            if name == "gbk":
+                html = html.replace("<head>", "<head><meta charset=GB2312>")
+            bodies.append(html.encode("gb18030" if number % 10 == 9 else name))
+            types.append("text/html; charset=" + ("utf-8" if number % 10 == 9 else name) if number % 2 else None)
+        rest = [batch[n] for n in batch.schema.names if n != "html"]
+        return pa.RecordBatch.from_arrays([*rest, pa.array(bodies, pa.binary()), pa.array(types, pa.string())], names)
 
     pages = listing_pages(spark, sf_dir)
     kept = [f for f in pages.schema.fields if f.name != "html"]

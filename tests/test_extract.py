@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -114,3 +115,14 @@ def test_a_layout_of_ones_own_in_sql(spark):
     assert got[1] == [(0, ["one", "/1"], None), (1, ["two", "/2"], None)]
     assert got[2][0][:2] == (None, None) and got[3] == [(None, None, "no layout for this site")]
     assert got[4] == [(None, None, "no response text")] and got[5] == [(0, ["192.0.2.1", "80"], None)]
+
+
+def test_a_large_batch_leaves_the_parse_in_pieces():
+    parse = ex._parser({s.name: s.layout for s in SITES}).func
+    html = wide_page(*[wide_row("192.0.2.1", "80")] * 400)
+    batch = pa.array([html, None] * 20), pa.array(["xici"] * 40), pa.nulls(40, pa.string())
+    pieces = list(parse(iter([batch, tuple(column.slice(0, 0) for column in batch), batch])))
+    assert max(map(len, pieces)) * len(html) / 2 <= ex.PIECE + 2 * len(html)
+    parsed = [row for piece in pieces for row in piece.to_pylist()]
+    assert [len(row["cells"] or ()) for row in parsed] == [400, 0] * 40
+    assert [row["error"] for row in parsed] == [None, "no response text"] * 40
