@@ -31,10 +31,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from rollbook.llm.shared import texts, tidy
-from rollbook.llm.tokenizers_of import byte_bpe
+from rollbook.llm.tokenizers_of import ByteBpe, byte_bpe
 
 #: Tokens that a stretch holds before it ends with the next document.
 STRETCH = 1 << 20
+#: Characters of the documents that are turned into tokens together.
+TOGETHER = 1 << 21
 #: Penalties in tokens of padding: a document goes on in the next window, cut at the end
 #: of a sentence, or within one.
 AT_SENTENCE, WITHIN = 2, 8
@@ -113,6 +115,20 @@ def _pieces(parts: list[bytes], doc_ids: list, sentence_end: np.ndarray, window:
     return batch, len(cuts)
 
 
+def _encoded(bpe: ByteBpe, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int | None, bytes]]:
+    """Id and tokens of each document, in order."""
+    doc_ids, held, size = [], [], 0
+    for batch in batches:
+        for doc_id, text in zip(batch["doc_id"].to_pylist(), texts(batch["text"])):
+            doc_ids.append(doc_id)
+            held.append(text)
+            size += len(text)
+            if size >= TOGETHER:
+                yield from zip(doc_ids, bpe.encode_all(held))
+                doc_ids, held, size = [], [], 0
+    yield from zip(doc_ids, bpe.encode_all(held))
+
+
 def _packer(tokenizer: str, end_id: int, window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = byte_bpe(tokenizer)
@@ -122,15 +138,14 @@ def _packer(tokenizer: str, end_id: int, window: int):
         parts: list[bytes] = []
         doc_ids: list = []
         held = 0
-        for batch in batches:
-            for doc_id, text in zip(batch["doc_id"].to_pylist(), texts(batch["text"])):
-                parts.append(bpe.encode(text) + end)
-                doc_ids.append(doc_id)
-                held += len(parts[-1]) // 4
-                if held >= STRETCH:
-                    out, n = _pieces(parts, doc_ids, sentence_end, window, number)
-                    yield out
-                    parts, doc_ids, held, number = [], [], 0, number + n
+        for doc_id, ids in _encoded(bpe, batches):
+            parts.append(ids + end)
+            doc_ids.append(doc_id)
+            held += len(parts[-1]) // 4
+            if held >= STRETCH:
+                out, n = _pieces(parts, doc_ids, sentence_end, window, number)
+                yield out
+                parts, doc_ids, held, number = [], [], 0, number + n
         if parts:
             yield _pieces(parts, doc_ids, sentence_end, window, number)[0]
 

@@ -11,9 +11,12 @@ from __future__ import annotations
 import hashlib
 import importlib.metadata
 import re
+from collections.abc import Sequence
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from rollbook.llm.shared import per_worker
 
@@ -23,6 +26,12 @@ MEMO_WORDS, MEMO_CHARS = 200_000, 48
 MARKS = 1 << 21
 #: Marks that may follow a word without changing how its letters are cut off.
 _AFTER = ".,;:!?*&%$#|"
+#: Those of them that are words of their own where one stands between a letter or digit and a
+#: space, and what a word without a space in front begins with meanwhile.
+_APART, _BARE = ".,;:!?", "\1"
+#: A line feed between two visible characters; a mark that has been set apart from others.
+_FEED = re.compile(r"\n(?<=\S\n)(?=\S)")
+_TOGETHER = re.compile(rf" {_BARE}(?<![A-Za-z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f] {_BARE})(?=[{_APART}] )")
 
 
 class _NotAWord(Exception):
@@ -80,7 +89,7 @@ class ByteBpe:
         # Only for this kind of file is a space before a visible character a sure edge.
         pre = self.library.pre_tokenizer
         added = self.library.get_added_tokens_decoder().values()
-        spaced = any(" " in x.content or x.lstrip or x.rstrip for x in added)
+        spaced = any(set(f" \n{_APART}{_BARE}") & set(x.content) or x.lstrip or x.rstrip for x in added)
         self.by_words = (
             self.library.normalizer is None and isinstance(pre, ByteLevel)
             and not pre.add_prefix_space and pre.use_regex and not spaced
@@ -102,11 +111,17 @@ class ByteBpe:
         ids = self.library.encode(text, add_special_tokens=False).ids
         return np.asarray(ids, dtype="<u4").tobytes()
 
-    def _after_space(self, word: str) -> bytes:
-        if word.isascii() and word.isalpha():  # shown as it stands
-            return self._ids(self.space + word)
+    def _after_space(self, word: str) -> bytes | None:
+        """None where ``word`` is no word: a space before white space is no sure edge."""
+        if word.isalpha():
+            if word.isascii():  # shown as it stands
+                return self._ids(self.space + word)
+            if max(word) < "\u0250":
+                return self._piece(" " + word)
+        if word.startswith(_BARE):
+            return self._cut(word[1:])
         if not word or word[0].isspace():
-            raise _NotAWord
+            return None
         return self._cut(word, " ")
 
     def _cut(self, word: str, lead: str = "") -> bytes:
@@ -117,6 +132,8 @@ class ByteBpe:
         simple = core.isalpha() and max(core) < "\u0250"
         if not simple or feed and not after[:1].isalpha():
             return self._encode(lead + word)
+        if core == word:  # remembered by whoever asks
+            return self._piece(lead + core)
         start = self.rest[core] if lead and core.isascii() else self.pieces[lead + core]
         ids = start + (self.pieces[before[len(core) :]] if core != before else b"")
         return ids + self.pieces["\n"] + self._cut(after) if feed else ids
@@ -128,15 +145,41 @@ class ByteBpe:
         of = self.as_bytes
         return b"".join([of[t.id] for t in self.model.tokenize(shown)])
 
+    @staticmethod
+    def _apart(text: str) -> str:
+        """The text with line feeds and marks as words of their own, so that a word is
+        remembered once and not with each mark that follows it."""
+        if "\n" in text:
+            text = _FEED.sub(f" {_BARE}\n {_BARE}", text)
+        for mark in _APART:
+            text = text.replace(f"{mark} ", f" {_BARE}{mark} ")
+        return _TOGETHER.sub("", text)
+
     def encode(self, text: str) -> bytes:
-        if not self.by_words:
+        if not self.by_words or _BARE in text:
             return self._encode(text)
-        first, *rest = text.split(" ")
-        try:
-            return b"".join([self.head[first], *map(self.rest.__getitem__, rest)])
-        except _NotAWord:
+        first, *rest = self._apart(text).split(" ")
+        found = [self.head[first], *map(self.rest.__getitem__, rest)]
+        if None in found:
             first, *rest = self._EDGE.split(text)
-            return b"".join([self.head[first], *map(self.rest.__getitem__, rest)])
+            found = [self.head[first], *map(self.rest.__getitem__, rest)]
+        return b"".join(found)
+
+    def encode_all(self, texts: Sequence[str]) -> list[bytes]:
+        """As :meth:`encode` for each text; a word that several of them have is looked up once."""
+        if not self.by_words:
+            return [self._encode(text) for text in texts]
+        apart = ["" if _BARE in text else _BARE + self._apart(text) for text in texts]
+        split = pc.split_pattern(pa.array(apart, pa.large_string()), " ")
+        words = split.flatten().dictionary_encode()
+        known = np.empty(len(words.dictionary), dtype=object)
+        known[:] = list(map(self.rest.__getitem__, words.dictionary.to_numpy(zero_copy_only=False)))
+        at, ends = words.indices.to_numpy(), split.offsets.to_pylist()
+        out = []
+        for text, a, b in zip(texts, ends, ends[1:]):
+            found = known[at[a:b]].tolist()
+            out.append(self.encode(text) if None in found else b"".join(found))
+        return out
 
     def sentence_ends(self) -> np.ndarray:
         """For each id: whether its text ends a sentence or a line."""

@@ -40,6 +40,26 @@ def _TOKENIZERS(held=[]):  # noqa: B006
     return held[0]
 
 
+def test_texts_together_equal_the_library():
+    bpe, _ = _TOKENIZERS()
+    rng = random.Random(5)
+    bits = [
+        *("foo", "Bar", "é", "mañana", "漢", "×", "1", "½", "'s", "'", "n't", "<|endoftext|>", "|", '"', "ʰ", "\u0301"),
+        *(",", ".", "!", ";", ":", "?", ",,", " ", " ", " ", "  ", "\n", "\n\n", "\t", "\r\n", "\xa0", "\x1c", "\0", "\1"),
+    ]
+    for _ in range(300):
+        texts = ["".join(rng.choice(bits) for _ in range(rng.randint(0, 9))) for _ in range(rng.randint(0, 9))]
+        want = [bpe.library.encode(text, add_special_tokens=False).ids for text in texts]
+        assert [np.frombuffer(ids, "<u4").tolist() for ids in bpe.encode_all(texts)] == want, texts
+
+
+def test_a_word_is_looked_up_once_whatever_follows_it():
+    bpe, asked = ByteBpe(BPE), []
+    bpe.rest.make = lambda word: asked.append(word) or bpe._after_space(word)
+    bpe.encode_all(["a zorblat, zorblat. zorblat; zorblat", "b zorblat! zorblat? zorblat: zorblat.\nc zorblat"])
+    assert asked.count("zorblat") == 1 and not [word for word in asked if "zorblat" in word and word != "zorblat"]
+
+
 def test_word_hashes_follow_words():
     a, b = (word_hashes(t, WHITE) for t in (b"x  the same\twords", b"the same words x"))
     assert a.tolist() == [b[3], *b[:3]]
