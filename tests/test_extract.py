@@ -117,7 +117,7 @@ def test_a_layout_of_ones_own_in_sql(spark):
     assert got[4] == [(None, None, "no response text")] and got[5] == [(0, ["192.0.2.1", "80"], None)]
 
 
-def test_a_large_batch_leaves_the_parse_in_pieces():
+def test_a_large_batch_leaves_the_parse_in_pieces(spark):
     parse = ex._parser({s.name: s.layout for s in SITES}).func
     html = wide_page(*[wide_row("192.0.2.1", "80")] * 400)
     batch = pa.array([html, None] * 20), pa.array(["xici"] * 40), pa.nulls(40, pa.string())
