@@ -9,6 +9,8 @@ language and go with the first stage; given to a later stage, the empty ones are
 each other, near-duplicates and leaks of nothing, and one end token in a sequence. A text is
 one row, of any length, and is judged whole. An empty table gives an empty table at every
 stage, and without a benchmark nothing leaks. A null language or source is no evidence.
+
+Stages that run Python set the session to small Arrow batches, if it has no size of its own.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rollbook.llm import decontaminate, exact, language, near, packing
 from rollbook.llm.shared import aside, emptied, keyed, land, scratch, table, without
-from rollbook.session import fresh_dir
+from rollbook.session import fresh_dir, small_batches
 
 #: SQL can express neither the language model nor the packing.
 ORACLE_SQL = None
@@ -32,6 +34,7 @@ def _rank(key: str) -> Column:
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is known; texts without letters and texts that are like no
     language of the corpus go."""
+    small_batches(spark)
     rows, key = keyed(docs)
     found = language.identify_documents(rows.withColumn("doc_id", F.col(key)))
     return without(rows, found.where("NOT kept").select("doc_id"), key).drop(key)
@@ -47,6 +50,7 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group linked by five-word shingles, at a similarity of 0.8."""
+    small_batches(spark)
     rows, key = keyed(docs)
     groups = near.near_groups(rows, shingle=5, id_col=key)
     # A group is named by its smallest key, and all its other rows are not kept.
@@ -59,11 +63,13 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents into which no benchmark item leaks."""
+    small_batches(spark)
     return decontaminate.remove_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences of at most 1024 tokens; each token lies in one of them."""
+    small_batches(spark)
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 

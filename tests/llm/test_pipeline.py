@@ -1,7 +1,12 @@
 """The pipeline's stages against what each should keep, on a small corpus."""
 
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from rollbook.llm.shared import keyed, land, scratch
+from rollbook.session import BATCH_BYTES, BATCH_SETTING
 
 
 def test_stages(spark, documents, frame, tmp_path):
@@ -98,3 +103,27 @@ def test_rows_of_files_have_names_of_their_own(spark, tmp_path):
     # What does not come row by row from files is landed.
     exploded, key = keyed(spark.read.parquet(f"{tmp_path}/t").selectExpr("explode(array(1, 2)) AS doc_id"))
     assert len({r[key] for r in exploded.collect()}) == 300
+
+
+@pytest.mark.parametrize("name", ["language", "near dedup", "decontamination", "packing"])
+def test_python_gets_small_batches(spark, documents, frame, tmp_path, name):
+    frame([(1, "an item")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["n"])
+
+    long = spark.range(24, numPartitions=1).select(F.repeat(F.col("id").cast("string"), 1 << 20).alias("text"))
+    held = spark.conf.get(BATCH_SETTING, None)
+    spark.conf.unset(BATCH_SETTING)
+    try:
+        dict(corpus_pipeline.STAGES)[name](spark, documents([(1, "the house by the sea.", "en", "s")]), str(tmp_path))
+        found = [r["n"] for r in long.mapInArrow(sizes, "n long").collect()]
+        # A batch ends with the row that fills it.
+        assert len(found) > 4 and max(found) < BATCH_BYTES + (3 << 20)
+        # A caller's own size stays.
+        spark.conf.set(BATCH_SETTING, "32m")
+        dict(corpus_pipeline.STAGES)[name](spark, documents([(1, "the house by the sea.", "en", "s")]), str(tmp_path))
+        assert spark.conf.get(BATCH_SETTING) == "32m"
+    finally:
+        spark.conf.unset(BATCH_SETTING) if held is None else spark.conf.set(BATCH_SETTING, held)
