@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 import rollbook
 from rollbook.functions.scalars import classify, classify_foreign, strip_ws, ts14
 from rollbook.operators.markup import PageError, read_listing
+from rollbook.session import small_batches
 from rollbook.sources.responses import Undecodable, decoded
 from rollbook.sources.sites import SITES, Layout, Site
 
@@ -55,7 +56,7 @@ def _parser(layouts: Mapping[str, Layout]):
             return {"n_chars": n_chars, "cells": None, "error": f"{type(problem).__name__}: {problem}", "trace": _trace(problem)}
 
     def parse(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        # A batch may hold 64 MB of pages, and its cells as Python objects many times that.
+        # The cells of a batch take many times its size as Python objects.
         for batch in batches:
             found, size = [], 0
             for i in range(len(batch[0])):
@@ -80,7 +81,9 @@ def parse_cells(pages: DataFrame, layouts: Mapping[str, Layout], site: Column) -
 
     Pages are parsed in the scan's own splits, whatever their number. If those are too
     few for the cores (one large file of one row group), repartition ``pages`` first.
+    The session is set to small Arrow batches, if it has no size of its own.
     """
+    small_batches(pages.sparkSession)
     page = F.col("html" if "html" in pages.columns else "body")
     content_type = F.col("content_type") if "content_type" in pages.columns else F.lit(None).cast("string")
     parsed = pages.withColumn("parsed", _parser(layouts)(page, site, content_type))

@@ -296,7 +296,7 @@ def response_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def encode(batches):
         for batch in batches:
-            for at in range(0, len(batch), 16):  # a batch may hold 64 MB of pages
+            for at in range(0, len(batch), 16):  # a caller's batches may be large
                 yield encoded(batch.slice(at, 16))
 
     def encoded(batch):

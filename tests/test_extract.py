@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from listings import narrow_page, narrow_row, page, wide_page, wide_row
 from rollbook.operators import extract as ex
 from rollbook.schemas import LISTING_FIELDS, PAGES
+from rollbook.session import BATCH_BYTES, BATCH_SETTING
 from rollbook.sources.sites import SITES
 
 
@@ -126,3 +127,21 @@ def test_a_large_batch_leaves_the_parse_in_pieces(spark):
     parsed = [row for piece in pieces for row in piece.to_pylist()]
     assert [len(row["cells"] or ()) for row in parsed] == [400, 0] * 40
     assert [row["error"] for row in parsed] == [None, "no response text"] * 40
+
+
+def test_the_parse_gets_small_batches(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["n"])
+
+    pages = spark.range(24, numPartitions=1).select(F.repeat(F.lit("x"), 1 << 20).alias("html"))
+    held = spark.conf.get(BATCH_SETTING, None)
+    spark.conf.unset(BATCH_SETTING)
+    try:
+        parsed = ex.parse_cells(pages, {}, F.lit("site"))
+        assert parsed.where("error = 'no layout for this site'").count() == 24
+        found = [r["n"] for r in pages.mapInArrow(sizes, "n long").collect()]
+        # A batch ends with the row that fills it.
+        assert sum(found) >= 24 << 20 and max(found) < BATCH_BYTES + (3 << 20)
+    finally:
+        spark.conf.unset(BATCH_SETTING) if held is None else spark.conf.set(BATCH_SETTING, held)
