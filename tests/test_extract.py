@@ -1,4 +1,5 @@
 import datetime as dt
+from collections.abc import Iterator
 
 import pyarrow as pa
 import pytest
@@ -145,3 +146,34 @@ def test_the_parse_gets_small_batches(spark):
         assert sum(found) >= 24 << 20 and max(found) < BATCH_BYTES + (3 << 20)
     finally:
         spark.conf.unset(BATCH_SETTING) if held is None else spark.conf.set(BATCH_SETTING, held)
+
+
+def test_undecodable_pages_reach_the_parse_in_small_batches(spark, tmp_path, monkeypatch):
+    from rollbook.plans.queries import QUERIES
+
+    parsed = ex._PARSED
+
+    def sizes(layouts):
+        # An error like a charset's, with the bytes of the batch as its name.
+        def told(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+            for body, _, _ in batches:
+                error = f"no {body.nbytes} text"
+                yield pa.array([{"n_chars": None, "cells": None, "error": error, "trace": None}] * len(body), type=parsed)
+
+        return F.arrow_udf(told, "struct<n_chars:int,cells:array<array<string>>,error:string,trace:string>").asNondeterministic()
+
+    monkeypatch.setattr(ex, "_parser", sizes)
+    spark.range(100_000).selectExpr(
+        "id AS event_id", "timestamp'2024-01-01' AS ts", "id % 1000 AS user_id", "'view' AS event_type",
+        "1.5D AS value", "'{\"k\": 8}' AS props",
+    ).write.parquet(f"{tmp_path}/events.parquet")
+    held = spark.conf.get(BATCH_SETTING, None)
+    spark.conf.unset(BATCH_SETTING)
+    try:
+        rows = QUERIES["raw_page_errors"](spark, str(tmp_path)).collect()
+        assert len({r["url"] for r in rows}) == 1000
+        # A batch ends with the page that fills it.
+        found = {int(r["charset"]) for r in rows}
+        assert len(found) > 4 and max(found) < BATCH_BYTES + (1 << 20)
+    finally:
+        spark.conf.unset(BATCH_SETTING) if held is None else spark.conf.set(BATCH_SETTING, held)
